@@ -127,7 +127,7 @@ def amount_range(df: DataFrame) -> DataFrame:
 
 def quartiles(df: DataFrame) -> DataFrame:
     names = matching(df.columns, AMOUNTS)
-    found = quantiles(df, {c: F.col(c) for c in names}, {c: [0.25, 0.5, 0.75] for c in names})
+    found = quantiles(df, {c: [0.25, 0.5, 0.75] for c in names})
     rows = [(c, *found[c]) for c in names]
     return df.sparkSession.createDataFrame(rows, "column STRING, q1 DOUBLE, median DOUBLE, q3 DOUBLE")
 
@@ -155,15 +155,15 @@ def null_reduction(spark: SparkSession, sf: str) -> DataFrame:
 
 def fix_sentinel(df: DataFrame) -> DataFrame:
     days = matching(df.columns, DAYS)
-    return df.withColumns({c: X.nullify(F.col(c), profile.SENTINEL) for c in days})
+    return df.withColumns({c: F.expr(X.nullify(X.quoted(c), profile.SENTINEL)) for c in days})
 
 
 def fix_positive_days(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: X.flip_positive(F.col(c)) for c in matching(df.columns, DAYS)})
+    return df.withColumns({c: F.expr(X.flip_positive(X.quoted(c))) for c in matching(df.columns, DAYS)})
 
 
 def fix_negative_amount(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: X.null_negative(F.col(c)) for c in ("amt_payment", "amt_instalment")})
+    return df.withColumns({c: F.expr(X.null_negative(X.quoted(c))) for c in ("amt_payment", "amt_instalment")})
 
 
 def filter_birth(df: DataFrame) -> DataFrame:
@@ -171,12 +171,12 @@ def filter_birth(df: DataFrame) -> DataFrame:
 
 
 def reset_range(df: DataFrame) -> DataFrame:
-    return df.withColumn("cnt_children", X.reset_outside(F.col("cnt_children"), 0, 10))
+    return df.withColumn("cnt_children", F.expr(X.reset_outside("cnt_children", 0, 10)))
 
 
 def late_indicator(df: DataFrame) -> DataFrame:
-    late = F.col("days_entry_payment") > F.col("days_instalment")
-    return df.select("prev_id", APP, X.indicator(late).alias("late"), late.cast("int").alias("late_known"))
+    late = "days_entry_payment > days_instalment"
+    return df.selectExpr("prev_id", APP, f"{X.indicator(late)} AS late", f"{X.as_number(late)} AS late_known")
 
 
 # Verification

@@ -1,43 +1,71 @@
-"""Scalar repairs, all built-in expressions that stay inside code generation."""
+"""Scalar repairs as SQL text over SQL text (a quoted column or another repair).
+
+A chain of repairs is parsed once per column, and the built-in expressions it names stay
+inside code generation.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import math
+
+
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
-def nullify(c: Column, value: object) -> Column:
+def double(value: float) -> str:
+    """Double literal."""
+    return f"{float(value)!r}D" if math.isfinite(value) else f"double('{value}')"
+
+
+def nullify(c: str, value: int) -> str:
     """A marker value becomes NULL; the type stays."""
-    return F.nullif(c, F.lit(value))
+    return f"nullif({c}, {value})"
 
 
-def flip_positive(c: Column) -> Column:
+def flip_positive(c: str) -> str:
     """Day offsets count backwards, so a positive one is negated."""
-    return F.when(c > 0, -c).otherwise(c)
+    return f"CASE WHEN {c} > 0 THEN -{c} ELSE {c} END"
+
 
+def null_negative(c: str) -> str:
+    return f"CASE WHEN {c} < 0 THEN NULL ELSE {c} END"
 
-def null_negative(c: Column) -> Column:
-    return F.when(c < 0, None).otherwise(c)
 
+def fill(c: str, value: float, type_name: str) -> str:
+    """The cast keeps an int column int."""
+    return f"coalesce({c}, CAST({double(value)} AS {type_name}))"
 
-def clip(c: Column, lower: float, upper: float) -> Column:
+
+def clip(c: str, lower: float, upper: float) -> str:
     """Pull outliers to the fences. NULL stays NULL, which least/greatest would not do."""
-    return F.when(c < lower, F.lit(lower)).when(c > upper, F.lit(upper)).otherwise(c)
+    low, high = double(lower), double(upper)
+    return f"CASE WHEN {c} < {low} THEN {low} WHEN {c} > {high} THEN {high} ELSE {c} END"
 
 
-def reset_outside(c: Column, lower: float, upper: float, to: int = 0) -> Column:
-    return F.when((c < lower) | (c > upper), F.lit(to)).otherwise(c)
+def reset_outside(c: str, lower: float, upper: float, to: int = 0) -> str:
+    return f"CASE WHEN {c} < {lower} OR {c} > {upper} THEN {to} ELSE {c} END"
 
 
-def null_outside(c: Column, lower: float, upper: float) -> Column:
-    return F.when((c < lower) | (c > upper), None).otherwise(c)
+def null_outside(c: str, lower: float, upper: float) -> str:
+    return f"CASE WHEN {c} < {lower} OR {c} > {upper} THEN NULL ELSE {c} END"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """Division by zero gives NULL, also under ANSI mode."""
-    return F.try_divide(numerator, denominator)
+    return f"try_divide({numerator}, {denominator})"
 
 
-def indicator(condition: Column) -> Column:
+def indicator(condition: str) -> str:
     """1 where the condition holds, 0 where it is false or unknown."""
-    return F.when(condition, 1).otherwise(0)
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
+
+
+def as_number(condition: str) -> str:
+    """1, 0, or NULL where the condition is unknown."""
+    return f"CAST({condition} AS INT)"
+
+
+def comparable(c: str) -> str:
+    """The value as double, with NaN treated as missing."""
+    return f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))"

@@ -8,9 +8,7 @@ Every measure combines on the map side.
 
 from __future__ import annotations
 
-
-def quoted(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
+from loanweave.functions.expressions import quoted
 
 
 def _exact_sum(column: str, scale: int) -> str:

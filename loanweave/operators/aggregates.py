@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanweave.functions import measures as M
+from loanweave.functions.expressions import quoted
 
 
 @dataclass(frozen=True)
@@ -121,8 +122,8 @@ def installments_rollup(
             "inst_late_count": M.count_positive("days_late"),
         },
         derived={
-            "payment_diff": f"{M.quoted(due)} - {M.quoted(paid)}",
-            "days_late": f"{M.quoted(paid_day)} - {M.quoted(due_day)}",
+            "payment_diff": f"{quoted(due)} - {quoted(paid)}",
+            "days_late": f"{quoted(paid_day)} - {quoted(due_day)}",
         },
     )
 

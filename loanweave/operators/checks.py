@@ -1,102 +1,98 @@
 """Verification of cleaned tables as rows ``(check, table, subject, status, detail)``.
 
-``detail`` is a number: the count that the check looked at. Status is PASS, FAIL, WARN
-or SKIP; the verdict is that nothing failed.
+``detail`` is the count that a check looked at. Status is PASS, FAIL, WARN or SKIP; the
+verdict is that nothing failed. A check is a list of SQL structs over aggregates, so all
+checks of one table share a single scan (``run``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.operators.profile import SENTINEL, null_cells, per_column
+from loanweave.functions.expressions import quoted
+from loanweave.operators.profile import SENTINEL, nulls_in
 
 SCHEMA = "check STRING, table STRING, subject STRING, status STRING, detail BIGINT"
 
 
-def _shape(df: DataFrame, check: str, table: str | Column, subject, status: Column, detail) -> DataFrame:
-    return df.select(
-        F.lit(check).alias("check"),
-        (F.lit(table) if isinstance(table, str) else table).alias("table"),
-        subject.alias("subject"),
-        status.alias("status"),
-        detail.cast("long").alias("detail"),
+def _cell(check: str, subject: str, status: str, detail: str) -> str:
+    return (
+        f"named_struct('check', '{check}', 'subject', {subject}, 'status', {status},"
+        f" 'detail', CAST({detail} AS BIGINT))"
     )
 
 
-def _passed(condition: Column) -> Column:
-    return F.when(condition, "PASS").otherwise("FAIL")
+def _passed(condition: str, otherwise: str = "FAIL") -> str:
+    return f"CASE WHEN {condition} THEN 'PASS' ELSE '{otherwise}' END"
 
 
-def _rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, SCHEMA)
+def run(df: DataFrame, table: str, *checks: Sequence[str]) -> DataFrame:
+    """All checks of a table from one aggregate."""
+    cells = [cell for check in checks for cell in check]
+    return (
+        df.selectExpr(f"array({', '.join(cells)}) AS cells")
+        .select(F.inline("cells"))
+        .select("check", F.lit(table).alias("table"), "subject", "status", "detail")
+    )
 
 
 def loaded(spark: SparkSession, expected: Sequence[str], missing: Iterable[str]) -> DataFrame:
     """Every expected table could be read."""
     gone = set(missing)
-    return _rows(
-        spark,
-        [("loaded", t, "*", "FAIL" if t in gone else "PASS", int(t not in gone)) for t in expected],
-    )
+    rows = [("loaded", t, "*", "FAIL" if t in gone else "PASS", int(t not in gone)) for t in expected]
+    return spark.createDataFrame(rows, SCHEMA)
 
 
-def sentinel_gone(
-    df: DataFrame, table: str, columns: Sequence[str], value: int = SENTINEL
-) -> DataFrame:
-    """No marker value is left. ``detail`` is the count of them; absent columns are skipped."""
-    present = [c for c in columns if c in df.columns]
-    stats = per_column(df, present, lambda c: {"hits": F.count_if(F.col(c) == value)})
-    out = _shape(stats, "sentinel_gone", table, F.col("column"), _passed(F.col("hits") == 0), F.col("hits"))
-    absent = [("sentinel_gone", table, c, "SKIP", None) for c in columns if c not in df.columns]
-    return out.unionByName(_rows(df.sparkSession, absent)) if absent else out
+def sentinel_gone(df: DataFrame, columns: Sequence[str], value: int = SENTINEL) -> list[str]:
+    """No marker value is left; columns that the table lacks are skipped."""
+    cells = []
+    for c in columns:
+        hits = f"count_if({quoted(c)} = {value})"
+        if c in df.columns:
+            cells.append(_cell("sentinel_gone", f"'{c}'", _passed(f"{hits} = 0"), hits))
+        else:
+            cells.append(_cell("sentinel_gone", f"'{c}'", "'SKIP'", "NULL"))
+    return cells
 
 
-def remaining_nulls(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+def remaining_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """NULLs left in the repaired columns, for information."""
-    present = [c for c in columns if c in df.columns]
-    stats = per_column(df, present, lambda c: {"nulls": F.count_if(F.col(c).isNull())})
-    return _shape(stats, "remaining_nulls", table, F.col("column"), F.lit("PASS"), F.col("nulls"))
+    return [_cell("remaining_nulls", f"'{c}'", "'PASS'", nulls_in(c)) for c in columns if c in df.columns]
 
 
-def days_not_positive(
-    df: DataFrame, table: str, columns: Sequence[str], hard: Iterable[str] = ()
-) -> DataFrame:
+def days_not_positive(columns: Sequence[str], hard: Iterable[str] = ()) -> list[str]:
     """Day offsets are not positive; a violation fails only for the ``hard`` columns."""
-    stats = per_column(df, columns, lambda c: {"hits": F.count_if(F.col(c) > 0)})
-    status = (
-        F.when(F.col("hits") == 0, "PASS")
-        .when(F.col("column").isin(*hard), "FAIL")
-        .otherwise("WARN")
-    )
-    return _shape(stats, "days_not_positive", table, F.col("column"), status, F.col("hits"))
+    strict, cells = set(hard), []
+    for c in columns:
+        hits = f"count_if({quoted(c)} > 0)"
+        status = _passed(f"{hits} = 0", "FAIL" if c in strict else "WARN")
+        cells.append(_cell("days_not_positive", f"'{c}'", status, hits))
+    return cells
 
 
-def columns_dropped(df: DataFrame, table: str, expected: Sequence[str]) -> DataFrame:
-    """None of the columns that should be gone is present. No data is read."""
-    present = set(df.columns)
-    return _rows(
-        df.sparkSession,
-        [("dropped", table, c, "FAIL" if c in present else "PASS", int(c in present)) for c in expected],
-    )
+def columns_dropped(df: DataFrame, expected: Sequence[str]) -> list[str]:
+    """None of the columns that should be gone is present."""
+    here = set(df.columns)
+    return [
+        _cell("dropped", f"'{c}'", "'FAIL'" if c in here else "'PASS'", str(int(c in here))) for c in expected
+    ]
 
 
-def expected_shape(df: DataFrame, table: str, rows: int, cols: int) -> DataFrame:
-    """Row count and column count as expected; ``detail`` is the row count."""
-    counted = df.agg(F.count(F.lit(1)).alias("n"))
-    ok = (F.col("n") == rows) & F.lit(len(df.columns) == cols)
-    return _shape(counted, "shape", table, F.lit(f"{rows} x {cols}"), _passed(ok), F.col("n"))
+def expected_shape(df: DataFrame, rows: int, cols: int) -> list[str]:
+    """Row count and column count as expected."""
+    ok = f"count(1) = {rows} AND {len(df.columns)} = {cols}"
+    return [_cell("shape", f"'{rows} x {cols}'", _passed(ok), "count(1)")]
 
 
-def nulls_acceptable(tables: Mapping[str, DataFrame], acceptable: Iterable[str] = ()) -> DataFrame:
-    """Tables are free of NULLs unless listed as acceptable."""
-    cells = null_cells(tables, tuple(acceptable))
-    return _shape(
-        cells, "nulls", F.col("table"), F.col("status"), _passed(F.col("status") != "review"), F.col("nulls")
-    )
+def nulls_acceptable(df: DataFrame, acceptable: bool) -> list[str]:
+    """The table is free of NULLs, unless some are accepted; the subject says which."""
+    nulls = "(" + " + ".join(nulls_in(c) for c in df.columns) + ")"
+    state = f"CASE WHEN {nulls} = 0 THEN 'clean' ELSE '{'acceptable' if acceptable else 'review'}' END"
+    return [_cell("nulls", state, "'PASS'" if acceptable else _passed(f"{nulls} = 0"), nulls)]
 
 
 def combine(*checks: DataFrame) -> DataFrame:

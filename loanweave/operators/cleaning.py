@@ -1,18 +1,21 @@
 """Declarative table cleaning: a spec is fitted once, then applied lazily.
 
-Which columns survive and what fills them depends on the data, so ``fit`` is eager.
-It needs few scans, each with a small result: one profile of all columns, one count
-per bracket round for medians (usually one or two rounds), one frequency count if
-text columns have gaps, and one more set of rounds if fences are asked for.
-``FittedCleaning.transform`` is a single projection of built-in expressions.
+Which columns survive and what fills them depends on the data, so ``fit`` is eager. It
+makes one scan that counts NULLs and bounds of all columns, one or two counting rounds
+over the columns that need a median or fences, and one scan for modes if text columns
+have gaps. The fences hold for the filled data, but need no pass of their own: a filled
+column is the original one plus copies of the fill value, so its quantiles are original
+values at known ranks. ``FittedCleaning.transform`` is a single projection of built-in
+expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
+from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +23,7 @@ from loanweave.functions import expressions as X
 from loanweave.functions.roles import matching, numeric_columns, text_columns
 from loanweave.operators.modes import modes
 from loanweave.operators.profile import SENTINEL, per_column
-from loanweave.operators.quantiles import finite_max, finite_min, quantiles
+from loanweave.operators.quantiles import Extent, order_statistics, rank_of
 
 Names = tuple[str, ...]
 
@@ -56,8 +59,9 @@ class CleaningSpec:
 
     rel_error: float = 0.001
 
-    def repaired(self, columns: list[str]) -> dict[str, Column]:
-        out = {c: F.col(c) for c in columns}
+    def repaired(self, columns: list[str]) -> dict[str, str]:
+        """SQL text of every column after the repairs."""
+        out = {c: X.quoted(c) for c in columns}
         for c in matching(columns, self.sentinel_columns):
             out[c] = X.nullify(out[c], self.sentinel)
         for c in matching(columns, self.negative_to_null):
@@ -66,34 +70,42 @@ class CleaningSpec:
             out[c] = X.flip_positive(out[c])
         return out
 
-    def kept_rows(self, columns: list[str]) -> Column:
+    def kept_rows(self, columns: list[str]) -> str:
         if self.require_negative in columns:
-            return F.coalesce(F.col(self.require_negative) < 0, F.lit(False))
-        return F.lit(True)
+            return f"coalesce({X.quoted(self.require_negative)} < 0, false)"
+        return "true"
 
     def fit(self, df: DataFrame) -> "FittedCleaning":
         keep, profile = self._surviving(df)
         df = df.select(*keep)
-        rows = self.kept_rows(keep)
         repaired = self.repaired(keep)
-        gaps = [c for c in keep if c in profile and profile[c]["nulls"] > 0]
+        kept = df.where(self.kept_rows(keep)) if self.require_negative else df
+        types = {f.name: f.dataType for f in df.schema}
 
-        numeric = numeric_columns(df.schema, self.numeric_family)
-        holes = [c for c in matching(numeric, self.numeric_fill) if c in gaps]
-        bounds = {c: (profile[c]["lo"], profile[c]["hi"]) for c in numeric if c in profile}
-        kept = df.where(rows)
-        medians = quantiles(kept, repaired, {c: [0.5] for c in holes}, self.rel_error, bounds)
-        fills: dict[str, object] = {c: m[0] for c, m in medians.items() if m[0] is not None}
+        numbers = {c: _Numbers(self, c, profile[c]) for c in keep if c in profile and profile[c]["n"]}
+        ranks = {c: v.ranks() for c, v in numbers.items() if v.ranks()}
+        extents = {c: v.extent for c, v in numbers.items()}
+        found = order_statistics(kept, repaired, ranks, extents, self.rel_error)
+        fills: dict[str, object] = {}
+        fences, refills = {}, {}
+        for c, values in numbers.items():
+            at = partial(_value_at, found, c)
+            if values.copies:
+                fills[c] = values.median(at)
+            if values.fenced:
+                q1, q3 = values.filled_quantile(0.25, at), values.filled_quantile(0.75, at)
+                reach = self.fence_factor * (q3 - q1)
+                fences[c] = (q1 - reach, q3 + reach)
+            if values.refill:
+                refills[c] = values.refill_median(at)
 
-        texts = matching([c for c in text_columns(df.schema) if c in gaps], self.text_fill_columns)
+        texts = [c for c in text_columns(df.schema) if c in profile and profile[c]["nulls"]]
+        texts = matching(texts, self.text_fill_columns)
         if self.text_fill == "constant":
             fills |= {c: self.text_constant for c in texts}
         elif self.text_fill == "mode":
-            fills |= modes(kept.select(*[repaired[c].alias(c) for c in texts]), texts)
-
-        types = {f.name: f.dataType for f in df.schema}
-        fitted = FittedCleaning(self, tuple(keep), types, fills)
-        return replace(fitted, **self._fit_fences(kept, fitted, numeric, bounds))
+            fills |= modes(kept, texts)
+        return FittedCleaning(self, tuple(keep), types, fills, fences, refills)
 
     def _surviving(self, df: DataFrame) -> tuple[list[str], dict[str, dict]]:
         """Columns to keep, with the profile of every column that matters, from one scan."""
@@ -104,15 +116,17 @@ class CleaningSpec:
         texts = matching(text_columns(df.schema), self.text_fill_columns if self.text_fill else ())
         profiled = columns if self.sparse_share is not None else [*numeric, *texts]
 
-        def stats(name: str) -> dict[str, Column]:
-            value = F.when(rows, repaired[name])
-            judged = F.col(name) if self.sparse_before_repair else repaired[name]
-            bound = value if name in numeric else F.lit(None).cast("double")
+        def stats(name: str) -> dict[str, str]:
+            value = f"CASE WHEN {rows} THEN {repaired[name]} END" if self.require_negative else repaired[name]
+            judged = X.quoted(name) if self.sparse_before_repair else repaired[name]
+            lower, upper = self.refill.get(name, ("NULL", "NULL"))
+            extent = Extent.measures(value if name in numeric else "NULL")
             return {
-                "judged_nulls": F.count_if(judged.isNull()),
-                "nulls": F.count_if(rows & repaired[name].isNull()),
-                "lo": finite_min(bound),
-                "hi": finite_max(bound),
+                "judged_nulls": f"count_if({judged} IS NULL)",
+                "nulls": f"count_if({rows} AND {repaired[name]} IS NULL)",
+                "below": f"count_if({value} < {lower})" if name in self.refill else "0L",
+                "within": f"count_if({value} BETWEEN {lower} AND {upper})" if name in self.refill else "0L",
+                **extent,
             }
 
         profile = {r["column"]: r.asDict() for r in per_column(df, profiled, stats).collect()}
@@ -129,23 +143,64 @@ class CleaningSpec:
         share = stats["judged_nulls"] / stats["rows"]
         return share >= self.sparse_share if self.sparse_inclusive else share > self.sparse_share
 
-    def _fit_fences(
-        self, kept: DataFrame, fitted: "FittedCleaning", numeric: list[str], bounds: dict
-    ) -> dict[str, dict]:
-        fenced = matching(numeric, self.fences)
-        refilled = matching(numeric, self.refill)
-        values = fitted.filled()
-        values |= {c: X.null_outside(values[c], *self.refill[c]) for c in refilled}
-        wanted = {c: [0.25, 0.75] for c in fenced} | {c: [0.5] for c in refilled}
-        found = quantiles(kept, values, wanted, self.rel_error, bounds)
-        fences = {}
-        for c in fenced:
-            q1, q3 = found[c]
-            if q1 is not None:
-                reach = self.fence_factor * (q3 - q1)
-                fences[c] = (q1 - reach, q3 + reach)
-        refills = {c: found[c][0] for c in refilled if found[c][0] is not None}
-        return {"fence_bounds": fences, "refills": refills}
+
+def _value_at(found: Mapping[tuple[str, int], float], column: str, rank: int) -> float:
+    return found[column, rank]
+
+
+class _Numbers:
+    """The repaired values of a column and the copies of the median that fill its gaps.
+
+    Everything asked for is an order statistic of the values, at a rank that follows
+    from the counts of the profile.
+    """
+
+    def __init__(self, spec: CleaningSpec, name: str, stats: Mapping) -> None:
+        self.extent = Extent.of(stats)
+        filled = matching([name], spec.numeric_fill)
+        self.copies = stats["nulls"] if filled else 0
+        self.fenced = bool(matching([name], spec.fences))
+        self.refill = spec.refill.get(name)
+        self.below, self.within = stats["below"], stats["within"]  # the refill range
+
+    def ranks(self) -> list[int]:
+        """Every rank that could be asked for."""
+        n, wanted = self.extent.n, set()
+        if self.copies:
+            wanted.add(rank_of(0.5, n))
+        spans = [(p, n, 0, self.copies) for p in (0.25, 0.75)] if self.fenced else []
+        if self.refill:
+            spans += [(0.5, self.within, self.below, copies) for copies in {0, self.copies}]
+        for p, size, start, copies in spans:
+            k = rank_of(p, size + copies)
+            wanted |= {start + r for r in (k, k - copies) if 1 <= r <= size}
+        return sorted(wanted)
+
+    def median(self, at: Callable[[int], float]) -> float:
+        return at(rank_of(0.5, self.extent.n))
+
+    def filled_quantile(self, p: float, at: Callable[[int], float]) -> float:
+        return self._merged(p, self.extent.n, 0, self.copies, at)
+
+    def refill_median(self, at: Callable[[int], float]) -> float | None:
+        """Median of what is in range once the gaps are filled; None if nothing is."""
+        lower, upper = self.refill
+        copies = self.copies if self.copies and lower <= self.median(at) <= upper else 0
+        if not self.within + copies:
+            return None
+        return self._merged(0.5, self.within, self.below, copies, at)
+
+    def _merged(self, p: float, n: int, start: int, copies: int, at: Callable[[int], float]) -> float:
+        """Quantile of the ``n`` values after rank ``start`` together with the copies."""
+        k = rank_of(p, n + copies)
+        if not copies:
+            return at(start + k)
+        fill = self.median(at)
+        if k <= n and (value := at(start + k)) < fill:
+            return value
+        if k > copies and (value := at(start + k - copies)) > fill:
+            return value
+        return fill
 
 
 @dataclass(frozen=True)
@@ -157,29 +212,29 @@ class FittedCleaning:
     types: Mapping[str, T.DataType]
     fills: Mapping[str, object]  # typed as the column, so an int column stays int
     fence_bounds: Mapping[str, tuple[float, float]] = field(default_factory=dict)
-    refills: Mapping[str, float] = field(default_factory=dict)
-
-    def filled(self) -> dict[str, Column]:
-        """Repaired and filled expression per kept column."""
-        out = self.spec.repaired(list(self.columns))
-        for c in self.fills:
-            out[c] = F.coalesce(out[c], F.lit(self.fills[c]).cast(self.types[c]))
-        return out
+    refills: Mapping[str, float | None] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         spec, columns = self.spec, list(self.columns)
-        out = self.filled()
+        sql = spec.repaired(columns)
+        texts: dict[str, str] = {}
         for c in columns:
+            kind = self.types[c].simpleString()
+            if isinstance(self.fills.get(c), str):
+                texts[c] = self.fills[c]
+            elif c in self.fills:
+                sql[c] = X.fill(sql[c], self.fills[c], kind)
             if c in self.fence_bounds:
-                out[c] = X.clip(out[c], *self.fence_bounds[c])
+                sql[c] = X.clip(sql[c], *self.fence_bounds[c])
             if c in spec.reset_to_zero:
-                out[c] = X.reset_outside(out[c], *spec.reset_to_zero[c])
+                sql[c] = X.reset_outside(sql[c], *spec.reset_to_zero[c])
             if c in spec.refill:
-                out[c] = X.null_outside(out[c], *spec.refill[c])
-                if c in self.refills:
-                    out[c] = F.coalesce(out[c], F.lit(self.refills[c]).cast(self.types[c]))
+                sql[c] = X.null_outside(sql[c], *spec.refill[c])
+                if self.refills.get(c) is not None:
+                    sql[c] = X.fill(sql[c], self.refills[c], kind)
         rows = df.where(spec.kept_rows(columns)) if spec.require_negative else df
-        return rows.select(*[out[c].alias(c) for c in columns])
+        out = rows.selectExpr(*[f"{sql[c]} AS {X.quoted(c)}" for c in columns])
+        return out.fillna(texts) if texts else out
 
 
 def clean(df: DataFrame, spec: CleaningSpec) -> DataFrame:

@@ -78,6 +78,8 @@ def hot_keys(
     One scan of the key column. Sketches are merged in two levels, so no single task
     receives one per scan task. The estimate only decides how rows are routed.
     """
+    if df.count() <= least_rows:
+        return []
     groups = F.pmod(F.spark_partition_id(), F.lit(64))
     sketch = f"approx_top_k_accumulate(`{key}`, {_TRACKED})"
     row = (
@@ -87,8 +89,6 @@ def hot_keys(
         .select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT})").alias("top"), "n")
         .first()
     )
-    if not row["n"]:
-        return []
     least = max(share * row["n"], least_rows)
     return [item["item"] for item in row["top"] if item["count"] > least]
 

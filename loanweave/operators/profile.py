@@ -8,38 +8,34 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.functions.measures import mean as mean_sql
+from loanweave.functions.expressions import quoted
+from loanweave.functions.measures import mean
 from loanweave.functions.roles import numeric_columns
 
 SENTINEL = 365243
 
 
 def per_column(
-    df: DataFrame, columns: Sequence[str], stats: Callable[[str], Mapping[str, Column]]
+    df: DataFrame, columns: Sequence[str], stats: Callable[[str], Mapping[str, str]]
 ) -> DataFrame:
-    """Rows ``(column, type, rows, *stats)``; ``stats`` gives aggregates for a column name."""
+    """Rows ``(column, type, rows, *stats)``; ``stats`` gives SQL aggregates for a column name."""
     types = dict(df.dtypes)
     names = list(columns) or df.columns[:1]
-    cells = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.lit(types[name]).alias("type"),
-            F.count(F.lit(1)).alias("rows"),
-            *[value.alias(key) for key, value in stats(name).items()],
-        )
-        for name in names
-    ]
-    out = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    cells = []
+    for name in names:
+        label = name.replace("\\", "\\\\").replace("'", "\\'")
+        fields = {"column": f"'{label}'", "type": f"'{types[name]}'", "rows": "count(1)", **stats(name)}
+        cells.append("named_struct(" + ", ".join(f"'{k}', {sql}" for k, sql in fields.items()) + ")")
+    out = df.selectExpr(f"array({', '.join(cells)}) AS cells").select(F.inline("cells"))
     return out if columns else out.where(F.lit(False))
 
 
-def nulls_in(name: str) -> Column:
-    return F.count_if(F.col(name).isNull())
+def nulls_in(name: str) -> str:
+    return f"count_if({quoted(name)} IS NULL)"
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -74,46 +70,39 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _hits(df: DataFrame, columns: Sequence[str], test: Callable[[Column], Column]) -> DataFrame:
-    return (
-        per_column(df, columns, lambda c: {"hits": F.count_if(test(F.col(c)))})
-        .select(
-            "column", "hits", "rows", F.try_divide(F.col("hits") * 100.0, F.col("rows")).alias("pct")
-        )
+def _hits(df: DataFrame, columns: Sequence[str], test: str, keep_zero: bool) -> DataFrame:
+    out = per_column(df, columns, lambda c: {"hits": f"count_if({quoted(c)} {test})"}).selectExpr(
+        "column", "hits", "rows", "try_divide(hits * 100D, rows) AS pct"
     )
+    return out if keep_zero else out.where("hits > 0")
 
 
 def sentinel_counts(
     df: DataFrame, columns: Sequence[str], value: int = SENTINEL, keep_zero: bool = False
 ) -> DataFrame:
-    out = _hits(df, columns, lambda c: c == value)
-    return out if keep_zero else out.where("hits > 0")
+    return _hits(df, columns, f"= {value}", keep_zero)
 
 
 def positive_counts(df: DataFrame, columns: Sequence[str], keep_zero: bool = False) -> DataFrame:
-    out = _hits(df, columns, lambda c: c > 0)
-    return out if keep_zero else out.where("hits > 0")
+    return _hits(df, columns, "> 0", keep_zero)
 
 
 def negative_counts(df: DataFrame, columns: Sequence[str], keep_zero: bool = False) -> DataFrame:
-    out = _hits(df, columns, lambda c: c < 0)
-    return out if keep_zero else out.where("hits > 0")
+    return _hits(df, columns, "< 0", keep_zero)
 
 
 def amount_ranges(df: DataFrame, columns: Sequence[str], scale: int | None = None) -> DataFrame:
     """``(column, min, max, mean)``; a column without any value gives no row."""
+
+    def stats(c: str) -> dict[str, str]:
+        return {
+            "min": f"CAST(min({quoted(c)}) AS DOUBLE)",
+            "max": f"CAST(max({quoted(c)}) AS DOUBLE)",
+            "mean": f"CAST({mean(c, scale)} AS DOUBLE)",
+        }
+
     return (
-        per_column(
-            df,
-            columns,
-            lambda c: {
-                "min": F.min(c).cast("double"),
-                "max": F.max(c).cast("double"),
-                "mean": F.expr(mean_sql(c, scale)).cast("double"),
-            },
-        )
-        .where("min IS NOT NULL")
-        .select("column", "min", "max", "mean")
+        per_column(df, columns, stats).where("min IS NOT NULL").select("column", "min", "max", "mean")
     )
 
 
@@ -122,7 +111,7 @@ def _summary_row(name: str, df: DataFrame) -> DataFrame:
         F.lit(name).alias("table"),
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(df.columns)).alias("cols"),
-        reduce(add, [nulls_in(c) for c in df.columns]).alias("nulls"),
+        F.expr(" + ".join(nulls_in(c) for c in df.columns)).alias("nulls"),
     )
 
 

@@ -1,150 +1,174 @@
-"""Quantiles of many columns at once by counting values in narrowing brackets.
-
-One round buckets every wanted value between known bounds and counts per
-(target, bucket). The counts combine on the map side, so a round shuffles at most
-``BUCKETS`` small rows per target and task, however large or skewed the data is,
-and the reducers share them. The bucket that holds the wanted rank becomes the
-next bracket. With ``rel_error`` above zero most columns settle in the first round;
-with zero the answer is the exact order statistic.
-
-Compared with a mergeable sketch, the result does not depend on partitioning or on
-merge order (a retried task cannot change a fill value), an exact answer is
-possible, and no single reducer has to merge one sketch per task and column.
+"""Order statistics of many columns at once, by counting values in narrowing brackets.
+
+One round puts every value of the wanted columns into one of ``BUCKETS`` equal parts of
+a bracket and counts. The counts combine on the map side, so a round shuffles at most
+``BUCKETS`` small rows per bracket and task, however large or skewed the data is, and
+all reducers share them. The part that holds the wanted rank becomes the next bracket,
+and only rows inside it are looked at again. With a tolerated rank error most searches
+end after the first round.
+
+Compared with merging one quantile sketch per task and column in a single reducer, the
+result does not depend on partitioning or merge order (a retried task cannot change a
+fill value), it can be exact, and no step holds more than a bounded state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanweave.functions.expressions import comparable, double
+
 BUCKETS = 4096
 
-Bounds = tuple[float, float]
+
+def rank_of(p: float, n: int) -> int:
+    """1-based rank of quantile ``p`` among ``n`` values."""
+    return max(1, ceil(p * n))
 
 
 @dataclass(frozen=True)
-class _Target:
-    column: str
-    p: float
+class Extent:
+    """Count and finite bounds of a column's values (NULL and NaN apart)."""
+
+    n: int
     lower: float
     upper: float
-    rank: int | None = None  # rank inside the bracket, once an earlier round knows it
-
-    @property
-    def half_width(self) -> float:
-        return self.upper / 2 - self.lower / 2
-
 
-def comparable(c: Column) -> Column:
-    """The value as double, with NaN treated as missing."""
-    d = c.cast("double")
-    return F.nanvl(d, F.lit(None).cast("double"))
+    @staticmethod
+    def measures(value: str) -> dict[str, str]:
+        """Aggregates, as SQL, that ``of`` reads."""
+        v = comparable(value)
+        finite = f"abs({v}) < double('inf')"
+        return {
+            "n": f"count({v})",
+            "lower": f"min({v}) FILTER (WHERE {finite})",
+            "upper": f"max({v}) FILTER (WHERE {finite})",
+        }
 
+    @classmethod
+    def of(cls, row: Mapping) -> "Extent":
+        return cls(row["n"], row["lower"] or 0.0, row["upper"] or 0.0)
 
-def finite_min(c: Column) -> Column:
-    d = comparable(c)
-    return F.min(F.when(F.abs(d) < float("inf"), d))
 
+@dataclass(frozen=True)
+class _Search:
+    column: str
+    asked: int  # rank among all values
+    rank: int  # rank among the values counted in this round
+    lower: float
+    upper: float
+    narrowed: bool = False
 
-def finite_max(c: Column) -> Column:
-    d = comparable(c)
-    return F.max(F.when(F.abs(d) < float("inf"), d))
+    @property
+    def bracket(self) -> tuple[str, float, float]:
+        return self.column, self.lower, self.upper
 
 
-def _cell(index: int, t: _Target, values: Mapping[str, Column]) -> Column:
-    v = comparable(values[t.column])
-    if t.half_width > 0:
-        # Halves keep the width of a bracket finite for any pair of doubles.
-        share = (v / 2 - F.lit(t.lower / 2)) / F.lit(t.half_width)
-        inside = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+def _bucket(v: str, lower: float, upper: float) -> str:
+    # Halves keep the width finite for any pair of doubles. Infinite bounds, or a width
+    # too small to divide by, leave three parts.
+    half = upper / 2 - lower / 2
+    if 0 < half < float("inf"):
+        share = f"({v} / 2 - {double(lower / 2)}) / {double(half)}"
+        inside = f"CAST(least(floor({share} * {BUCKETS}), {BUCKETS - 1}) AS INT)"
     else:
-        inside = F.lit(0)
-    bucket = F.when(v < t.lower, -1).when(v > t.upper, BUCKETS).otherwise(inside)
-    if t.rank is not None:
-        v = F.when(v.between(t.lower, t.upper), v)
-    return F.struct(F.lit(index).alias("target"), bucket.alias("bucket"), v.alias("value"))
-
-
-def _round(df: DataFrame, targets: Sequence[_Target], values: Mapping[str, Column]) -> list:
-    """The bucket holding each target's rank: at most one row per target."""
-    if all(t.rank is not None for t in targets):
-        df = df.where(
-            reduce(or_, [values[t.column].cast("double").between(t.lower, t.upper) for t in targets])
-        )
-    counted = (
-        df.select(F.inline(F.array(*[_cell(i, t, values) for i, t in enumerate(targets)])))
-        .where("value IS NOT NULL")
-        .groupBy("target", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    )
-    by_target = Window.partitionBy("target")
-    share = F.element_at(F.array(*[F.lit(float(t.p)) for t in targets]), F.col("target") + 1)
-    known = F.element_at(F.array(*[F.lit(t.rank).cast("long") for t in targets]), F.col("target") + 1)
+        inside = f"CASE WHEN {v} = {double(lower)} THEN 0 WHEN {v} = {double(upper)} THEN 2 ELSE 1 END"
+    return f"CASE WHEN {v} < {double(lower)} THEN -1 WHEN {v} > {double(upper)} THEN {BUCKETS} ELSE {inside} END"
+
+
+def _round(df: DataFrame, searches: Sequence[_Search], values: Mapping[str, str]) -> list:
+    """The bucket that holds each search's rank: one row per search."""
+    brackets = list(dict.fromkeys(s.bracket for s in searches))
+    if all(s.narrowed for s in searches):
+        near = [f"{values[c]} BETWEEN {double(low)} AND {double(high)}" for c, low, high in brackets]
+        df = df.where(" OR ".join(near))
+    cells, ranks = [], []
+    for i, (column, lower, upper) in enumerate(brackets):
+        v = f"v{i}"
+        cells.append(f"named_struct('cell', {i}, 'bucket', {_bucket(v, lower, upper)}, 'value', {v})")
+        own = [(j, s) for j, s in enumerate(searches) if s.bracket == brackets[i]]
+        ranks.append("array(" + ", ".join(f"named_struct('search', {j}, 'rank', {s.rank}L)" for j, s in own) + ")")
+    narrowed = {s.bracket for s in searches if s.narrowed}
+    inputs = [
+        f"CASE WHEN {v} BETWEEN {double(b[1])} AND {double(b[2])} THEN {v} END AS v{i}" if b in narrowed else f"{v} AS v{i}"
+        for i, b in enumerate(brackets)
+        for v in [comparable(values[b[0]])]
+    ]
     return (
-        counted.withColumns(
-            {
-                "upto": F.sum("n").over(by_target.orderBy("bucket")),
-                "total": F.sum("n").over(by_target),
-            }
-        )
-        .withColumn(
-            "rank",
-            F.coalesce(known, F.greatest(F.lit(1), F.ceil(share * F.col("total")))),
-        )
-        .where("upto >= rank AND upto - n < rank")
-        .select("target", "n", "lo", "hi", "total", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+        df.selectExpr(*inputs)
+        .selectExpr(f"inline(array({', '.join(cells)}))")
+        .where("value IS NOT NULL")
+        .groupBy("cell", "bucket")
+        .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .selectExpr("*", "sum(n) OVER (PARTITION BY cell ORDER BY bucket) - n AS before")
+        .selectExpr("n", "lo", "hi", "before", f"inline(element_at(array({', '.join(ranks)}), cell + 1))")
+        .where("before < rank AND rank <= before + n")
+        .selectExpr("search", "n", "lo", "hi", "rank - before AS rank")
         .collect()
     )
 
 
+def order_statistics(
+    df: DataFrame,
+    values: Mapping[str, str],
+    wanted: Mapping[str, Sequence[int]],
+    extents: Mapping[str, Extent],
+    rel_error: float = 0.0,
+) -> dict[tuple[str, int], float]:
+    """Value at each ``(column, rank)`` of ``wanted``; ranks count from 1, NULL and NaN apart.
+
+    ``values`` are SQL expressions. With ``rel_error``, a value whose rank differs by at
+    most that share of the column's values may be returned; zero means exact.
+    """
+    searches = [
+        _Search(c, r, r, extents[c].lower, extents[c].upper)
+        for c, ranks in wanted.items()
+        for r in sorted(set(ranks))
+    ]
+    found: dict[tuple[str, int], float] = {}
+    while searches:
+        following = []
+        for row in _round(df, searches, values):
+            s = searches[row["search"]]
+            if row["rank"] == 1 or row["lo"] == row["hi"]:
+                found[s.column, s.asked] = row["lo"]
+            elif row["rank"] == row["n"] or row["n"] <= rel_error * extents[s.column].n:
+                found[s.column, s.asked] = row["hi"]
+            else:
+                following.append(_Search(s.column, s.asked, row["rank"], row["lo"], row["hi"], True))
+        # Searches of one column that land in the same bucket share the next bracket.
+        searches = following
+    return found
+
+
 def quantiles(
     df: DataFrame,
-    values: Mapping[str, Column],
     probabilities: Mapping[str, Sequence[float]],
     rel_error: float = 0.0,
-    bounds: Mapping[str, Bounds] | None = None,
+    values: Mapping[str, str] | None = None,
 ) -> dict[str, list[float | None]]:
     """For each name in ``probabilities``, the values at those quantiles.
 
     The quantile ``p`` of ``n`` values is the one at rank ``max(1, ceil(p * n))``, so it
-    is always an element of the data. ``rel_error`` allows a rank error of that share of
-    ``n``. A column without values gives ``None``. ``bounds`` (finite minimum and maximum,
-    e.g. from a profile) saves the pass that finds them.
+    is always an element of the data. A column without values gives ``None``. ``values``
+    gives the SQL expression of a name that is not simply a column.
     """
-    names = [n for n, ps in probabilities.items() if ps]
+    names = [c for c, ps in probabilities.items() if ps]
     if not names:
-        return {n: [] for n in probabilities}
-    if bounds is None:
-        row = df.agg(
-            *[f(values[n]).alias(f"{k}{i}") for i, n in enumerate(names) for k, f in (("lo", finite_min), ("hi", finite_max))]
-        ).first()
-        bounds = {n: (row[f"lo{i}"], row[f"hi{i}"]) for i, n in enumerate(names)}
-
-    found: dict[tuple[str, float], float] = {}
-    tolerated: dict[tuple[str, float], float] = {}
-    open_targets = []
-    for n in names:
-        lower, upper = bounds[n]
-        lower, upper = (0.0, 0.0) if lower is None else (float(lower), float(upper))
-        open_targets += [_Target(n, p, lower, upper) for p in sorted(set(probabilities[n]))]
-
-    while open_targets:
-        following = []
-        for row in _round(df, open_targets, values):
-            t = open_targets[row["target"]]
-            key = (t.column, t.p)
-            allowed = tolerated.setdefault(key, rel_error * row["total"])
-            narrowed = _Target(t.column, t.p, row["lo"], row["hi"], row["rank"])
-            if row["rank"] == 1 or narrowed.half_width == 0:
-                found[key] = row["lo"]
-            elif row["rank"] == row["n"] or row["n"] <= allowed:
-                found[key] = row["hi"]
-            else:
-                following.append(narrowed)
-        open_targets = following
-    return {n: [found.get((n, p)) for p in ps] for n, ps in probabilities.items()}
+        return {c: [] for c in probabilities}
+    sql = {c: (values or {}).get(c, f"`{c}`") for c in names}
+    row = df.selectExpr(
+        *[f"{m} AS {k}{i}" for i, c in enumerate(names) for k, m in Extent.measures(sql[c]).items()]
+    ).first()
+    extents = {c: Extent.of({k: row[f"{k}{i}"] for k in ("n", "lower", "upper")}) for i, c in enumerate(names)}
+    ranks = {c: [rank_of(p, extents[c].n) for p in probabilities[c]] for c in names if extents[c].n}
+    found = order_statistics(df, sql, ranks, extents, rel_error)
+    return {
+        c: [found[c, r] for r in ranks[c]] if c in ranks else [None] * len(ps)
+        for c, ps in probabilities.items()
+    }

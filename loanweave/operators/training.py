@@ -11,7 +11,7 @@ from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.functions.expressions import ratio
+from loanweave.functions.expressions import quoted, ratio
 from loanweave.functions.roles import numeric_columns
 from loanweave.sources.tables import APPLICANT, BUREAU_LOAN, LABEL, PREVIOUS_LOAN
 from loanweave.sources.writers import save_model
@@ -32,8 +32,8 @@ def with_ratios(
 ) -> DataFrame:
     return df.withColumns(
         {
-            "Credit_to_Income": ratio(F.col(credit), F.col(income)),
-            "Annuity_to_Income": ratio(F.col(annuity), F.col(income)),
+            "Credit_to_Income": F.expr(ratio(quoted(credit), quoted(income))),
+            "Annuity_to_Income": F.expr(ratio(quoted(annuity), quoted(income))),
         }
     )
 

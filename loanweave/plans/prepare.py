@@ -91,20 +91,20 @@ def check_tables(
     days: Sequence[str] = presets.DAYS,
     employed: str = "DAYS_EMPLOYED",
 ) -> list[DataFrame]:
+    """Check rows, from one scan per table."""
     rows = []
     for name, df in tables.items():
         offsets = matching(df.columns, days)
+        found = [checks.nulls_acceptable(df, name in acceptable)]
         if name in ("app_train", "app_test"):
-            rows.append(checks.sentinel_gone(df, name, [employed]))
-            rows.append(checks.remaining_nulls(df, name, [employed]))
+            found += [checks.sentinel_gone(df, [employed]), checks.remaining_nulls(df, [employed])]
         if name == "prev_app":
-            rows.append(checks.sentinel_gone(df, name, offsets))
+            found.append(checks.sentinel_gone(df, offsets))
         if name in DAYS_CHECKED:
-            rows.append(checks.days_not_positive(df, name, offsets, (employed,)))
+            found.append(checks.days_not_positive(offsets, (employed,)))
         if name in dropped:
-            rows.append(checks.columns_dropped(df, name, dropped[name]))
+            found.append(checks.columns_dropped(df, dropped[name]))
         if name in shapes:
-            rows.append(checks.expected_shape(df, name, *shapes[name]))
-    if tables:
-        rows.append(checks.nulls_acceptable(tables, acceptable))
+            found.append(checks.expected_shape(df, *shapes[name]))
+        rows.append(checks.run(df, name, *found))
     return rows
