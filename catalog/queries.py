@@ -187,7 +187,8 @@ def _stored_cleaned(spark: SparkSession, sf: str) -> tuple[dict, list[str], dict
     roles = {"app_train": "v_app", "bureau": "v_bureau", "prev_app": "v_prev", "installments": "v_inst"}
     paths, shapes = {}, {}
     for table, name in roles.items():
-        raw = stage(view(spark, sf, name), name)
+        raw = view(spark, sf, name)
+        raw = stage(raw, name) if name in JOINED else raw
         fitted = SPECS[name].fit(raw)
         paths[table] = staging_path(spark, table)
         write_parquet(fitted.transform(raw), paths[table])

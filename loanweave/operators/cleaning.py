@@ -77,7 +77,7 @@ class CleaningSpec:
 
     def fit(self, df: DataFrame) -> "FittedCleaning":
         keep, profile = self._surviving(df)
-        df = df.select(*keep)
+        df = df.selectExpr(*map(X.quoted, keep))
         repaired = self.repaired(keep)
         kept = df.where(self.kept_rows(keep)) if self.require_negative else df
         types = {f.name: f.dataType for f in df.schema}
@@ -134,7 +134,7 @@ class CleaningSpec:
         if self.require_negative in columns and self.require_negative not in keep:
             # The filter column itself is gone, so no row is removed after all.
             again = replace(self, require_negative=None, sparse_share=None)
-            return again._surviving(df.select(*keep))
+            return again._surviving(df.selectExpr(*map(X.quoted, keep)))
         return keep, profile
 
     def _is_sparse(self, stats: dict) -> bool:
@@ -217,12 +217,10 @@ class FittedCleaning:
     def transform(self, df: DataFrame) -> DataFrame:
         spec, columns = self.spec, list(self.columns)
         sql = spec.repaired(columns)
-        texts: dict[str, str] = {}
+        texts = {c: v for c, v in self.fills.items() if isinstance(v, str)}
         for c in columns:
             kind = self.types[c].simpleString()
-            if isinstance(self.fills.get(c), str):
-                texts[c] = self.fills[c]
-            elif c in self.fills:
+            if c in self.fills and c not in texts:
                 sql[c] = X.fill(sql[c], self.fills[c], kind)
             if c in self.fence_bounds:
                 sql[c] = X.clip(sql[c], *self.fence_bounds[c])
@@ -233,8 +231,9 @@ class FittedCleaning:
                 if self.refills.get(c) is not None:
                     sql[c] = X.fill(sql[c], self.refills[c], kind)
         rows = df.where(spec.kept_rows(columns)) if spec.require_negative else df
-        out = rows.selectExpr(*[f"{sql[c]} AS {X.quoted(c)}" for c in columns])
-        return out.fillna(texts) if texts else out
+        out = {c: F.expr(sql[c]) for c in columns}
+        out |= {c: F.coalesce(out[c], F.lit(text)) for c, text in texts.items()}
+        return rows.select(*[value.alias(c) for c, value in out.items()])
 
 
 def clean(df: DataFrame, spec: CleaningSpec) -> DataFrame:
@@ -261,7 +260,7 @@ def fill_mode(df: DataFrame, columns: Names = ("*",)) -> DataFrame:
 
 def fill_constant(df: DataFrame, value: str = "Unknown") -> DataFrame:
     texts = text_columns(df.schema)
-    return df.fillna(value, subset=texts) if texts else df
+    return df.withColumns({c: F.coalesce(F.col(X.quoted(c)), F.lit(value)) for c in texts})
 
 
 def fence(

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanweave.sources.staging import stage
+from loanweave.sources.staging import stage, stage_all
 
 BROADCAST_LIMIT = 50 * 1024 * 1024
 HOT_SHARE = 0.001
@@ -114,7 +114,7 @@ def attach(
     """
     chosen = [strategy] * len(sides)
     if strategy == "broadcast":
-        sides = [stage(s, "side") for s in sides]
+        sides = stage_all(sides, "side")
         chosen = ["broadcast_checked" if measured_bytes(s) <= limit else "shuffle" for s in sides]
     cold, hot = base, None
     if hot_share is not None and any(c != "broadcast_checked" for c in chosen):

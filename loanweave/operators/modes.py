@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanweave.functions.expressions import quoted
+
 
 def mode_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows ``(column, value, n)``.
@@ -15,7 +17,7 @@ def mode_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     combined per task before the shuffle, so a value that fills a third of the table
     costs no more than a rare one.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(quoted(c)).alias("value")) for c in columns])
     return (
         df.select(F.inline(pairs))
         .groupBy("column", "value")

@@ -21,7 +21,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.functions.expressions import comparable, double
+from loanweave.functions.expressions import comparable, double, quoted
 
 BUCKETS = 4096
 
@@ -161,7 +161,7 @@ def quantiles(
     names = [c for c, ps in probabilities.items() if ps]
     if not names:
         return {c: [] for c in probabilities}
-    sql = {c: (values or {}).get(c, f"`{c}`") for c in names}
+    sql = {c: (values or {}).get(c, quoted(c)) for c in names}
     row = df.selectExpr(
         *[f"{m} AS {k}{i}" for i, c in enumerate(names) for k, m in Extent.measures(sql[c]).items()]
     ).first()

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(dfs: Sequence[DataFrame], label: str) -> list[DataFrame]:
+    """Stage several results as concurrent jobs, so that short stages share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(len(dfs), 1)) as pool:
+        return list(pool.map(lambda df: stage(df, label), dfs))
