@@ -45,14 +45,31 @@ def count_positive(column: str) -> str:
     return f"count_if({quoted(column)} > 0)"
 
 
+# Codes of I, N, i, n (as in Infinity, NaN) and DEL, which a cast trims like other controls.
+_LETTERS = "73, 78, 105, 110, 127"
+
+
+def text_number(column: str) -> str:
+    """The number that a text reads as, else NULL.
+
+    A failing cast is slow, so text whose first character rules a number out is not cast:
+    digits, signs, point and blanks all come before ``:`` (58).
+    """
+    c = quoted(column)
+    return (
+        f"CASE WHEN ascii({c}) <= 57 OR ascii({c}) IN ({_LETTERS})"
+        f" THEN try_cast({c} AS DOUBLE) END"
+    )
+
+
 def text_mean(column: str) -> str:
     """Mean of the values that read as numbers; other text counts as missing."""
-    return f"avg(try_cast({quoted(column)} AS DOUBLE))"
+    return f"avg({text_number(column)})"
 
 
 def text_sum(column: str) -> str:
-    return f"sum(try_cast({quoted(column)} AS DOUBLE))"
+    return f"sum({text_number(column)})"
 
 
 def text_count(column: str) -> str:
-    return f"count(try_cast({quoted(column)} AS DOUBLE))"
+    return f"count({text_number(column)})"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanweave.operators import aggregates as A
 from loanweave.operators.aggregates import Rollup
-from loanweave.operators.joins import attach, left_join
+from loanweave.operators.joins import attach
 from loanweave.sources.tables import APPLICANT, read_cleaned
 from loanweave.sources.writers import write_counted
 
@@ -31,7 +31,7 @@ def loans_with_balance(
 ) -> DataFrame:
     """Bureau loans with their rolled-up monthly balance."""
     rollup = rollup or A.balance_rollup()
-    return left_join(bureau, rollup(balance), rollup.key, strategy)
+    return attach(bureau, [rollup(balance)], rollup.key, strategy)
 
 
 def balance_features(

@@ -21,6 +21,14 @@ def test_text_mean(spark, rows):
     assert rows(A.balance_rollup()(df)) == [(1, 2, 0.0), (2, 2, 2.0), (3, 2, None)]
 
 
+def test_text_number_equals_a_plain_cast(spark):
+    texts = " 1|\t2|+3|-.5|.5|1e3|NaN|nan|Infinity|-inf|inf|0x1p3|1d|2F|C|X|5C||  |\u0663|\x7f5|\x01 6 |--1|a1".split("|")
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "s STRING")
+    pairs = df.selectExpr(f"{M.text_number('s')} AS a", "try_cast(s AS DOUBLE) AS b").collect()
+    assert [str(r.a) for r in pairs] == [str(r.b) for r in pairs]
+    assert sum(r.b is not None for r in pairs) >= 12
+
+
 def test_bureau_rollup_counts_and_nulls(spark, rows):
     df = spark.createDataFrame(
         [(1, 10, 5.0, None, -3, "Active"), (1, 11, None, None, -5, None), (None, 12, 1.0, 1.0, -1, "Closed")],
