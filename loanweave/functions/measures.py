@@ -3,7 +3,7 @@
 ``scale`` on a sum or mean adds the values up exactly, as whole numbers of that many
 decimal places. A double sum depends on the order in which partitions are merged, so it
 can change between two runs or after a lost executor; the exact one cannot, and costs the
-same. Every measure combines on the map side.
+same. It needs finite values, and ANSI mode reports any other. Every measure combines on the map side.
 """
 
 from __future__ import annotations

@@ -1,11 +1,12 @@
 """Order statistics of many columns at once, by counting values in narrowing brackets.
 
-One round puts every value of the wanted columns into one of ``BUCKETS`` equal parts of
-a bracket and counts. The counts combine on the map side, so a round shuffles at most
-``BUCKETS`` small rows per bracket and task, however large or skewed the data is, and
-all reducers share them. The part that holds the wanted rank becomes the next bracket,
-and only rows inside it are looked at again. With a tolerated rank error most searches
-end after the first round.
+One round puts every value of the wanted columns into one of many parts of a bracket and
+counts. The counts combine on the map side, so a round shuffles at most about
+``ROWS_PER_TASK`` small rows per task, however large or skewed the data is, and all
+reducers share them. The part that holds the wanted rank becomes the next bracket, and
+only rows inside it are looked at again. The first round divides on a logarithmic scale,
+so that far outliers do not push all other values into one part. With a tolerated rank
+error most searches end after one or two rounds.
 
 Compared with merging one quantile sketch per task and column in a single reducer, the
 result does not depend on partitioning or merge order (a retried task cannot change a
@@ -14,21 +15,22 @@ fill value), it can be exact, and no step holds more than a bounded state.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanweave.functions.expressions import comparable, double, quoted
 
-BUCKETS = 4096
+ROWS_PER_TASK = 65_536
+MOST_PARTS, FEWEST_PARTS = 16_384, 1_024
 
 
 def rank_of(p: float, n: int) -> int:
     """1-based rank of quantile ``p`` among ``n`` values."""
-    return max(1, ceil(p * n))
+    return max(1, math.ceil(p * n))
 
 
 @dataclass(frozen=True)
@@ -69,31 +71,44 @@ class _Search:
         return self.column, self.lower, self.upper
 
 
-def _bucket(v: str, lower: float, upper: float) -> str:
-    # Halves keep the width finite for any pair of doubles. Infinite bounds, or a width
-    # too small to divide by, leave three parts.
+def _scaled(x: float) -> float:
+    return math.copysign(math.log1p(abs(x)), x)
+
+
+def _part(v: str, lower: float, upper: float, parts: int, logarithmic: bool) -> str:
+    """Index of the part of the bracket that ``v`` is in; -1 below it, ``parts`` above.
+
+    The index never falls as the value rises, which is all that the counting relies on.
+    """
+    # Halves keep the width finite for any pair of doubles.
     half = upper / 2 - lower / 2
-    if 0 < half < float("inf"):
+    log_width = _scaled(upper) - _scaled(lower)
+    if logarithmic and 0 < log_width < math.inf:
+        share = f"(signum({v}) * log1p(abs({v})) - {double(_scaled(lower))}) / {double(log_width)}"
+    elif 0 < half < math.inf:
         share = f"({v} / 2 - {double(lower / 2)}) / {double(half)}"
-        inside = f"CAST(least(floor({share} * {BUCKETS}), {BUCKETS - 1}) AS INT)"
     else:
-        inside = f"CASE WHEN {v} = {double(lower)} THEN 0 WHEN {v} = {double(upper)} THEN 2 ELSE 1 END"
-    return f"CASE WHEN {v} < {double(lower)} THEN -1 WHEN {v} > {double(upper)} THEN {BUCKETS} ELSE {inside} END"
+        # Infinite bounds, or a width too small to divide by: three parts.
+        share = f"CASE WHEN {v} = {double(lower)} THEN 0D WHEN {v} = {double(upper)} THEN 1D ELSE 0.5D END"
+    inside = f"greatest(0, least({parts - 1}, CAST(floor({share} * {parts}) AS INT)))"
+    return f"CASE WHEN {v} < {double(lower)} THEN -1 WHEN {v} > {double(upper)} THEN {parts} ELSE {inside} END"
 
 
 def _round(df: DataFrame, searches: Sequence[_Search], values: Mapping[str, str]) -> list:
-    """The bucket that holds each search's rank: one row per search."""
+    """The part that holds each search's rank: one row per search."""
     brackets = list(dict.fromkeys(s.bracket for s in searches))
     if all(s.narrowed for s in searches):
         near = [f"{values[c]} BETWEEN {double(low)} AND {double(high)}" for c, low, high in brackets]
         df = df.where(" OR ".join(near))
+    parts = max(FEWEST_PARTS, min(MOST_PARTS, ROWS_PER_TASK // len(brackets)))
+    narrowed = {s.bracket for s in searches if s.narrowed}
     cells, ranks = [], []
     for i, (column, lower, upper) in enumerate(brackets):
         v = f"v{i}"
-        cells.append(f"named_struct('cell', {i}, 'bucket', {_bucket(v, lower, upper)}, 'value', {v})")
+        part = _part(v, lower, upper, parts, brackets[i] not in narrowed)
+        cells.append(f"named_struct('cell', {i}, 'part', {part}, 'value', {v})")
         own = [(j, s) for j, s in enumerate(searches) if s.bracket == brackets[i]]
         ranks.append("array(" + ", ".join(f"named_struct('search', {j}, 'rank', {s.rank}L)" for j, s in own) + ")")
-    narrowed = {s.bracket for s in searches if s.narrowed}
     inputs = [
         f"CASE WHEN {v} BETWEEN {double(b[1])} AND {double(b[2])} THEN {v} END AS v{i}" if b in narrowed else f"{v} AS v{i}"
         for i, b in enumerate(brackets)
@@ -103,9 +118,9 @@ def _round(df: DataFrame, searches: Sequence[_Search], values: Mapping[str, str]
         df.selectExpr(*inputs)
         .selectExpr(f"inline(array({', '.join(cells)}))")
         .where("value IS NOT NULL")
-        .groupBy("cell", "bucket")
+        .groupBy("cell", "part")
         .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .selectExpr("*", "sum(n) OVER (PARTITION BY cell ORDER BY bucket) - n AS before")
+        .selectExpr("*", "sum(n) OVER (PARTITION BY cell ORDER BY part) - n AS before")
         .selectExpr("n", "lo", "hi", "before", f"inline(element_at(array({', '.join(ranks)}), cell + 1))")
         .where("before < rank AND rank <= before + n")
         .selectExpr("search", "n", "lo", "hi", "rank - before AS rank")
@@ -141,7 +156,7 @@ def order_statistics(
                 found[s.column, s.asked] = row["hi"]
             else:
                 following.append(_Search(s.column, s.asked, row["rank"], row["lo"], row["hi"], True))
-        # Searches of one column that land in the same bucket share the next bracket.
+        # Searches of one column that land in the same part share the next bracket.
         searches = following
     return found
 

@@ -11,7 +11,7 @@ from loanweave.operators import checks
 from loanweave.operators.cleaning import CleaningSpec, clean
 from loanweave.plans import cleaning_presets as presets
 from loanweave.sources.readers import read_csv
-from loanweave.sources.staging import stage
+from loanweave.sources.staging import staged
 from loanweave.sources.tables import TABLES, load_existing, parquet_path, read_raw
 from loanweave.sources.writers import write_counted
 
@@ -45,8 +45,8 @@ DAYS_CHECKED = ("app_train", "app_test", "bureau", "prev_app", "installments")
 
 def clean_application_csv(spark: SparkSession, source: str, target: str) -> int:
     """The basic contract on one CSV file. Returns the number of rows written."""
-    raw = stage(read_csv(spark, source), "raw")
-    return write_counted(clean(raw, presets.basic_application()), target)
+    with staged(read_csv(spark, source), "raw") as raw:
+        return write_counted(clean(raw, presets.basic_application()), target)
 
 
 def clean_all(
@@ -63,8 +63,8 @@ def clean_all(
     """
     written = {}
     for name, spec in (specs or presets.thorough()).items():
-        raw = stage(read_raw(spark, raw_root, [name])[name], f"raw-{name}")
-        written[name] = write_counted(clean(raw, spec), parquet_path(clean_root, name, pattern))
+        with staged(read_raw(spark, raw_root, [name])[name], f"raw-{name}") as raw:
+            written[name] = write_counted(clean(raw, spec), parquet_path(clean_root, name, pattern))
     return written
 
 

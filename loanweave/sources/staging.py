@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As ``stage``, for a copy that is needed only inside the block and removed after it."""
+    spark = df.sparkSession
+    path = staging_path(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage_all(dfs: Sequence[DataFrame], label: str) -> list[DataFrame]:
     """Stage several results as concurrent jobs, so that short stages share the cluster."""
     with ThreadPoolExecutor(max_workers=max(len(dfs), 1)) as pool:

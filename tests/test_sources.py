@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,13 @@ def test_staging_uses_the_session_folder(spark):
     assert df.count() == 4 and "FileScan" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_staged_copy_is_removed(spark, tmp_path):
+    with staging.staged(spark.range(4), "once") as df:
+        path = df.inputFiles()[0]
+        assert df.count() == 4 and os.path.exists(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
 def raw_tables(spark, root):
     ids = spark.range(40)
     frames = {
