@@ -119,11 +119,13 @@ class CleaningSpec:
         def stats(name: str) -> dict[str, str]:
             value = f"CASE WHEN {rows} THEN {repaired[name]} END" if self.require_negative else repaired[name]
             judged = X.quoted(name) if self.sparse_before_repair else repaired[name]
+            missing = f"{repaired[name]} IS NULL"
+            missing = f"{rows} AND {missing}" if self.require_negative else missing
             lower, upper = self.refill.get(name, ("NULL", "NULL"))
             extent = Extent.measures(value if name in numeric else "NULL")
             return {
                 "judged_nulls": f"count_if({judged} IS NULL)",
-                "nulls": f"count_if({rows} AND {repaired[name]} IS NULL)",
+                "nulls": f"count_if({missing})",
                 "below": f"count_if({value} < {lower})" if name in self.refill else "0L",
                 "within": f"count_if({value} BETWEEN {lower} AND {upper})" if name in self.refill else "0L",
                 **extent,

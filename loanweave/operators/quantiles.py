@@ -26,6 +26,7 @@ from loanweave.functions.expressions import comparable, double, quoted
 
 ROWS_PER_TASK = 65_536
 MOST_PARTS, FEWEST_PARTS = 16_384, 1_024
+COLUMNS_AT_ONCE = 64
 
 
 def rank_of(p: float, n: int) -> int:
@@ -35,7 +36,7 @@ def rank_of(p: float, n: int) -> int:
 
 @dataclass(frozen=True)
 class Extent:
-    """Count and finite bounds of a column's values (NULL and NaN apart)."""
+    """Count and bounds of a column's values (NULL and NaN apart)."""
 
     n: int
     lower: float
@@ -45,16 +46,11 @@ class Extent:
     def measures(value: str) -> dict[str, str]:
         """Aggregates, as SQL, that ``of`` reads."""
         v = comparable(value)
-        finite = f"abs({v}) < double('inf')"
-        return {
-            "n": f"count({v})",
-            "lower": f"min({v}) FILTER (WHERE {finite})",
-            "upper": f"max({v}) FILTER (WHERE {finite})",
-        }
+        return {"n": f"count({v})", "lower": f"min({v})", "upper": f"max({v})"}
 
     @classmethod
     def of(cls, row: Mapping) -> "Extent":
-        return cls(row["n"], row["lower"] or 0.0, row["upper"] or 0.0)
+        return cls(row["n"], row["lower"], row["upper"])
 
 
 @dataclass(frozen=True)
@@ -75,53 +71,69 @@ def _scaled(x: float) -> float:
     return math.copysign(math.log1p(abs(x)), x)
 
 
-def _part(v: str, lower: float, upper: float, parts: int, logarithmic: bool) -> str:
-    """Index of the part of the bracket that ``v`` is in; -1 below it, ``parts`` above.
-
-    The index never falls as the value rises, which is all that the counting relies on.
-    """
-    # Halves keep the width finite for any pair of doubles.
-    half = upper / 2 - lower / 2
+def _division(search: _Search) -> tuple[int, float, float]:
+    """How a bracket is divided: (kind, start, width). Logarithmic 0, even 1, in three 2."""
+    lower, upper = search.lower, search.upper
     log_width = _scaled(upper) - _scaled(lower)
-    if logarithmic and 0 < log_width < math.inf:
-        share = f"(signum({v}) * log1p(abs({v})) - {double(_scaled(lower))}) / {double(log_width)}"
-    elif 0 < half < math.inf:
-        share = f"({v} / 2 - {double(lower / 2)}) / {double(half)}"
-    else:
-        # Infinite bounds, or a width too small to divide by: three parts.
-        share = f"CASE WHEN {v} = {double(lower)} THEN 0D WHEN {v} = {double(upper)} THEN 1D ELSE 0.5D END"
-    inside = f"greatest(0, least({parts - 1}, CAST(floor({share} * {parts}) AS INT)))"
-    return f"CASE WHEN {v} < {double(lower)} THEN -1 WHEN {v} > {double(upper)} THEN {parts} ELSE {inside} END"
+    half = upper / 2 - lower / 2  # halves keep the width finite for any two doubles
+    if not search.narrowed and 0 < log_width < math.inf:
+        return 0, _scaled(lower), log_width
+    if 0 < half < math.inf:
+        return 1, lower / 2, half
+    return 2, 0.0, 1.0  # an infinite bound, or a width too small to divide by
+
+
+# The index of the part that ``value`` is in; -1 below the bracket, {parts} above. It never
+# falls as the value rises, which is all that the counting relies on.
+_PART = """
+CASE WHEN value < lower THEN -1 WHEN value > upper THEN {parts} ELSE
+  greatest(0, least({parts} - 1, CAST(floor({parts} *
+    CASE kind WHEN 0 THEN (signum(value) * log1p(abs(value)) - start) / width
+              WHEN 1 THEN (value / 2 - start) / width
+              ELSE CASE WHEN value = lower THEN 0D WHEN value = upper THEN 1D ELSE 0.5D END END
+  ) AS INT))) END AS part"""
 
 
 def _round(df: DataFrame, searches: Sequence[_Search], values: Mapping[str, str]) -> list:
     """The part that holds each search's rank: one row per search."""
-    brackets = list(dict.fromkeys(s.bracket for s in searches))
-    if all(s.narrowed for s in searches):
-        near = [f"{values[c]} BETWEEN {double(low)} AND {double(high)}" for c, low, high in brackets]
-        df = df.where(" OR ".join(near))
-    parts = max(FEWEST_PARTS, min(MOST_PARTS, ROWS_PER_TASK // len(brackets)))
-    narrowed = {s.bracket for s in searches if s.narrowed}
-    cells, ranks = [], []
-    for i, (column, lower, upper) in enumerate(brackets):
-        v = f"v{i}"
-        part = _part(v, lower, upper, parts, brackets[i] not in narrowed)
-        cells.append(f"named_struct('cell', {i}, 'part', {part}, 'value', {v})")
-        own = [(j, s) for j, s in enumerate(searches) if s.bracket == brackets[i]]
-        ranks.append("array(" + ", ".join(f"named_struct('search', {j}, 'rank', {s.rank}L)" for j, s in own) + ")")
-    inputs = [
-        f"CASE WHEN {v} BETWEEN {double(b[1])} AND {double(b[2])} THEN {v} END AS v{i}" if b in narrowed else f"{v} AS v{i}"
-        for i, b in enumerate(brackets)
-        for v in [comparable(values[b[0]])]
+    by_bracket: dict[tuple, list[int]] = {}
+    for i, s in enumerate(searches):
+        by_bracket.setdefault(s.bracket, []).append(i)
+    cells = [searches[own[0]] for own in by_bracket.values()]
+    parts = max(FEWEST_PARTS, min(MOST_PARTS, ROWS_PER_TASK // len(cells)))
+
+    def within(s: _Search, v: str) -> str:
+        return f"{v} BETWEEN {double(s.lower)} AND {double(s.upper)}"
+
+    if all(s.narrowed for s in cells):
+        df = df.where(" OR ".join(within(s, values[s.column]) for s in cells))
+    inputs = []
+    for s in cells:
+        v = comparable(values[s.column])
+        inputs.append(f"CASE WHEN {within(s, v)} THEN {v} END" if s.narrowed else v)
+    # One array per setting, looked up by cell: the code that runs per value stays small,
+    # however many columns there are.
+    divisions = [_division(s) for s in cells]
+    settings = {
+        "lower": [double(s.lower) for s in cells],
+        "upper": [double(s.upper) for s in cells],
+        "kind": [str(kind) for kind, _, _ in divisions],
+        "start": [double(start) for _, start, _ in divisions],
+        "width": [double(width) for _, _, width in divisions],
+    }
+    ranks = [
+        "array(" + ", ".join(f"named_struct('search', {i}, 'rank', {searches[i].rank}L)" for i in own) + ")"
+        for own in by_bracket.values()
     ]
     return (
-        df.selectExpr(*inputs)
-        .selectExpr(f"inline(array({', '.join(cells)}))")
+        df.selectExpr(f"posexplode(array({', '.join(inputs)})) AS (cell, value)")
         .where("value IS NOT NULL")
+        .selectExpr("cell", "value", *[f"array({', '.join(v)})[cell] AS {k}" for k, v in settings.items()])
+        .selectExpr("cell", "value", _PART.format(parts=parts))
         .groupBy("cell", "part")
         .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         .selectExpr("*", "sum(n) OVER (PARTITION BY cell ORDER BY part) - n AS before")
-        .selectExpr("n", "lo", "hi", "before", f"inline(element_at(array({', '.join(ranks)}), cell + 1))")
+        .selectExpr("n", "lo", "hi", "before", f"inline(array({', '.join(ranks)})[cell])")
         .where("before < rank AND rank <= before + n")
         .selectExpr("search", "n", "lo", "hi", "rank - before AS rank")
         .collect()
@@ -140,24 +152,28 @@ def order_statistics(
     ``values`` are SQL expressions. With ``rel_error``, a value whose rank differs by at
     most that share of the column's values may be returned; zero means exact.
     """
-    searches = [
-        _Search(c, r, r, extents[c].lower, extents[c].upper)
-        for c, ranks in wanted.items()
-        for r in sorted(set(ranks))
-    ]
     found: dict[tuple[str, int], float] = {}
-    while searches:
-        following = []
-        for row in _round(df, searches, values):
-            s = searches[row["search"]]
-            if row["rank"] == 1 or row["lo"] == row["hi"]:
-                found[s.column, s.asked] = row["lo"]
-            elif row["rank"] == row["n"] or row["n"] <= rel_error * extents[s.column].n:
-                found[s.column, s.asked] = row["hi"]
-            else:
-                following.append(_Search(s.column, s.asked, row["rank"], row["lo"], row["hi"], True))
-        # Searches of one column that land in the same part share the next bracket.
-        searches = following
+    names = [c for c, ranks in wanted.items() if ranks]
+    # A batch of columns keeps within the limits of code generation. Batches share no
+    # column, so a columnar source is not read twice.
+    for first in range(0, len(names), COLUMNS_AT_ONCE):
+        searches = [
+            _Search(c, r, r, extents[c].lower, extents[c].upper)
+            for c in names[first : first + COLUMNS_AT_ONCE]
+            for r in sorted(set(wanted[c]))
+        ]
+        while searches:
+            following = []
+            for row in _round(df, searches, values):
+                s = searches[row["search"]]
+                if row["rank"] == 1 or row["lo"] == row["hi"]:
+                    found[s.column, s.asked] = row["lo"]
+                elif row["rank"] == row["n"] or row["n"] <= rel_error * extents[s.column].n:
+                    found[s.column, s.asked] = row["hi"]
+                else:
+                    following.append(_Search(s.column, s.asked, row["rank"], row["lo"], row["hi"], True))
+            # Searches of one column that land in the same part share the next bracket.
+            searches = following
     return found
 
 
