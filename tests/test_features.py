@@ -130,3 +130,20 @@ def test_compare_strategies(spark):
     out = features.compare_strategies(base, [base.selectExpr("k", "k AS a")], "k").collect()
     assert [(r.strategy, r.rows) for r in out] == [("shuffle", 50), ("broadcast", 50)]
     assert out[0].speedup == 1.0 and all(r.seconds > 0 for r in out)
+
+
+def test_final_features_with_balance(spark):
+    ids = spark.range(6)
+    tables = {
+        "app_train": ids.selectExpr("id AS SK_ID_CURR"),
+        "bureau": ids.selectExpr(
+            "id % 2 AS SK_ID_CURR", "id AS SK_ID_BUREAU", "1D AS AMT_CREDIT_SUM", "1D AS AMT_CREDIT_SUM_DEBT",
+            "-1 AS DAYS_CREDIT", "'Active' AS CREDIT_ACTIVE",
+        ),
+        "bureau_bal": ids.selectExpr("id AS SK_ID_BUREAU", "-1 AS MONTHS_BALANCE", "CAST(id AS STRING) AS STATUS"),
+    }
+    plain = features.final_features(tables, {"bureau": A.bureau_rollup()})
+    both = features.final_features(tables, {"bureau": A.bureau_rollup()}, with_balance=True)
+    assert set(both.columns) - set(plain.columns) == {"bb_loans", "bb_loans_with_history", "bb_months_total", "bb_avg_status"}
+    got = {r.SK_ID_CURR: (r.bureau_loan_count, r.bb_avg_status) for r in both.collect()}
+    assert got[0] == (3, 2.0) and got[1] == (3, 3.0) and got[2] == (None, None)
