@@ -102,3 +102,26 @@ ORACLE = {
     "op5_chat_formatting": CHAT_FORMATTING,
     "op9_url_filters": URL_FILTERS,
 }
+
+_WORDS = rf"regexp_extract_all({_LOWER.format('coalesce(text, chr(32))')}, '[0-9a-z\x80-\x{{10FFFF}}]+')"
+DECONTAMINATION = rf"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s FROM items WHERE len(w) > 0)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+hits AS (
+  SELECT DISTINCT r, s, i.n, item_id
+  FROM (SELECT r, n, s, array_to_string(w[s : s + n - 1], ' ') AS words
+        FROM (SELECT r, n, w, unnest(range(1, greatest(len(w) - n + 2, 1))) AS s
+              FROM docs, (SELECT DISTINCT n FROM item_windows))) d
+  JOIN item_windows i ON i.n = d.n AND i.words = d.words),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hits) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+ORACLE["op6_benchmark_decontamination"] = DECONTAMINATION
