@@ -44,3 +44,21 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, seen: Column, limit: int) -> DataFrame:
+    """At most ``limit`` labelled documents to learn from: ``doc_id``, ``text``, ``label`` (0.0 or 1.0).
+
+    ``seen`` says which documents may be learned from. The choice is by a hash of the id, so
+    it is the same in every run. Labels that are NULL or contradict each other are left out.
+    """
+    marks = (
+        labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & seen)
+        .groupBy("doc_id")
+        .agg(F.max(target).alias("label"), F.min(target).alias("least"))
+        .where("label = least")
+        .select("doc_id", F.col("label").cast("double").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(limit)
+    )  # so small that it may be broadcast
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marks), "doc_id")
