@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanweave.llm import quality_classifier, quality_rules
+from loanweave.llm import quality_classifier, quality_rules, toxicity
 from loanweave.llm.common import table
 
 
@@ -18,4 +18,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op2_quality_classifier, op8_quality_rules)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.score(docs, labels)
+
+
+QUERIES = {q.__name__: q for q in (op2_quality_classifier, op8_quality_rules, op10_toxicity)}
