@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import decontamination
+from loanweave.llm import decontamination, lm_scoring
 from loanweave.llm.common import table
 
 
@@ -21,4 +21,8 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-QUERIES = {q.__name__: q for q in (op6_benchmark_decontamination,)}
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {q.__name__: q for q in (op6_benchmark_decontamination, op4_lm_scoring)}
