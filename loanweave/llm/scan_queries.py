@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import decontamination, lm_scoring
+from loanweave.llm import decontamination, jaccard_join, lm_scoring
 from loanweave.llm.common import table
 
 
@@ -25,4 +25,9 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {q.__name__: q for q in (op6_benchmark_decontamination, op4_lm_scoring)}
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+QUERIES = {q.__name__: q for q in (op1_ngram_jaccard_join, op4_lm_scoring, op6_benchmark_decontamination)}
