@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.llm import decontamination, jaccard_join, lm_scoring
+from loanweave.llm import bpe, decontamination, jaccard_join, lm_scoring
 from loanweave.llm.common import table
 
 
@@ -30,4 +31,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", "n_copies")
 
 
-QUERIES = {q.__name__: q for q in (op1_ngram_jaccard_join, op4_lm_scoring, op6_benchmark_decontamination)}
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path)
+    out = bpe.with_id_digest(bpe.decode(coded, path))
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {q.__name__: q for q in (op1_ngram_jaccard_join, op4_lm_scoring, op6_benchmark_decontamination, op7_bpe)}
