@@ -18,19 +18,24 @@ from dataclasses import dataclass
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanweave.llm.common import fold, labelled_sample
 from loanweave.sources.staging import stage
 
-#: Labelled documents to learn from, at most; one half gives the lexicon, the other calibrates.
+#: Labelled documents to learn from, at most.
 SAMPLE = 20_000
 #: A lexicon entry is in at least so many toxic documents, and its log odds are at least so many
-#: standard errors above zero. At most ``ENTRIES`` with the largest such ratio are kept.
-SUPPORT, SIGNIFICANCE, ENTRIES = 4, 2.5, 5_000
+#: standard errors above zero, and at least so many. At most ``ENTRIES`` with the largest such ratio are kept.
+SUPPORT, SIGNIFICANCE, MIN_WEIGHT, ENTRIES = 3, 2.4, 3.0, 5_000
+#: Parts of the sample for calibration.
+PARTS = 4
+_COUNTS = [f"{kind}{i}" for kind in "tc" for i in range(PARTS)]
 PREFIXES = range(4, 10)
 
 # Characters that pass for Latin letters.
@@ -105,62 +110,91 @@ def _entries(words: set[str]) -> set[str]:
 
 
 def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entry, toxic, clean): in how many documents of the batch."""
+    """For each entry, in how many toxic and clean documents of each part it is."""
     for batch in batches:
-        counts: dict[bool, Counter] = defaultdict(Counter)
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-            counts[label == 1.0].update(_entries(set(fold_words(text))))
-        names = list(counts[True].keys() | counts[False].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), *(pa.array([counts[k][n] for n in names], pa.int64()) for k in (True, False))],
-            ["entry", "toxic", "clean"],
-        )
-
-
-def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """From ``text`` and ``label``. Entries are weighed as given by their documents, not their uses."""
-    totals = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    toxic, clean = totals.get(1.0, 0), totals.get(0.0, 0)
-    if not toxic or not clean:
-        return Lexicon({})
-    t, c = F.col("toxic"), F.col("clean")
+        counts: dict[str, Counter] = {name: Counter() for name in _COUNTS}
+        for text, label, part in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "part"))):
+            counts[f"{'t' if label == 1.0 else 'c'}{part}"].update(_entries(set(fold_words(text))))
+        names = list(set().union(*counts.values()))
+        columns = [pa.array([found[n] for n in names], pa.int64()) for found in counts.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["entry", *counts])
+
+
+def entry_counts(sample: DataFrame) -> DataFrame:
+    """Counts by entry and part, from ``text``, ``label`` and ``part``; only entries of enough toxic documents."""
+    schema = ", ".join(["entry string", *(f"{c} long" for c in _COUNTS)])
+    found = sample.select("text", "label", "part").mapInArrow(_count_entries, schema).groupBy("entry").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    return found.where(sum((F.col(f"t{i}") for i in range(PARTS)), F.lit(0)) >= SUPPORT)
+
+
+def choose_entries(counts: DataFrame, totals: dict, parts: list[int], exceptions: tuple[str, ...]) -> Lexicon:
+    """Lexicon from the documents of some parts. Documents count, not uses."""
+    toxic, clean = (sum(totals.get((i, label), 0) for i in parts) for label in (1.0, 0.0))
+    t, c = (sum((F.col(f"{k}{i}") for i in parts), F.lit(0)) for k in "tc")
     odds = F.log((t + 0.5) / (F.lit(toxic + 0.5) - t)) - F.log((c + 0.5) / (F.lit(clean + 0.5) - c))
     error = F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
     chosen = (
-        sample.select("text", "label")
-        .mapInArrow(_count_entries, "entry string, toxic long, clean long")
-        .groupBy("entry")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where(t >= SUPPORT)
+        counts.where(t >= SUPPORT)
         .select("entry", odds.alias("weight"), (odds / error).alias("ratio"))
-        .where((F.col("ratio") >= SIGNIFICANCE) & (F.col("weight") > 1.5))
+        .where((F.col("ratio") >= SIGNIFICANCE) & (F.col("weight") >= MIN_WEIGHT))
         .orderBy(F.desc("ratio"), "entry")
         .limit(ENTRIES)
     )
-    return Lexicon({r["entry"]: float(r["weight"]) for r in chosen.collect()})
+    return Lexicon({r["entry"]: float(r["weight"]) for r in chosen.collect()}, exceptions)
 
 
 def _measure_batches(lexicon):
+    """Adds ``_n_words`` and ``_weight`` to each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.value.automaton()
         for batch in batches:
-            found = [measure(text, automaton) for text in batch.column("text").to_pylist()]
-            at = batch.schema.get_field_index("text")
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [n for i, n in enumerate(batch.schema.names) if i != at]
+            found = [measure(text or "", automaton) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([n for n, _ in found], pa.int64()), pa.array([w for _, w in found], pa.float64())],
-                [*names, "n_words", "weight"],
+                [*batch.columns, pa.array([n for n, _ in found], pa.int64()), pa.array([w for _, w in found], pa.float64())],
+                [*batch.schema.names, "_n_words", "_weight"],
             )
 
     return run
 
 
+def _measured(texts: DataFrame, lexicon) -> DataFrame:
+    schema = T.StructType([*texts.schema.fields, T.StructField("_n_words", T.LongType()), T.StructField("_weight", T.DoubleType())])
+    return texts.mapInArrow(_measure_batches(lexicon), schema)
+
+
 def _inputs():
-    w, n = F.col("weight"), F.greatest(F.col("n_words"), F.lit(1))
+    w, n = F.col("_weight"), F.greatest(F.col("_n_words"), F.lit(1))
     return F.log1p(w), F.log1p(1000 * w / n), (w > 0).cast("double")
 
 
+def _fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...]) -> tuple[Broadcast, Column]:
+    """Lexicon for the tasks, and the log odds of a measured text."""
+    sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0, SAMPLE)
+    part = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(PARTS)).cast("int").alias("part")
+    known = stage(sample.dropDuplicates(["text"]).select("text", "label", part), "toxicity-sample")
+    totals = {(r[0], r[1]): r[2] for r in known.groupBy("part", "label").count().collect()}
+    context = docs.sparkSession.sparkContext
+    if len({label for _, label in totals}) < 2:
+        ones = sum(n for (_, label), n in totals.items() if label == 1.0)
+        share = (ones + 1) / (sum(totals.values()) + 2)
+        return context.broadcast(Lexicon({}, exceptions)), F.lit(math.log(share / (1 - share)))
+    counts = stage(entry_counts(known), "toxicity-entries")
+    # each part is measured with what the others teach, so that calibration sees new texts
+    measured = None
+    for i in range(PARTS):
+        lexicon = choose_entries(counts, totals, [j for j in range(PARTS) if j != i], exceptions)
+        one = _measured(known.where(F.col("part") == i).select("text", "label"), context.broadcast(lexicon))
+        measured = one if measured is None else measured.union(one)
+    shared = context.broadcast(choose_entries(counts, totals, list(range(PARTS)), exceptions))
+    vectors = stage(measured.drop("text"), "toxicity-calibration").select("label", array_to_vector(F.array(*_inputs())).alias("features"))
+    model = LogisticRegression(regParam=1e-4, maxIter=60).fit(vectors)
+    margin = F.lit(float(model.intercept))
+    for value, weight in zip(_inputs(), model.coefficients.toArray()):
+        margin = margin + value * F.lit(float(weight))
+    return shared, margin
+
+
 def score(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``score``, ``predicted``,
     ``n_words`` and ``weight`` (sum over matched words).
@@ -173,34 +207,18 @@ def score(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCE
     - Labels of one kind only: no lexicon; all scores are the smoothed share of label 1.
     - Other columns are not read, so their names cannot clash.
     """
-    context = docs.sparkSession.sparkContext
-    sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0, SAMPLE)
-    half = (F.pmod(F.xxhash64("text", F.lit(5)), F.lit(2)) == 0).alias("calibrates")
-    known = stage(sample.dropDuplicates(["text"]).select("text", "label", half), "toxicity-sample")
-    lexicon = learn_lexicon(known.where("NOT calibrates"))
-    shared = context.broadcast(Lexicon(lexicon.weights, exceptions))
-
-    counts = {(r[0], r[1]): r[2] for r in known.groupBy("calibrates", "label").count().collect()}
-    if len(counts) == 4:
-        measured = known.where("calibrates").select("text", "label").mapInArrow(_measure_batches(shared), "label double, n_words long, weight double")
-        vectors = stage(measured, "toxicity-calibration").select("label", array_to_vector(F.array(*_inputs())).alias("features"))
-        model = LogisticRegression(regParam=1e-4, maxIter=60).fit(vectors)
-        margin = F.lit(float(model.intercept))
-        for value, weight in zip(_inputs(), model.coefficients.toArray()):
-            margin = margin + value * F.lit(float(weight))
-    else:
-        ones = sum(n for (_, label), n in counts.items() if label == 1.0)
-        share = (ones + 1) / (sum(counts.values()) + 2)
-        margin = F.lit(math.log(share / (1 - share)))
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    measured = texts.mapInArrow(_measure_batches(shared), f"doc_id {kind}, n_words long, weight double")
-    return measured.select(
+    lexicon, margin = _fit(docs, labels, exceptions)
+    return _measured(docs.select("doc_id", "text"), lexicon).select(
         "doc_id",
         (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("score"),
         (margin >= 0).cast("int").alias("predicted"),
-        "n_words",
-        "weight",
+        F.col("_n_words").alias("n_words"),
+        F.col("_weight").alias("weight"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> DataFrame:
+    """``docs`` without the rows that ``score`` predicts to be toxic; all columns stay, in one scan."""
+    lexicon, margin = _fit(docs, labels, exceptions)
+    return _measured(docs, lexicon).where(margin < 0).select(*[F.col(f"`{c}`") for c in docs.columns])
