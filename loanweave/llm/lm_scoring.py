@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanweave.llm import textvec as V
-from loanweave.llm.common import fold, text_chunks
+from loanweave.llm.common import fold, least_frequent, shuffle_partitions, text_chunks
 from loanweave.sources.staging import stage
 
 #: Words whose exact counts are broadcast, 16 bytes each.
 FREQUENT = 1 << 19
-#: Bits for each stored member, and the most for all (128 MB).
-BITS_PER_MEMBER, MAX_BITS = 12, 1 << 30
-SHARDS, PROBES = 64, 2
+#: Bits for each stored member, and the most for all (64 MB).
+BITS_PER_MEMBER, MAX_BITS = 8, 1 << 29
+SHARDS, PROBES = 1 << 12, 3
 #: Counts are quantised to floor(log(c) / log(BASE)) + 1.
 BASE, MAX_LEVEL = 2.0, 40
 #: Pseudo-count of the base distribution in the probability after a word.
@@ -84,7 +84,7 @@ def _bits(hashes: np.ndarray, level: int, shard_bits: int) -> Iterator[np.ndarra
 
 
 def _shard(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(58)).astype(np.int64)
+    return (hashes >> np.uint64(52)).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,7 @@ class Filter:
 
 
 def build_filter(counts: DataFrame) -> Filter:
-    """From ``hash`` and ``n``: every n-gram is stored, whatever its count."""
+    """From ``shard``, ``hash`` and ``n``: every n-gram is stored, whatever its count."""
     level = F.least(F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BASE)) + 1e-9) + 1, F.lit(MAX_LEVEL)).cast("int")
     members = counts.agg(F.sum(level)).first()[0] or 0
     shard_bits = max(1 << 10, min(MAX_BITS, int(members) * BITS_PER_MEMBER) // SHARDS // 64 * 64)
@@ -134,16 +134,12 @@ def build_filter(counts: DataFrame) -> Filter:
         for s, bits in shards.items():
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["shard", "bits"])
 
-    shard = F.shiftrightunsigned(F.col("hash"), 58).cast("int")
-    # each shard lies in one partition, and a partition sends its few shards, of fixed size each
-    filled = (
-        counts.select("hash", level.alias("level"), shard.alias("shard"))
-        .repartition(SHARDS, "shard")
-        .mapInArrow(fill, "shard int, bits binary")
-    )
+    # the counts are stored by shard, so a task meets few of them and sends those parts only
+    filled = counts.select("hash", level.alias("level"), "shard").mapInArrow(fill, "shard int, bits binary")
     out = np.zeros((SHARDS, shard_bits // 8), np.uint8)
-    for s, bits in filled.collect():
-        out[s] = np.frombuffer(bytes(bits), np.uint8)
+    for batch in filled.toArrow().to_batches():
+        for s, bits in zip(batch.column("shard").to_pylist(), batch.column("bits")):
+            out[s] |= np.frombuffer(bits.as_buffer(), np.uint8)
     return Filter(shard_bits, out)
 
 
@@ -170,17 +166,18 @@ def score(docs: DataFrame) -> DataFrame:
         named.where(~held_out)
         .select("text")
         .mapInArrow(_count_batches, "kind byte, hash long, n long")
-        .groupBy("kind", "hash")
+        .withColumn("shard", F.shiftrightunsigned("hash", 52).cast("int"))
+        .repartition(shuffle_partitions(spark), "shard")
+        .groupBy("shard", "kind", "hash")
         .agg(F.sum("n").alias("n")),
         "ngram-counts",
     )
     words = counts.where("kind = 1")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = words.orderBy(F.desc("n"), "hash").limit(FREQUENT)
-    table = frequent.select("hash", "n").toPandas()
-    hashes = table["hash"].to_numpy(np.int64).view(np.uint64)
+    table = words.where(F.col("n") >= least_frequent(words, "n", FREQUENT)).select("hash", "n").toArrow()
+    hashes = table.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    shared = spark.sparkContext.broadcast((hashes[order], table["n"].to_numpy(np.int64)[order], build_filter(counts)))
+    shared = spark.sparkContext.broadcast((hashes[order], table.column("n").to_numpy()[order], build_filter(counts)))
     total = float(n + v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
