@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from loanweave.llm.common import shuffle_partitions
+from loanweave.llm.common import ship, shuffle_partitions
 from loanweave.sources.staging import stage
 
 #: Words in the broadcast table, and bytes of a word in it: at most about 60 MB in all.
@@ -255,6 +255,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     - Very long words are merged in time that grows as n log n.
     - Other columns are not read, so their names cannot clash.
     """
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     vocabulary = context.broadcast(Vocabulary.load(path))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -265,6 +266,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """``coded`` (``doc_id``, ``ids``) with ``decoded``; bytes that are no UTF-8 become U+FFFD. NULL ids: empty."""
+    ship(coded.sparkSession)
     vocabulary = coded.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
     plain = coded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     kind = coded.schema["doc_id"].dataType.simpleString()
@@ -275,6 +277,8 @@ def with_id_digest(coded: DataFrame) -> DataFrame:
     """``n_tokens`` and ``ids_sha256`` (hex, of little-endian unsigned 32-bit ids) instead of ``ids``."""
     import hashlib
 
+    ship(coded.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("ids")

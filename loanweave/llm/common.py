@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +16,24 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the tasks this package, so that it need not be installed on the executors.
+
+    Once per application. Spark itself serves the archive from the driver.
+    """
+    context = spark.sparkContext
+    if hasattr(context, "_corpus_code"):
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.TemporaryDirectory(prefix="corpus-code-")  # goes when the driver ends
+    archive = os.path.join(os.path.realpath(folder.name), f"{root.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(archive)
+    context._corpus_code = folder
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table, all rows."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)

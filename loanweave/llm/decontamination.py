@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loanweave.llm import bits
 from loanweave.llm import textvec as V
-from loanweave.llm.common import text_chunks
+from loanweave.llm.common import ship, text_chunks
 from loanweave.sources.staging import stage
 
 WINDOW, GRAM = 10, 5
@@ -108,6 +108,7 @@ def find(
     - Repeated or equal items: all their ids are listed. No items or no documents: no hits, no rows.
     - Other columns are not read, so their names cannot clash.
     """
+    ship(docs.sparkSession)
     named = docs.select(
         F.col(f"`{doc}`").alias("id"), F.xxhash64(f"`{text}`").alias("digest"), F.coalesce(f"`{text}`", F.lit("")).alias("text")
     )

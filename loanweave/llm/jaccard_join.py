@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from loanweave.llm import bits
 from loanweave.llm import textvec as V
-from loanweave.llm.common import shuffle_partitions, text_chunks
+from loanweave.llm.common import ship, shuffle_partitions, text_chunks
 from loanweave.llm.components import components
 from loanweave.sources.staging import stage
 
@@ -234,6 +234,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE
     - Texts are told apart by 64-bit hashes of their words.
     """
     spark = docs.sparkSession
+    ship(spark)
     named = docs.select("doc_id", F.xxhash64("text").alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     runs = runs_for(similarity, depth, recall)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanweave.llm import textvec as V
-from loanweave.llm.common import fold, least_frequent, shuffle_partitions, text_chunks
+from loanweave.llm.common import fold, least_frequent, ship, shuffle_partitions, text_chunks
 from loanweave.sources.staging import stage
 
 #: Words whose exact counts are broadcast, 16 bytes each.
@@ -160,6 +160,7 @@ def score(docs: DataFrame) -> DataFrame:
     - Other columns are not read, so their names cannot clash.
     """
     spark = docs.sparkSession
+    ship(spark)
     named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     held_out = fold(F.col("doc_id"), 7) == 2
     counts = stage(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanweave.llm import textvec as V
-from loanweave.llm.common import labelled_sample, text_chunks
+from loanweave.llm.common import labelled_sample, ship, text_chunks
 from loanweave.sources.staging import stage
 
 #: Labelled documents to learn from, at most; a quarter of them calibrates.
@@ -167,6 +167,7 @@ def judge(docs: DataFrame, labels: DataFrame, min_probability: float = MIN_PROBA
     - Repeated rows: each is judged. No documents: no rows. Too few labels: see ``fit``.
     - Other columns are not read, so their names cannot clash.
     """
+    ship(docs.sparkSession)
     everyone = F.lit(True)
     model = docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(docs, labels, "quality", everyone, SAMPLE)))
 

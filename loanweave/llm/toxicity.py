@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanweave.llm.common import fold, labelled_sample
+from loanweave.llm.common import fold, labelled_sample, ship
 from loanweave.sources.staging import stage
 
 #: Labelled documents to learn from, at most.
@@ -170,6 +170,7 @@ def _inputs():
 
 def _fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...]) -> tuple[Broadcast, Column]:
     """Lexicon for the tasks, and the log odds of a measured text."""
+    ship(docs.sparkSession)
     sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0, SAMPLE)
     part = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(PARTS)).cast("int").alias("part")
     known = stage(sample.dropDuplicates(["text"]).select("text", "label", part), "toxicity-sample")
