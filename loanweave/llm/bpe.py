@@ -2,16 +2,19 @@
 
 Spark counts the distinct words of all texts. The most frequent ones, a bounded number, are
 encoded once each by tasks of their own and become a table of word and ids, which is
-broadcast and joined back at each word's position. Words outside the table are rare; they
-are encoded in the task that meets them, and a bounded cache there spares most repeats.
-Decoding joins each id to its piece in the vocabulary, whose size is fixed.
+broadcast and joined back at each word's position. Words outside the table are rare; each is
+encoded once by every task that meets it, and a bounded cache spares repeats. Decoding joins
+each id to its piece in the vocabulary, whose size is fixed.
+
+Tasks cut, look up and join whole chunks of texts as arrays of code points; within a task a
+word is known by a 64-bit hash of its code points.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -24,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from loanweave.llm.common import ship, shuffle_partitions
+from loanweave.llm import textvec as V
+from loanweave.llm.common import least_frequent, ship, text_chunks
 from loanweave.sources.staging import stage
 
-#: Words in the broadcast table, and bytes of a word in it: at most about 60 MB in all.
-TABLE_WORDS, TABLE_WORD_BYTES = 1 << 19, 64
-#: Words in a task's cache.
-CACHE_WORDS = 1 << 17
+#: Words in the broadcast table, and bytes of a word in it: at most about 40 MB in all.
+TABLE_WORDS, TABLE_WORD_BYTES = 1 << 20, 64
+#: Words in a task's cache, and in its counts before it sends them.
+CACHE_WORDS = COUNTED_WORDS = 1 << 17
 #: Longer words are merged with a heap instead of a scan.
 LONG_WORD = 256
 
@@ -43,6 +47,7 @@ SPLIT = (
 # any other character is cut by the tokenizers library, whose tables are older than those of regex.
 SETTLED = "\x00-\u0557\u0590-\u088e\u0900-\u0c5b\u0d00-\u208e\u20a0-\ua7cd\uac00-\U000107ba\U0001f000-\U0001faff"
 _NONE = 1 << 62
+LETTER, NUMBER, BLANK, OTHER, UNSETTLED = range(5)
 
 
 def _letters() -> dict[str, int]:
@@ -80,6 +85,17 @@ class Vocabulary:
             merges[ids[left] << 32 | ids[right]] = rank << 32 | ids[left + right]
         return cls(pieces, merges, [ids[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])], special)
 
+    @cached_property
+    def classes(self) -> np.ndarray:
+        """Class of each code point: letter, number, white space, other, or not settled."""
+        out = np.full(0x110000, UNSETTLED, np.uint8)
+        for low, high in zip(SETTLED[::3], SETTLED[2::3]):
+            out[ord(low) : ord(high) + 1] = OTHER
+        every = "".join(map(chr, np.flatnonzero(out == OTHER).tolist()))
+        for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (BLANK, r"\p{White_Space}")):
+            out[[ord(c) for c in regex.findall(pattern, every)]] = kind
+        return out
+
     @cached_property
     def _cut(self):
         own, unsettled = regex.compile(SPLIT).findall, regex.compile(f"[^{SETTLED}]").search
@@ -160,16 +176,99 @@ class Vocabulary:
         return [i for i in ids if i >= 0]
 
 
+def word_starts(points: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """First code points of all words of texts that lie one after the other, as ``SPLIT`` cuts them.
+
+    A word ends where the next one starts. Runs of one class are words, but: a single space
+    belongs to the run after it; of several blanks before a run, the last one is on its own
+    or belongs to the run; and an apostrophe that starts a word takes a known ending with it.
+    """
+    n = len(points)
+    if not n:
+        return np.zeros(0, np.int64)
+    begins = np.zeros(n + 1, bool)
+    begins[bounds] = True  # of texts
+    blank = kind == BLANK
+    start = begins[:n].copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    inner = ~begins[1:n]
+    start[:-1] |= blank[:-1] & ~blank[1:] & inner
+    start[1:] &= ~((points[:-1] == 0x20) & ~blank[1:] & inner)
+
+    quote = np.flatnonzero((points == 0x27) & start)
+    ahead = np.append(points, [0, 0])
+    begins = np.append(begins, True)
+    one, two = ahead[quote + 1], ahead[quote + 2]
+    same = ~begins[quote + 1]
+    short = same & np.isin(one, [ord(c) for c in "stmd"])
+    ending = [(one == ord(a)) & (two == ord(b)) for a, b in ("re", "ve", "ll")]
+    long = same & ~begins[quote + 2] & (ending[0] | ending[1] | ending[2])
+    start = np.append(start, False)
+    start[quote[short | long] + 1] = False
+    start[np.concatenate([quote[short] + 2, quote[long] + 3])] = True
+    return np.flatnonzero(start[:n])
+
+
+@dataclass
+class Cut:
+    """Words of some texts: the texts joined, the words' first and last places and hashes, and
+    where the words of each text begin. ``odd`` texts are left empty here, to be cut one by one."""
+
+    text: str
+    start: np.ndarray
+    end: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+    odd: list[int]
+
+    def word(self, i: int) -> str:
+        return self.text[self.start[i] : self.end[i]]
+
+
+def cut(texts: list[str], vocabulary: Vocabulary) -> Cut:
+    odd = [i for i, t in enumerate(texts) if any(s in t for s in vocabulary.special)]
+    while True:
+        for i in odd:
+            texts = [*texts[:i], "", *texts[i + 1 :]]
+        joined = "".join(texts)
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]) if texts else np.zeros(1, np.int64)
+        kind = vocabulary.classes[points]
+        unsettled = np.flatnonzero(kind == UNSETTLED)
+        if not len(unsettled):
+            break
+        odd = sorted({*odd, *(np.searchsorted(bounds, unsettled, "right") - 1).tolist()})
+    start = word_starts(points, bounds, kind)
+    end = np.append(start[1:], len(points))[: len(start)]
+    return Cut(joined, start, end, V.segment_hashes(points, start, end), np.searchsorted(start, bounds), odd)
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    for lo, hi in text_chunks(texts):
+        yield lo, texts.slice(lo, hi - lo).to_pylist()
+
+
 def _count_words(vocabulary: Broadcast):
+    def rows(counts: dict[str, int]) -> pa.RecordBatch:
+        short = [(w, n) for w, n in counts.items() if len(w) <= TABLE_WORD_BYTES]
+        columns = [pa.array([w for w, _ in short], pa.string()), pa.array([n for _, n in short], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
         for batch in batches:
-            counts: Counter = Counter()
-            for text in batch.column("text").to_pylist():
-                counts.update(vocabulary.value.words(text))
-            short = [(w, n) for w, n in counts.items() if len(w) <= TABLE_WORD_BYTES]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in short], pa.string()), pa.array([n for _, n in short], pa.int64())], ["word", "n"]
-            )
+            for _, texts in _chunks(batch.column("text")):
+                found = cut(texts, vocabulary.value)
+                _, at, n = np.unique(found.hashes, return_index=True, return_counts=True)
+                for word, more in zip(map(found.word, at.tolist()), n.tolist()):
+                    counts[word] = counts.get(word, 0) + more
+                for i in found.odd:
+                    for word in vocabulary.value.words(texts[i]):
+                        counts[word] = counts.get(word, 0) + 1
+                if len(counts) >= COUNTED_WORDS:
+                    yield rows(counts)
+                    counts = {}
+        yield rows(counts)
 
     return run
 
@@ -183,52 +282,82 @@ def _encode_table(vocabulary: Broadcast):
     return run
 
 
-def word_table(texts: DataFrame, vocabulary: Broadcast, limit: int | None = None) -> DataFrame:
-    """(word, ids) of the most frequent distinct words (of equal ones the smaller), each encoded once."""
-    counted = texts.mapInArrow(_count_words(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    frequent = stage(
-        counted.where(F.octet_length("word") <= TABLE_WORD_BYTES).orderBy(F.desc("n"), "word").limit(limit or TABLE_WORDS).select("word"),
+def word_table(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """(word, ids) of the most frequent distinct words, at most ``TABLE_WORDS``, each encoded once."""
+    counted = stage(
+        texts.mapInArrow(_count_words(vocabulary), "word string, n long")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .where(F.octet_length("word") <= TABLE_WORD_BYTES),
         "bpe-words",
     )
-    spread = frequent.repartition(shuffle_partitions(texts.sparkSession), "word")
-    return spread.mapInArrow(_encode_table(vocabulary), "word string, ids binary")
+    frequent = counted.where(F.col("n") >= least_frequent(counted, "n", TABLE_WORDS))
+    return frequent.select("word").mapInArrow(_encode_table(vocabulary), "word string, ids binary")
+
 
+class Table:
+    """Words by hash, each with its place in one long array of ids; made from (word, ids)."""
 
-#: Tables that this worker process has unpacked, by their broadcast's number; the last one only.
-_unpacked: dict[int, dict[str, bytes]] = {}
+    def __init__(self, words: pa.Table, vocabulary: Vocabulary):
+        texts, ids = words.column("word").to_pylist(), words.column("ids").to_pylist()
+        plain = [i for i, t in enumerate(texts) if t not in vocabulary.special]
+        points = np.frombuffer("".join(texts[i] for i in plain).encode("utf-32-le"), np.uint32)
+        end = np.cumsum([len(texts[i]) for i in plain], dtype=np.int64)
+        hashes = V.segment_hashes(points, np.append(0, end[:-1])[: len(end)], end)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.size = np.array([len(ids[i]) // 4 for i in plain], np.int64)[order]
+        self.start = (np.cumsum(self.size) - self.size) if len(plain) else np.zeros(0, np.int64)
+        self.ids = np.frombuffer(b"".join(ids[plain[i]] for i in order), np.int32)
 
 
-def _unpack(table: Broadcast, number: int) -> dict[str, bytes]:
-    if number not in _unpacked:
-        _unpacked.clear()
-        t = table.value
-        _unpacked[number] = dict(zip(t.column("word").to_pylist(), t.column("ids").to_pylist()))
-    return _unpacked[number]
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places ``start`` to ``start + size``, range after range."""
+    ahead = np.cumsum(size) - size
+    return np.repeat(start - ahead, size) + np.arange(int(size.sum()))
 
 
-def _encode(vocabulary: Broadcast, table: Broadcast, number: int):
+def _encode(vocabulary: Broadcast, shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary.value.encode_word
-        known, cache = _unpack(table, number), {}
+        vocab, table, cache = vocabulary.value, shared.value, {}
 
-        def ids_of(word: str) -> bytes:
-            ids = known.get(word) or cache.get(word)
+        def rare(h: int, word: str) -> np.ndarray:
+            ids = cache.get(h)
             if ids is None:
-                ids = encode(word)
-                if len(word) <= TABLE_WORD_BYTES:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
-                    cache[word] = ids
+                ids = np.frombuffer(vocab.encode_word(word), np.int32)
+                if len(cache) >= CACHE_WORDS:
+                    cache.clear()
+                cache[h] = ids
             return ids
 
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                coded = [b"".join(map(ids_of, vocabulary.value.words(text))) for text in part.column(at).to_pylist()]
-                offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
-                values = pa.array(np.frombuffer(b"".join(coded), np.int32))
-                columns = [c for i, c in enumerate(part.columns) if i != at] + [pa.ListArray.from_arrays(pa.array(offsets), values)]
+            for lo, texts in _chunks(batch.column(at)):
+                part = batch.slice(lo, len(texts))
+                found = cut(texts, vocab)
+                kinds, index, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
+                place = np.minimum(np.searchsorted(table.hashes, kinds), max(len(table.hashes) - 1, 0))
+                known = table.hashes[place] == kinds if len(table.hashes) else np.zeros(len(kinds), bool)
+                more = [rare(int(kinds[i]), found.word(index[i])) for i in np.flatnonzero(~known)]
+                size, start = np.empty(len(kinds), np.int64), np.empty(len(kinds), np.int64)
+                size[known], start[known] = table.size[place[known]], table.start[place[known]]
+                size[~known] = [len(m) for m in more]
+                start[~known] = len(table.ids) + np.cumsum(size[~known]) - size[~known]
+                pool = table.ids
+                if more:  # ids of this chunk's rare words follow those of the table
+                    late = np.concatenate(more)
+                    where = spread(start[inverse], size[inverse])
+                    ids = np.where(where < len(pool), pool[np.minimum(where, max(len(pool) - 1, 0))] if len(pool) else 0, late[np.maximum(where - len(pool), 0) % len(late)])
+                else:
+                    ids = pool[spread(start[inverse], size[inverse])]
+                ends = np.append(0, np.cumsum(size[inverse]))[found.first]
+                if found.odd:
+                    each = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                    for i in found.odd:
+                        each[i] = np.frombuffer(b"".join(map(vocab.encode_word, vocab.words(texts[i]))), np.int32)
+                    ids, ends = np.concatenate(each), np.append(0, np.cumsum([len(e) for e in each]))
+                coded = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                columns = [c for i, c in enumerate(part.columns) if i != at] + [coded]
                 names = [n for i, n in enumerate(part.schema.names) if i != at] + ["ids"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -237,14 +366,58 @@ def _encode(vocabulary: Broadcast, table: Broadcast, number: int):
 
 def _decode(vocabulary: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = vocabulary.value.pieces.__getitem__
+        size = np.array([len(p) for p in vocabulary.value.pieces], np.int64)
+        start, pieces = np.cumsum(size) - size, np.frombuffer(b"".join(vocabulary.value.pieces), np.uint8)
         for batch in batches:
-            texts = [b"".join(map(piece, ids)).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                lists = part.column("ids")
+                at = lists.offsets.to_numpy()
+                ids = lists.values.to_numpy()[at[0] : at[-1]]
+                raw = pieces[spread(start[ids], size[ids])].tobytes()
+                ends = np.append(0, np.cumsum(size[ids]))[at - at[0]]
+                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
+
+    return run
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``n_tokens`` and ``ids_sha256`` (hex, of little-endian unsigned 32-bit ids) instead of ``ids``."""
+    for batch in batches:
+        at = batch.schema.get_field_index("ids")
+        ids = batch.column(at)
+        offsets = ids.offsets.to_numpy()
+        raw = memoryview(ids.values.to_numpy()[offsets[0] : offsets[-1]].astype("<u4").tobytes())
+        ends = (offsets - offsets[0]) * 4
+        digests = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:])]
+        columns = [c for i, c in enumerate(batch.columns) if i != at]
+        names = [n for i, n in enumerate(batch.schema.names) if i != at]
+        sizes = pa.array((np.diff(offsets)).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([*columns, sizes, pa.array(digests, pa.string())], [*names, "n_tokens", "ids_sha256"])
+
+
+def _chain(*steps):
+    """Steps from batches to batches, one after the other in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        yield from batches
 
     return run
 
 
+def _encoder(docs: DataFrame, path: str) -> tuple[DataFrame, Broadcast, Broadcast]:
+    """Texts to encode, the vocabulary and the table of words for the tasks."""
+    ship(docs.sparkSession)
+    context = docs.sparkSession.sparkContext
+    vocabulary = context.broadcast(Vocabulary.load(path))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    table = Table(word_table(texts.select("text"), vocabulary).toArrow(), vocabulary.value)
+    return texts, vocabulary, context.broadcast(table)
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` and ``ids`` (array of int).
 
@@ -255,13 +428,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     - Very long words are merged in time that grows as n log n.
     - Other columns are not read, so their names cannot clash.
     """
-    ship(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    vocabulary = context.broadcast(Vocabulary.load(path))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    table = context.broadcast(word_table(texts.select("text"), vocabulary).toArrow())
+    texts, vocabulary, table = _encoder(docs, path)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(_encode(vocabulary, table, id(table)), f"doc_id {kind}, ids array<int>")
+    return texts.mapInArrow(_encode(vocabulary, table), f"doc_id {kind}, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
@@ -273,24 +442,10 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     return plain.mapInArrow(_decode(vocabulary), f"doc_id {kind}, ids array<int>, decoded string")
 
 
-def with_id_digest(coded: DataFrame) -> DataFrame:
-    """``n_tokens`` and ``ids_sha256`` (hex, of little-endian unsigned 32-bit ids) instead of ``ids``."""
-    import hashlib
-
-    ship(coded.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            ids = batch.column(at)
-            raw = memoryview(ids.values.to_numpy().astype("<u4").tobytes())
-            offsets = ids.offsets.to_numpy() * 4
-            digests = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [n for i, n in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array((np.diff(offsets) // 4).astype(np.int64)), pa.array(digests)], [*names, "n_tokens", "ids_sha256"]
-            )
-
-    others = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in coded.schema.fields if f.name != "ids")
-    return coded.mapInArrow(run, f"{others}, n_tokens long, ids_sha256 string")
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id``, ``decoded`` (from the ids), ``n_tokens`` and ``ids_sha256``: ``encode`` and ``decode``
+    of each text in one task, so that ids, which are as large as the texts, need not be sent on."""
+    texts, vocabulary, table = _encoder(docs, path)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    steps = _chain(_encode(vocabulary, table), _decode(vocabulary), _digest)
+    return texts.mapInArrow(steps, f"doc_id {kind}, decoded string, n_tokens long, ids_sha256 string")

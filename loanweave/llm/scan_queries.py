@@ -33,8 +33,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path)
-    out = bpe.with_id_digest(bpe.decode(coded, path))
+    out = bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), path)
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -169,6 +169,17 @@ def test_filter_never_loses_a_count(spark):
     assert np.mean([level == int(math.log2(n)) + 1 for level, (_, _, n) in zip(levels, rows)]) > 0.9
 
 
+def test_filter_bound_leaves_rare_ngrams_out(spark, monkeypatch):
+    import numpy as np
+
+    rows = [(i * 0x9E3779B97F4A7C15 % (1 << 63), 1 + i % 8) for i in range(1, 4000)]
+    df = spark.createDataFrame([((h >> 52) & 0xFFF, h, n) for h, n in rows], "shard int, hash long, n long")
+    monkeypatch.setattr(lm_scoring, "MAX_BITS", 7000 * lm_scoring.BITS_PER_MEMBER)
+    levels = lm_scoring.build_filter(df).levels(np.array([h for h, _ in rows], np.uint64))
+    assert all(level >= int(math.log2(n)) + 1 for level, (_, n) in zip(levels, rows) if n >= 5)
+    assert np.mean([level == 0 for level, (_, n) in zip(levels, rows) if n <= 3]) > 0.9
+
+
 # Decontamination
 
 
@@ -243,8 +254,8 @@ def test_bpe(spark, monkeypatch, table, cache):
     for (_, text), rows in got.items():
         ids = library.encode(text, add_special_tokens=False).ids
         assert all(list(r.ids) == ids for r in rows) and library.decode(ids, skip_special_tokens=False) == text
-    digests = {(r.n_tokens, r.ids_sha256) for r in bpe.with_id_digest(coded).collect()}
-    assert digests == {(len(r.ids), hashlib.sha256(struct.pack(f"<{len(r.ids)}I", *r.ids)).hexdigest()) for rows in got.values() for r in rows}
+    digests = {(r.decoded, r.n_tokens, r.ids_sha256) for r in bpe.round_trip(df, BPE).collect()}
+    assert digests == {(r.decoded, len(r.ids), hashlib.sha256(struct.pack(f"<{len(r.ids)}I", *r.ids)).hexdigest()) for rows in got.values() for r in rows}
     assert bpe.encode(empty(spark), BPE).count() == 0
     broken = spark.createDataFrame([(1, [164]), (2, None)], "doc_id long, ids array<int>")
     assert [r.decoded for r in bpe.decode(broken, BPE).orderBy("doc_id").collect()] == [library.decode([164], skip_special_tokens=False), ""]
