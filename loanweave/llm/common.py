@@ -86,15 +86,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, seen: Colum
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marks), "doc_id")
 
 
-def least_frequent(counts: DataFrame, column: str, limit: int) -> int:
+def least_frequent(counts: DataFrame, column: str, limit: int, weight: Column | None = None) -> int:
     """Smallest count that at most ``limit`` rows reach, for a table whose size must be bounded.
+    With ``weight``, each row counts as so many.
 
     Found from a histogram with a bin for each small count and finer than 2 % steps for
     larger ones, so at most some thousand rows are collected, whatever the number of rows.
     """
     n = F.col(column)
     bin_ = F.when(n < 4096, n).otherwise(F.floor(F.log2(n.cast("double")) * 64) + 4096)
-    bins = counts.groupBy(bin_.alias("bin")).agg(F.count("*").alias("rows"), F.min(n).alias("least")).collect()
+    bins = counts.groupBy(bin_.alias("bin")).agg((F.count("*") if weight is None else F.sum(weight)).alias("rows"), F.min(n).alias("least")).collect()
     cut, rows = max((b["least"] for b in bins), default=0) + 1, 0
     for b in sorted(bins, key=lambda b: -b["bin"]):
         rows += b["rows"]

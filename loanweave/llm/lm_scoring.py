@@ -4,8 +4,9 @@ Counts of words and of word pairs over all training documents are quantised on a
 and an n-gram of level ``q`` is stored as the members (n-gram, 1) ... (n-gram, q) of a Bloom
 filter. A count is read back by probing level after level until one is missing. The filter
 is built by Spark in shards, one range of hashes each, and grows with the number of stored
-members. The broadcast is bounded by ``MAX_BITS``: if the members need more, all of them are
-still stored, at fewer bits each, and more probes answer too high.
+members. All n-grams are counted. The broadcast is bounded by ``MAX_BITS``: if the members
+need more, n-grams are stored from a count on that makes them fit, found from a histogram of
+all counts; rarer ones are left to the base distribution.
 
 The base score needs exact counts. The most frequent words (a bounded table) are broadcast
 with theirs; the other words of each document are joined to the table of all counts.
@@ -115,10 +116,11 @@ class Filter:
 
 
 def build_filter(counts: DataFrame) -> Filter:
-    """From ``shard``, ``hash`` and ``n``: every n-gram is stored, whatever its count."""
+    """From ``shard``, ``hash`` and ``n``."""
     level = F.least(F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BASE)) + 1e-9) + 1, F.lit(MAX_LEVEL)).cast("int")
+    counts = counts.where(F.col("n") >= least_frequent(counts, "n", MAX_BITS // BITS_PER_MEMBER, level))
     members = counts.agg(F.sum(level)).first()[0] or 0
-    shard_bits = max(1 << 10, min(MAX_BITS, int(members) * BITS_PER_MEMBER) // SHARDS // 64 * 64)
+    shard_bits = max(1 << 10, int(members) * BITS_PER_MEMBER // SHARDS // 64 * 64)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards: dict[int, np.ndarray] = {}
