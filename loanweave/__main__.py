@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import json
 
-from loanweave.operators.checks import verdict
+from loanweave.operators.checks import SCHEMA, verdict
 from loanweave.operators.training import application_features, train_and_evaluate
 from loanweave.plans import features, prepare
 from loanweave.session import get_session
+from loanweave.sources.staging import release
 from loanweave.sources.tables import APPLICANT, LABEL
 from loanweave.sources.writers import write_features
 
@@ -28,24 +30,36 @@ def main(argv: list[str] | None = None) -> None:
             job.add_argument(path)
         if name == "features":
             job.add_argument("--strategy", default="auto", choices=("auto", "broadcast", "shuffle"))
+            job.add_argument("--with-balance", action="store_true")
+        if name == "clean-all":
+            job.add_argument("--schemas", help="JSON file: table name to DDL")
     args = parser.parse_args(argv)
     spark = get_session(f"loanweave-{args.job}")
     if args.job == "clean":
         print(prepare.clean_application_csv(spark, args.source, args.target), "rows")
     elif args.job == "clean-all":
-        print(prepare.clean_all(spark, args.source, args.target))
+        schemas = None
+        if args.schemas:
+            with open(args.schemas, encoding="utf-8") as file:
+                schemas = json.load(file)
+        print(prepare.clean_all(spark, args.source, args.target, schemas=schemas))
     elif args.job == "verify":
-        found = prepare.verify(spark, args.source)
-        found.show(200, truncate=False)
+        rows = prepare.verify(spark, args.source).collect()  # one per check
+        found = spark.createDataFrame(rows, SCHEMA)
+        found.show(len(rows), truncate=False)
         verdict(found).show(truncate=False)
     elif args.job == "features":
-        print(features.build_final_features(spark, args.source, args.target, strategy=args.strategy), "rows")
+        rows = features.build_final_features(
+            spark, args.source, args.target, strategy=args.strategy, with_balance=args.with_balance
+        )
+        print(rows, "rows")
     elif args.job == "vectors":
         vectors = application_features(spark.read.parquet(args.source))
         write_features(vectors, args.target, (APPLICANT, LABEL, "scaled_features"))
     else:
         scores, _ = train_and_evaluate(spark.read.parquet(args.source), save_to=args.target)
         scores.show()
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -13,6 +13,11 @@ def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def text(value: str) -> str:
+    """Text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def double(value: float) -> str:
     """Double literal."""
     return f"{float(value)!r}D" if math.isfinite(value) else f"double('{value}')"

@@ -3,12 +3,13 @@
 ``scale`` on a sum or mean adds the values up exactly, as whole numbers of that many
 decimal places. A double sum depends on the order in which partitions are merged, so it
 can change between two runs or after a lost executor; the exact one cannot, and costs the
-same. It needs finite values, and ANSI mode reports any other. Every measure combines on the map side.
+same. A value with more decimals than that, or too large to be counted in them, fails the
+job; nothing is rounded away. Every measure combines on the map side.
 """
 
 from __future__ import annotations
 
-from loanweave.functions.expressions import quoted
+from loanweave.functions.expressions import quoted, text
 
 
 _PART = 1_000_000
@@ -17,7 +18,13 @@ _PART = 1_000_000
 def _exact_sum(column: str, scale: int) -> str:
     # Two long sums, of the high and the low part of each value, so that no group is too
     # large for them; put together as a decimal at the end.
-    unit = f"CAST(rint({column} * {10**scale}D) AS BIGINT)"
+    # A value may miss a whole number by what a product of doubles can be off.
+    value = f"CAST({column} * {10**scale}D AS DOUBLE)"
+    refused = text(f"{column} has values that are not exact to {scale} decimals")
+    unit = (
+        f"CASE WHEN {column} IS NULL THEN NULL WHEN abs({value} - rint({value})) <= greatest(1e-6D, abs({value}) * 1e-14D)"
+        f" THEN CAST(rint({value}) AS BIGINT) ELSE CAST(raise_error({refused}) AS BIGINT) END"
+    )
     high, low = f"CAST(sum({unit} div {_PART}) AS DECIMAL(20,0))", f"sum({unit} % {_PART})"
     return f"(CAST({high} * {_PART} + {low} AS DOUBLE) / {10**scale}D)"
 
@@ -37,8 +44,7 @@ def mean(column: str, scale: int | None = None) -> str:
 
 
 def count_equal(column: str, value: str) -> str:
-    literal = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"count_if({quoted(column)} = '{literal}')"
+    return f"count_if({quoted(column)} = {text(value)})"
 
 
 def count_positive(column: str) -> str:

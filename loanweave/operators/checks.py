@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.functions.expressions import quoted
+from loanweave.functions.expressions import quoted, text
 from loanweave.operators.profile import SENTINEL, nulls_in
 
 SCHEMA = "check STRING, table STRING, subject STRING, status STRING, detail BIGINT"
@@ -53,15 +53,15 @@ def sentinel_gone(df: DataFrame, columns: Sequence[str], value: int = SENTINEL)
     for c in columns:
         hits = f"count_if({quoted(c)} = {value})"
         if c in df.columns:
-            cells.append(_cell("sentinel_gone", f"'{c}'", _passed(f"{hits} = 0"), hits))
+            cells.append(_cell("sentinel_gone", text(c), _passed(f"{hits} = 0"), hits))
         else:
-            cells.append(_cell("sentinel_gone", f"'{c}'", "'SKIP'", "NULL"))
+            cells.append(_cell("sentinel_gone", text(c), "'SKIP'", "NULL"))
     return cells
 
 
 def remaining_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """NULLs left in the repaired columns, for information."""
-    return [_cell("remaining_nulls", f"'{c}'", "'PASS'", nulls_in(c)) for c in columns if c in df.columns]
+    return [_cell("remaining_nulls", text(c), "'PASS'", nulls_in(c)) for c in columns if c in df.columns]
 
 
 def days_not_positive(columns: Sequence[str], hard: Iterable[str] = ()) -> list[str]:
@@ -70,7 +70,7 @@ def days_not_positive(columns: Sequence[str], hard: Iterable[str] = ()) -> list[
     for c in columns:
         hits = f"count_if({quoted(c)} > 0)"
         status = _passed(f"{hits} = 0", "FAIL" if c in strict else "WARN")
-        cells.append(_cell("days_not_positive", f"'{c}'", status, hits))
+        cells.append(_cell("days_not_positive", text(c), status, hits))
     return cells
 
 
@@ -78,7 +78,7 @@ def columns_dropped(df: DataFrame, expected: Sequence[str]) -> list[str]:
     """None of the columns that should be gone is present."""
     here = set(df.columns)
     return [
-        _cell("dropped", f"'{c}'", "'FAIL'" if c in here else "'PASS'", str(int(c in here))) for c in expected
+        _cell("dropped", text(c), "'FAIL'" if c in here else "'PASS'", str(int(c in here))) for c in expected
     ]
 
 

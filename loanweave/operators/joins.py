@@ -9,9 +9,10 @@ Strategies:
                the limit, and merged by shuffle otherwise.
 
 A base key (or NULL) that holds a large share of the rows would send them all to one
-task of a shuffled join. Such keys are found with a bounded sketch. Their rows are then
-joined apart from the rest, against the few matching side rows, which are broadcast:
-there are at most ``MAX_HOT`` of them per side because a side has one row per key.
+task of a shuffled join. With ``hot_share``, such keys are found by a bounded sketch and
+their rows are joined apart from the rest, against the few matching side rows, which are
+broadcast. A side has one row per key, so these are at most ``MAX_HOT``; that is checked.
+Leave ``hot_share`` out for a base that is unique on the key.
 """
 
 from __future__ import annotations
@@ -21,16 +22,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loanweave.sources.staging import stage, stage_all
+from loanweave.functions.expressions import quoted
+from loanweave.sources.staging import measured_bytes, stage_all, stage_measured
 
 BROADCAST_LIMIT = 50 * 1024 * 1024
-HOT_SHARE = 0.001
-HOT_ROWS = 100_000  # a key with fewer rows never overloads a task
+# These two only route rows: a hot key beyond them is joined like any other.
 MAX_HOT = 1000
 _TRACKED = 4096  # sketch entries; finds any key above 1/3000 of the rows
-_ROW_OVERHEAD = 32
 
 
 def left_join(
@@ -42,7 +41,7 @@ def left_join(
 ) -> DataFrame:
     """Left outer equi-join on one column; unmatched rows get NULLs."""
     if strategy == "broadcast":
-        other = stage(other, "side")
+        other = stage_measured(other, "side")
         strategy = "broadcast_checked" if measured_bytes(other) <= limit else "shuffle"
     return _join(base, other, on, strategy)
 
@@ -57,31 +56,16 @@ def _join(base: DataFrame, other: DataFrame, on: str, strategy: str) -> DataFram
     return base.join(other, on, "left")
 
 
-def measured_bytes(staged: DataFrame) -> int:
-    """Size in memory of a written table: row count (from file footers, if all columns
-    are of fixed width) times row width, plus the length of its variable columns."""
-    fixed = (T.NumericType, T.DatetimeType, T.BooleanType)
-    variable = [f.name for f in staged.schema if not isinstance(f.dataType, fixed)]
-    lengths = [
-        F.coalesce(F.sum(F.octet_length(F.col(c).cast("string"))), F.lit(0)).alias(c) for c in variable
-    ]
-    row = staged.agg(F.count(F.lit(1)).alias("__rows"), *lengths).first()
-    width = _ROW_OVERHEAD + 8 * len(staged.columns)
-    return row["__rows"] * width + sum(row[c] for c in variable)
-
-
-def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, least_rows: int = HOT_ROWS
-) -> list:
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
     """Keys (None for NULL) with more than ``share`` of the rows, so at most 1/share of them.
 
     One scan of the key column. Sketches are merged in two levels, so no single task
     receives one per scan task. The estimate only decides how rows are routed.
     """
-    if df.count() <= least_rows:
+    if df.isEmpty():  # a sketch of nothing cannot be read
         return []
     groups = F.pmod(F.spark_partition_id(), F.lit(64))
-    sketch = f"approx_top_k_accumulate(`{key}`, {_TRACKED})"
+    sketch = f"approx_top_k_accumulate({quoted(key)}, {_TRACKED})"
     row = (
         df.groupBy(groups.alias("part"))
         .agg(F.expr(sketch).alias("s"), F.count(F.lit(1)).alias("n"))
@@ -89,13 +73,21 @@ def hot_keys(
         .select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT})").alias("top"), "n")
         .first()
     )
-    least = max(share * row["n"], least_rows)
-    return [item["item"] for item in row["top"] if item["count"] > least]
+    return [item["item"] for item in row["top"] if item["count"] > share * row["n"]]
 
 
 def _is_hot(key: str, keys: Sequence) -> Column:
     named = [k for k in keys if k is not None]
-    return F.col(key).isNull() | F.col(key).isin(named)
+    return F.col(quoted(key)).isNull() | F.col(quoted(key)).isin(named)
+
+
+def _rows_of(side: DataFrame, key: str, keys: Sequence) -> DataFrame:
+    """The side's rows of the hot keys, of which there must be one per key at most."""
+    named = [k for k in keys if k is not None]
+    found = side.where(F.col(quoted(key)).isin(named))
+    if found.count() > len(named):
+        raise ValueError(f"a side has several rows for one {key}; it must be unique on it to be split")
+    return found
 
 
 def attach(
@@ -104,13 +96,12 @@ def attach(
     on: str,
     strategy: str = "auto",
     limit: int = BROADCAST_LIMIT,
-    hot_share: float | None = HOT_SHARE,
-    hot_rows: int = HOT_ROWS,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Left-join every side (one row per key) onto ``base``, in the given order.
 
-    ``hot_share=None`` skips the search for hot base keys, for a base known to be
-    unique on the key.
+    With ``hot_share``, base keys above that share of the rows are joined apart. The sides
+    are then staged, so each is computed once for both parts.
     """
     chosen = [strategy] * len(sides)
     if strategy == "broadcast":
@@ -118,11 +109,11 @@ def attach(
         chosen = ["broadcast_checked" if measured_bytes(s) <= limit else "shuffle" for s in sides]
     cold, hot = base, None
     if hot_share is not None and any(c != "broadcast_checked" for c in chosen):
-        keys = hot_keys(base, on, hot_share, hot_rows)
+        keys = hot_keys(base, on, hot_share)
         if keys:
-            split = _is_hot(on, keys)
+            sides, split = stage_all(sides, "side"), _is_hot(on, keys)
             cold, hot = base.where(~split), base.where(split)
-            hot_sides = [s.where(F.col(on).isin([k for k in keys if k is not None])) for s in sides]
+            hot_sides = [_rows_of(s, on, keys) for s in sides]
     out = _chain(cold, sides, on, chosen)
     if hot is not None:
         out = out.unionByName(_chain(hot, hot_sides, on, ["broadcast_checked"] * len(sides)))

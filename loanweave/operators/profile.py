@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.functions.expressions import quoted
+from loanweave.functions.expressions import quoted, text
 from loanweave.functions.measures import mean
 from loanweave.functions.roles import numeric_columns
 
@@ -27,8 +27,7 @@ def per_column(
     names = list(columns) or df.columns[:1]
     cells = []
     for name in names:
-        label = name.replace("\\", "\\\\").replace("'", "\\'")
-        fields = {"column": f"'{label}'", "type": f"'{types[name]}'", "rows": "count(1)", **stats(name)}
+        fields = {"column": text(name), "type": f"'{types[name]}'", "rows": "count(1)", **stats(name)}
         cells.append("named_struct(" + ", ".join(f"'{k}', {sql}" for k, sql in fields.items()) + ")")
     out = df.selectExpr(f"array({', '.join(cells)}) AS cells").select(F.inline("cells"))
     return out if columns else out.where(F.lit(False))
@@ -46,6 +45,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 def missing_report(df: DataFrame, drop_above: float = 60.0) -> DataFrame:
     """Columns with NULLs, worst first, with the proposed treatment."""
     numeric = numeric_columns(df.schema)
+    # The names of the treatments.
     pct = F.round(F.col("nulls") / F.col("rows") * 100, 2)
     strategy = (
         F.when(F.col("pct") > drop_above, "DROP column (>60%)" if drop_above == 60 else "DROP column")
@@ -115,6 +115,12 @@ def _summary_row(name: str, df: DataFrame) -> DataFrame:
     )
 
 
+def over_tables(tables: Mapping[str, DataFrame], report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A report of several tables, with a leading ``table`` column."""
+    parts = [report(df).select(F.lit(name).alias("table"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table, rows, cols, nulls)``, one row per table."""
     return reduce(DataFrame.unionByName, [_summary_row(n, d) for n, d in tables.items()])

@@ -8,6 +8,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +86,7 @@ def training_pipeline(features: Sequence[str], classifier: Estimator) -> Pipelin
     )
 
 
+# Hyperparameters of both classifiers.
 def classifiers(label: str = LABEL) -> dict[str, Estimator]:
     return {
         "LogisticRegression": LogisticRegression(
@@ -103,6 +105,24 @@ def split_random(
     return first, second
 
 
+def probability_gap(first: DataFrame, second: DataFrame, key: str) -> float:
+    """Largest difference between the probabilities of label 1 in two scorings of the same rows."""
+    one, two = (d.select(key, vector_to_array("probability")[1].alias(n)) for d, n in ((first, "a"), (second, "b")))
+    return one.join(two, key).agg(F.coalesce(F.max(F.abs(F.col("a") - F.col("b"))), F.lit(0.0))).first()[0]
+
+
+def gradient_size(model: PipelineModel, train: DataFrame, label: str = LABEL) -> float:
+    """Largest component of the gradient of the penalised mean loss at a fitted logistic
+    regression: 0 at the optimum. One aggregate over the training rows."""
+    linear = model.stages[-1]
+    x = vector_to_array("features")
+    off = vector_to_array("probability")[1] - F.col(label)
+    penalty = linear.getRegParam()
+    parts = [F.avg(off * x[i]) + F.lit(penalty * float(w)) for i, w in enumerate(linear.coefficients.toArray())]
+    row = model.transform(train).agg(F.avg(off), *parts).first()
+    return max(abs(v) for v in row)
+
+
 def hash_bucket(key: str, buckets: int = 100) -> Column:
     """Stable bucket of a key, the same on every cluster and in every retry."""
     digest = F.md5(F.col(key).cast("string").cast("binary"))

@@ -29,7 +29,7 @@ def default_rollups() -> dict[str, Rollup]:
 def loans_with_balance(
     bureau: DataFrame, balance: DataFrame, rollup: Rollup | None = None, strategy: str = "auto"
 ) -> DataFrame:
-    """Bureau loans with their rolled-up monthly balance."""
+    """Bureau loans with their rolled-up monthly balance. Loans are unique on their key."""
     rollup = rollup or A.balance_rollup()
     return attach(bureau, [rollup(balance)], rollup.key, strategy)
 
@@ -53,26 +53,36 @@ def final_features(
     key: str = APPLICANT,
     strategy: str = "auto",
     with_balance: bool = False,
-    hot_share: float | None = 0.001,
+    hot_share: float | None = None,
+    balance_rollups: tuple[Rollup, Rollup] | None = None,
+    side_names: tuple[str, str] = ("bureau", "bureau_bal"),
 ) -> DataFrame:
     """Applications with all side roll-ups.
 
     ``with_balance`` adds the second-level balance features; they are off by default so
-    that the columns are those of the five side tables.
+    that the columns are those of the five side tables. Applications are unique on their
+    key; ``hot_share`` is for another base that is not.
     """
     rollups = rollups or default_rollups()
     sides = [rollup(tables[name]) for name, rollup in rollups.items()]
     if with_balance:
-        sides.append(balance_features(tables["bureau"], tables["bureau_bal"]))
+        bureau, balance = (tables[n] for n in side_names)
+        sides.append(balance_features(bureau, balance, *(balance_rollups or (None, None)), strategy))
     return attach(tables[base], sides, key, strategy, hot_share=hot_share)
 
 
 def build_final_features(
-    spark: SparkSession, clean_root: str, target: str, pattern: str = "{stem}", strategy: str = "auto"
+    spark: SparkSession,
+    clean_root: str,
+    target: str,
+    pattern: str = "{stem}",
+    strategy: str = "auto",
+    with_balance: bool = False,
 ) -> int:
     """Read the cleaned tables, build the feature table and write it. Returns its rows."""
-    tables = read_cleaned(spark, clean_root, ("app_train", *SIDES), pattern)
-    return write_counted(final_features(tables, strategy=strategy), target)
+    names = ("app_train", *SIDES, *(("bureau_bal",) if with_balance else ()))
+    tables = read_cleaned(spark, clean_root, names, pattern)
+    return write_counted(final_features(tables, strategy=strategy, with_balance=with_balance), target)
 
 
 def compare_strategies(

@@ -68,15 +68,17 @@ def clean_all(
     clean_root: str,
     specs: Mapping[str, CleaningSpec] | None = None,
     pattern: str = "{stem}",
+    schemas: Mapping[str, str] | None = None,
 ) -> dict[str, int]:
     """Clean every table under the thorough contract. Returns rows written per table.
 
     CSV text is parsed once: each raw table is staged as Parquet, and the fitting scans
-    read only the columns they need from there.
+    read only the columns they need from there. ``schemas`` (DDL by table name) spare the
+    scan that infers types.
     """
     written = {}
     for name, spec in (specs or presets.thorough()).items():
-        with staged(read_raw(spark, raw_root, [name])[name], f"raw-{name}") as raw:
+        with staged(read_raw(spark, raw_root, [name], schemas=schemas)[name], f"raw-{name}") as raw:
             written[name] = write_counted(clean(raw, spec), parquet_path(clean_root, name, pattern))
     return written
 

@@ -1,36 +1,35 @@
 """Tables written once and read back, to cut lineage or to reuse a costly result.
 
-They go to the shared folder that the cluster names in ``spark.checkpoint.dir``, so
-they outlive any executor.
+They go to the shared folder that the cluster names in ``spark.checkpoint.dir``, so they
+outlive any executor; where that is unset, to the warehouse, which is shared as well. Each
+application has a folder of its own there. ``staged`` removes one copy after use,
+``release`` all of them.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_SETTING = "spark.checkpoint.dir"
+_ROW_OVERHEAD = 32
 
 
 def staging_root(spark: SparkSession) -> str:
-    root = spark.conf.get(_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="loanweave-")
-    spark.conf.set(_SETTING, root)
-    return root
+    """Folder of this application; settings are only read."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/loanweave-{spark.sparkContext.applicationId}"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A path not used before."""
-    return f"{staging_root(spark)}/loanweave/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -40,6 +39,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """As ``stage``, for a copy that is needed only inside the block and removed after it."""
@@ -49,11 +53,48 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _remove(spark, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all that this application has staged. Tables read from there can no longer be used."""
+    _remove(spark, staging_root(spark))
 
 
 def stage_all(dfs: Sequence[DataFrame], label: str) -> list[DataFrame]:
-    """Stage several results as concurrent jobs, so that short stages share the cluster."""
+    """Stage several results as concurrent jobs, so that short stages share the cluster, and
+    measure all of them in one more. What was staged like this before is taken as it is."""
     with ThreadPoolExecutor(max_workers=max(len(dfs), 1)) as pool:
-        return list(pool.map(lambda df: stage(df, label), dfs))
+        out = list(pool.map(lambda df: df if hasattr(df, "_staged_bytes") else stage(df, label), dfs))
+    fresh = [df for df in out if not hasattr(df, "_staged_bytes")]
+    for df, size in zip(fresh, _sizes(fresh)):
+        df._staged_bytes = size
+    return out
+
+
+def stage_measured(df: DataFrame, label: str) -> DataFrame:
+    return stage_all([df], label)[0]
+
+
+def _variable(df: DataFrame) -> list[str]:
+    fixed = (T.NumericType, T.DatetimeType, T.BooleanType)
+    return [f.name for f in df.schema if not isinstance(f.dataType, fixed)]
+
+
+def _sizes(dfs: Sequence[DataFrame]) -> list[int]:
+    """Sizes in memory, from one job: rows (from file footers, if all columns are of fixed
+    width) times row width, plus the length of the variable columns."""
+    if not dfs:
+        return []
+    rows = []
+    for i, df in enumerate(dfs):
+        width = F.count(F.lit(1)) * (_ROW_OVERHEAD + 8 * len(df.columns))
+        lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`").cast("string"))), F.lit(0)) for c in _variable(df)]
+        rows.append(df.agg(sum(lengths, width).alias("bytes")).select(F.lit(i).alias("i"), "bytes"))
+    found = {r["i"]: r["bytes"] for r in reduce(DataFrame.union, rows).collect()}
+    return [found[i] for i in range(len(dfs))]
+
+
+def measured_bytes(df: DataFrame) -> int:
+    known = getattr(df, "_staged_bytes", None)
+    return known if known is not None else _sizes([df])[0]

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from loanweave.sources.readers import read_csv
 
@@ -50,12 +51,12 @@ def read_raw(
     root: str,
     names: Iterable[str] = tuple(TABLES),
     null_token: str | None = "XNA",
+    schemas: Mapping[str, StructType | str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The CSV tables. Those without a declared schema are inferred, which costs a scan."""
-    return {
-        n: read_csv(spark, f"{root}/{TABLES[n].stem}.csv", TABLES[n].schema, null_token)
-        for n in names
-    }
+    """The CSV tables. ``schemas`` (DDL or type, by table name) go before declared ones; a
+    table with neither is inferred, which costs a scan."""
+    given = {n: TABLES[n].schema for n in TABLES} | dict(schemas or {})
+    return {n: read_csv(spark, f"{root}/{TABLES[n].stem}.csv", given[n], null_token) for n in names}
 
 
 def read_cleaned(
