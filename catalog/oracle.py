@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from catalog.views import ansi, column_names
 
-RAW = ("v_app", "v_bureau", "v_balance", "v_prev", "v_inst", "v_card", "v_pos")
+RAW = ("v_app", "v_app_test", "v_bureau", "v_balance", "v_prev", "v_inst", "v_card", "v_pos")
 DAYS_APP = ("days_birth", "days_employed", "days_registration")
 
 
@@ -156,6 +156,21 @@ CLEAN_INST = rewritten(
 )
 # CTEs and the views they need, per cleaned view.
 CLEANED = {
+    "v_app_test": {
+        f"{name}_test": sql.replace("target, ", "").replace("FROM v_app", "FROM v_app_test")
+        .replace("FROM repaired", "FROM repaired_test").replace("FROM filled", "FROM filled_test")
+        for name, sql in (("repaired", REPAIRED_APP), ("filled", FILLED_APP), ("clean_app", CLEAN_APP))
+    },
+    "v_balance": {
+        "clean_balance": rewritten("v_balance", {"status": f"coalesce(status, {mode_of('status', 'v_balance')})"})
+    },
+    "v_pos": {
+        "clean_pos": rewritten("v_pos", {
+            "cnt_instalment": filled("cnt_instalment", "v_pos"),
+            "contract_status": f"coalesce(contract_status, {mode_of('contract_status', 'v_pos')})",
+        }),
+    },
+    "v_card": {"clean_card": rewritten("v_card", {c: filled(c, "v_card") for c in ("amt_balance", "cnt_drawings")})},
     "v_app": {"repaired": REPAIRED_APP, "filled": FILLED_APP, "clean_app": CLEAN_APP},
     "v_bureau": {"repaired_bureau": REPAIRED_BUREAU, "clean_bureau": CLEAN_BUREAU},
     "v_prev": {"repaired_prev": REPAIRED_PREV, "clean_prev": CLEAN_PREV},
@@ -220,15 +235,26 @@ SUMMARY = union(
 )
 APP_TYPES = {"amt_income": "double", "amt_annuity": "double", "segment": "string", "occupation": "string",
              "car_age": "int", "house_age": "int"}
+# Columns with NULLs in each view.
+NULL_TYPES = {
+    "v_app": APP_TYPES,
+    "v_app_test": APP_TYPES,
+    "v_bureau": {"amt_credit_sum": "double", "amt_credit_sum_debt": "double", "amt_overdue": "double"},
+    "v_balance": {"status": "string"},
+    "v_prev": {"amt_credit": "double", "suite_type": "string"},
+    "v_inst": {"amt_payment": "double", "days_entry_payment": "int"},
+    "v_card": {"amt_balance": "double", "cnt_drawings": "int"},
+    "v_pos": {"cnt_instalment": "int", "contract_status": "string"},
+}
 DEBTS = ("amt_credit_sum", "amt_credit_sum_debt", "amt_overdue")
-REDUCED = {"v_app": "clean_app", "v_bureau": "clean_bureau", "v_prev": "clean_prev"}
-LEFT_OVER = {
+REDUCED = {v: list(ctes)[-1] for v, ctes in CLEANED.items()}
+LEFT_OVER = {v: column_names(v) for v in RAW} | {
     "v_app": [c for c in column_names("v_app") if c != "car_age"],
+    "v_app_test": [c for c in column_names("v_app_test") if c != "car_age"],
     "v_bureau": [c for c in column_names("v_bureau") if c != "amt_overdue"],
     "v_prev": [c for c in column_names("v_prev") if c != "days_first_drawing"],
-    "v_inst": column_names("v_inst"),
 }
-_ALL_CLEANED = CLEANED["v_app"] | CLEANED["v_bureau"] | CLEANED["v_prev"] | CLEANED["v_inst"]
+_ALL_CLEANED = {name: sql for ctes in CLEANED.values() for name, sql in ctes.items()}
 
 
 # Verification
@@ -242,17 +268,18 @@ def check(name: str, table: str, subject: str, status: str, detail: str, source:
 
 
 def _checks() -> str:
-    roles = {"app_train": ("v_app", "clean_app"), "bureau": ("v_bureau", "clean_bureau"),
-             "prev_app": ("v_prev", "clean_prev"), "installments": ("v_inst", "clean_inst")}
-    dropped = {"app_train": "car_age", "bureau": "amt_overdue", "prev_app": "days_first_drawing"}
-    days = {"app_train": DAYS_APP, "bureau": ("days_credit",), "prev_app": ("days_first_due",),
+    tables = {"app_train": "v_app", "app_test": "v_app_test", "bureau": "v_bureau", "bureau_bal": "v_balance", "prev_app": "v_prev",
+              "pos_cash": "v_pos", "credit_card": "v_card", "installments": "v_inst"}
+    dropped = {"app_train": "car_age", "app_test": "car_age", "bureau": "amt_overdue", "prev_app": "days_first_drawing"}
+    days = {"app_train": DAYS_APP, "app_test": DAYS_APP, "bureau": ("days_credit",), "prev_app": ("days_first_due",),
             "installments": ("days_instalment", "days_entry_payment")}
-    marked = {"app_train": "days_employed", "prev_app": "days_first_due"}
-    out = []
-    for table, (raw, clean) in roles.items():
-        columns = LEFT_OVER[raw]
+    marked = {"app_train": "days_employed", "app_test": "days_employed", "prev_app": "days_first_due"}
+    widths = {"app_train": 13, "app_test": 12, "bureau": 6, "bureau_bal": 3, "prev_app": 7, "pos_cash": 4, "credit_card": 5, "installments": 6}
+    out = [check("loaded", "absent", "'*'", "'FAIL'", "0")]
+    for table, raw in tables.items():
+        columns, clean = LEFT_OVER[raw], REDUCED[raw]
         out.append(check("loaded", table, "'*'", "'PASS'", "1"))
-        for c in days[table]:
+        for c in days.get(table, ()):
             bad = f"(SELECT count(*) FROM {clean} WHERE {c} > 0)"
             worst = "'FAIL'" if c == "days_employed" else "'WARN'"
             out.append(check("days_not_positive", table, f"'{c}'", f"CASE WHEN {bad} = 0 THEN 'PASS' ELSE {worst} END", bad))
@@ -260,22 +287,40 @@ def _checks() -> str:
             c = marked[table]
             bad = f"(SELECT count(*) FROM {clean} WHERE {c} = 365243)"
             out.append(check("sentinel_gone", table, f"'{c}'", f"CASE WHEN {bad} = 0 THEN 'PASS' ELSE 'FAIL' END", bad))
-        if table == "app_train":
+        if table in ("app_train", "app_test"):
             gaps = f"(SELECT count(*) FROM {clean} WHERE days_employed IS NULL)"
             out.append(check("remaining_nulls", table, "'days_employed'", "'PASS'", gaps))
         if table in dropped:
             out.append(check("dropped", table, f"'{dropped[table]}'", "'PASS'", "0"))
         size = f"(SELECT count(*) FROM {raw})"
-        out.append(check("shape", table, f"{size} || ' x {len(columns)}'", "'PASS'", f"(SELECT count(*) FROM {clean})"))
+        out.append(check("shape", table, f"{size} || ' x {widths[table]}'", "'PASS'", f"(SELECT count(*) FROM {clean})"))
         gaps = f"(SELECT {null_total(clean, columns)})"
-        accepted = "acceptable" if table in ("app_train", "prev_app") else "review"
+        accepted = "acceptable" if table in ("app_train", "app_test", "prev_app") else "review"
         state = f"CASE WHEN {gaps} = 0 THEN 'clean' ELSE '{accepted}' END"
         status = "'PASS'" if accepted == "acceptable" else f"CASE WHEN {gaps} = 0 THEN 'PASS' ELSE 'FAIL' END"
         out.append(check("nulls", table, state, status, gaps))
     return union(out)
 
 
-CHECKED_VIEWS = ("v_app", "v_bureau", "v_prev", "v_inst")
+CHECKED_VIEWS = RAW
+SKEWED = "SELECT CASE WHEN prev_id % 3 = 0 THEN 1 WHEN prev_id % 7 = 0 THEN NULL ELSE app_id END AS app_id, prev_id, cnt_instalment FROM v_pos"
+BALANCE_SECOND = """SELECT app_id, count(DISTINCT v_bureau.bureau_id) AS bb_loans,
+        count(DISTINCT v_balance.bureau_id) AS bb_loans_with_history,
+        nullif(count(months_balance), 0) AS bb_months_total, avg(TRY_CAST(status AS DOUBLE)) AS bb_avg_status
+        FROM v_bureau LEFT JOIN v_balance ON v_bureau.bureau_id = v_balance.bureau_id GROUP BY app_id"""
+
+
+def trained(name: str) -> str:
+    return query(
+        f"SELECT '{name}' AS model, CAST(count(*) FILTER (WHERE part = 'train') AS INT) AS train_rows,"
+        " CAST(count(*) FILTER (WHERE part = 'test') AS INT) AS test_rows, true AS auc_in_range, true AS reload_equal,"
+        " true AS fitted_well FROM parts",
+        "v_app",
+        parts="SELECT CASE WHEN ('0x' || substr(md5(CAST(app_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 80"
+        " THEN 'train' ELSE 'test' END AS part FROM v_app",
+    )
+
+
 
 ORACLE: dict[str, str] = {
     "agg_bureau": query(AGG["v_bureau"], "v_bureau"),
@@ -293,26 +338,44 @@ ORACLE: dict[str, str] = {
         " ON v_bureau.bureau_id = b.bureau_id",
         "v_bureau", "v_balance",
     ),
-    "enrich_side_table": query(
-        """SELECT app_id, count(DISTINCT v_bureau.bureau_id) AS bb_loans,
-        count(DISTINCT v_balance.bureau_id) AS bb_loans_with_history,
-        nullif(count(months_balance), 0) AS bb_months_total, avg(TRY_CAST(status AS DOUBLE)) AS bb_avg_status
-        FROM v_bureau LEFT JOIN v_balance ON v_bureau.bureau_id = v_balance.bureau_id GROUP BY app_id""",
-        "v_bureau", "v_balance",
+    "enrich_side_table": query(BALANCE_SECOND, "v_bureau", "v_balance"),
+    "final_features_with_balance": query(
+        "SELECT v_app.*, " + ", ".join(f"s{i}.* EXCLUDE (app_id)" for i in range(len(AGG))) + ", b.* EXCLUDE (app_id) FROM v_app "
+        + " ".join(f"LEFT JOIN ({sql}) s{i} ON v_app.app_id = s{i}.app_id" for i, sql in enumerate(AGG.values()))
+        + f" LEFT JOIN ({BALANCE_SECOND}) b ON v_app.app_id = b.app_id",
+        "v_app", "v_balance", *AGG,
     ),
+    "join_skewed": query(
+        f"SELECT base.*, s.* EXCLUDE (app_id), t.* EXCLUDE (app_id) FROM base LEFT JOIN ({AGG['v_bureau']}) s ON base.app_id = s.app_id"
+        f" LEFT JOIN ({AGG['v_card']}) t ON base.app_id = t.app_id",
+        "v_pos", "v_bureau", "v_card", base=SKEWED,
+    ),
+    "default_rollups": query(
+        union([f"SELECT DISTINCT '{v}' AS \"view\", app_id, true AS close FROM {v}" for v in AGG if v != "v_pos"]), *[v for v in AGG if v != "v_pos"]
+    ),
+    "default_medians": union([
+        f"SELECT '{c}' AS \"column\", CAST({e} AS DOUBLE) AS rel_error, true AS near" for c in DEBTS for e in (0.01, 0.001)
+    ]),
+    "split_random": query("SELECT count(*) AS \"rows\", count(DISTINCT app_id) AS keys, true AS share_near FROM v_app", "v_app"),
+    "counted_write": query("SELECT count(*) AS read, CAST(count(*) AS INT) AS written FROM v_card", "v_card"),
+    "preview": query("SELECT * FROM v_prev ORDER BY prev_id LIMIT 10", "v_prev"),
+    "roundtrip_csv_supplied": query("SELECT * FROM v_bureau", "v_bureau"),
+    "train_lr": trained("LogisticRegression"),
+    "train_rf": trained("RandomForest"),
     "final_features_auto": FINAL,
     "final_features_broadcast": FINAL,
     "final_features_shuffle": FINAL,
     "status_distribution": query("SELECT contract_status, count(*) AS n FROM v_prev GROUP BY contract_status", "v_prev"),
     "null_profile": query(nulls("v_app", column_names("v_app")), "v_app"),
     "missing_report": query(
-        """SELECT "column", type, nulls, pct, CASE WHEN pct > 60 THEN 'DROP column (>60%)'
+        """SELECT "table", "column", type, nulls, pct, CASE WHEN pct > 60 THEN 'DROP column (>60%)'
         WHEN type = 'string' THEN 'Fill MODE' ELSE 'Fill MEDIAN' END AS strategy
-        FROM (SELECT "column", type, nulls, round(nulls / "rows" * 100, 2) AS pct FROM counts JOIN types USING ("column"))
+        FROM (SELECT *, round(nulls / "rows" * 100, 2) AS pct FROM counts)
         WHERE nulls > 0""",
-        "v_app",
-        counts=nulls("v_app", list(APP_TYPES)),
-        types="SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{t}')" for c, t in APP_TYPES.items()) + ') t("column", type)',
+        *RAW,
+        counts=union([
+            f"SELECT '{v}' AS \"table\", '{t}' AS type, c.* FROM ({nulls(v, [c])}) c" for v, types in NULL_TYPES.items() for c, t in types.items()
+        ]),
     ),
     "sentinel_profile": query(
         'SELECT "column", hits, "rows", hits * 100.0::DOUBLE / "rows" AS pct FROM h WHERE hits > 0',
@@ -323,18 +386,23 @@ ORACLE: dict[str, str] = {
         "v_app", h=hits("v_app", ("days_employed",), "= 365243"),
     ),
     "sign_profile": query(
-        'SELECT "column", sign, hits, "rows" FROM h WHERE hits > 0', "v_bureau",
+        'SELECT "table", "column", sign, hits, "rows" FROM h WHERE hits > 0', *RAW,
         h=union([
-            hits("v_bureau", ("days_credit",), "> 0", ", 'positive' AS sign"),
-            hits("v_bureau", DEBTS, "< 0", ", 'negative' AS sign"),
+            hits(v, days, "> 0", f", 'positive' AS sign, '{v}' AS \"table\"")
+            for v, days in (("v_app", DAYS_APP), ("v_app_test", DAYS_APP), ("v_bureau", ("days_credit",)),
+                            ("v_prev", ("days_first_due", "days_first_drawing")), ("v_inst", ("days_instalment", "days_entry_payment")))
+        ] + [
+            hits(v, amounts, "< 0", f", 'negative' AS sign, '{v}' AS \"table\"")
+            for v, amounts in (("v_bureau", DEBTS), ("v_inst", ("amt_instalment", "amt_payment")))
         ]),
     ),
     "amount_range": query(
         union([
-            f"SELECT '{c}' AS \"column\", min({c}) AS min, max({c}) AS max, {exact_mean(c, 4)} AS mean FROM v_app"
-            for c in ("amt_income", "amt_credit", "amt_annuity")
+            f"SELECT '{v}' AS \"table\", '{c}' AS \"column\", CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,"
+            f" {exact_mean(c, 4)} AS mean FROM {v}"
+            for v in ("v_app", "v_app_test", "v_bureau", "v_prev", "v_inst", "v_card") for c in column_names(v) if c.startswith("amt_")
         ]),
-        "v_app",
+        *RAW,
     ),
     "quartiles": query(
         union([
@@ -385,25 +453,15 @@ ORACLE: dict[str, str] = {
     "clean_module": CLEAN_BASIC,
     "clean_app": cleaned("v_app"),
     "clean_bureau": cleaned("v_bureau"),
-    "clean_balance": query(
-        rewritten("v_balance", {"status": f"coalesce(status, {mode_of('status', 'v_balance')})"}), "v_balance"
-    ),
+    "clean_balance": cleaned("v_balance"),
     "clean_previous": cleaned("v_prev"),
-    "clean_pos": query(
-        rewritten("v_pos", {
-            "cnt_instalment": filled("cnt_instalment", "v_pos"),
-            "contract_status": f"coalesce(contract_status, {mode_of('contract_status', 'v_pos')})",
-        }),
-        "v_pos",
-    ),
+    "clean_pos": cleaned("v_pos"),
     "clean_installments": cleaned("v_inst"),
-    "clean_card": query(
-        rewritten("v_card", {c: filled(c, "v_card") for c in ("amt_balance", "cnt_drawings")}), "v_card"
-    ),
+    "clean_card": cleaned("v_card"),
     "table_summary": query(SUMMARY, *RAW),
     "null_cells": query(
         """SELECT *, nulls / ("rows" * cols) * 100 AS pct, CASE WHEN nulls = 0 THEN 'clean'
-        WHEN "table" IN ('v_app', 'v_prev') THEN 'acceptable' ELSE 'review' END AS status FROM summary""",
+        WHEN "table" IN ('v_app', 'v_app_test', 'v_prev') THEN 'acceptable' ELSE 'review' END AS status FROM summary""",
         *RAW, summary=SUMMARY,
     ),
     "top_null_columns": query(

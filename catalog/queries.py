@@ -14,20 +14,29 @@ from loanweave.functions.roles import matching, numeric_columns, text_columns
 from loanweave.operators import aggregates as A
 from loanweave.operators import checks, cleaning, profile
 from loanweave.operators import training as M
-from loanweave.operators.joins import left_join
+from loanweave.operators.joins import attach, left_join
 from loanweave.operators.modes import mode_table
 from loanweave.operators.quantiles import quantiles
 from loanweave.plans import cleaning_presets as presets
 from loanweave.plans import features, prepare
 from loanweave.sources.readers import read_csv
 from loanweave.sources.staging import stage, staging_path
-from loanweave.sources.tables import load_existing
-from loanweave.sources.writers import write_csv, write_features, write_parquet
+from loanweave.sources.tables import TABLES, load_existing, read_raw
+from loanweave.sources.writers import load_model, write_counted, write_csv, write_features, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 APP, DAYS, AMOUNTS = "app_id", ("days_*",), ("amt_*",)
-VIEWS = ("v_app", "v_bureau", "v_balance", "v_prev", "v_inst", "v_card", "v_pos")
+VIEWS = ("v_app", "v_app_test", "v_bureau", "v_balance", "v_prev", "v_inst", "v_card", "v_pos")
+DATED = ("v_app", "v_app_test", "v_bureau", "v_prev", "v_inst")
+PRICED = ("v_app", "v_app_test", "v_bureau", "v_prev", "v_inst", "v_card")
+# Table that each view stands for, and columns of the cleaned view.
+ROLES = {
+    "app_train": ("v_app", 13), "app_test": ("v_app_test", 12), "bureau": ("v_bureau", 6), "bureau_bal": ("v_balance", 3),
+    "prev_app": ("v_prev", 7), "pos_cash": ("v_pos", 4), "credit_card": ("v_card", 5), "installments": ("v_inst", 6),
+}
+DROPPED = {"app_train": ("car_age",), "app_test": ("car_age",), "bureau": ("amt_overdue",), "prev_app": ("days_first_drawing",)}
+ACCEPTABLE = ("app_train", "app_test", "prev_app")
 EXACT = {"rel_error": 0.0}  # the SQL side computes exact quantiles
 
 # Roll-ups in the names of the test views. Sums of money are exact decimals: two places
@@ -52,6 +61,7 @@ APPLICATION = presets.application(
 )
 SPECS = {
     "v_app": APPLICATION,
+    "v_app_test": APPLICATION,
     "v_bureau": presets.bureau(DAYS, **EXACT),
     "v_balance": presets.bureau_balance("status", **EXACT),
     "v_prev": presets.previous_application(DAYS, **EXACT),
@@ -84,6 +94,59 @@ def final_features(strategy: str) -> Query:
     return run
 
 
+def final_features_with_balance(spark: SparkSession, sf: str) -> DataFrame:
+    tables = {n: view(spark, sf, n) for n in ("v_app", "v_balance", *ROLLUPS)}
+    return features.final_features(
+        tables, ROLLUPS, "v_app", APP, "shuffle", with_balance=True,
+        balance_rollups=(BALANCE_PARTS, BALANCE_SECOND), side_names=("v_bureau", "v_balance"),
+    )
+
+
+def join_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """A base of which one key holds a third of the rows and NULL a tenth, joined with splitting on."""
+    skewed = f"CASE WHEN prev_id % 3 = 0 THEN 1 WHEN prev_id % 7 = 0 THEN NULL ELSE {APP} END AS {APP}"
+    base = view(spark, sf, "v_pos").selectExpr(skewed, "prev_id", "cnt_instalment")
+    sides = [BUREAU(view(spark, sf, "v_bureau")), CARD(view(spark, sf, "v_card"))]
+    return attach(base, sides, APP, "shuffle", hot_share=0.05)
+
+
+def default_rollups(spark: SparkSession, sf: str) -> DataFrame:
+    """The roll-ups as shipped, which add doubles, beside the exact ones: are they close, key by key?"""
+    shipped = {
+        "v_bureau": A.bureau_rollup(APP, "bureau_id", "amt_credit_sum", "amt_credit_sum_debt", "days_credit", "credit_active"),
+        "v_prev": A.previous_rollup(APP, "prev_id", "amt_application", "amt_credit", "contract_status"),
+        "v_inst": A.installments_rollup(APP, "prev_id", "amt_instalment", "amt_payment", "days_instalment", "days_entry_payment"),
+        "v_card": A.card_rollup(APP, "amt_balance", "amt_credit_limit", "cnt_drawings"),
+    }
+    out = None
+    for name, rollup in shipped.items():
+        data = view(spark, sf, name)
+        plain, exact = rollup(data).alias("a"), ROLLUPS[name](data).alias("b")
+        values = [c for c in plain.columns if c != APP]
+        gap = [F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= 1e-9 * F.greatest(F.abs(f"b.{c}"), F.lit(1.0)) for c in values]
+        same = [g | (F.col(f"a.{c}").isNull() & F.col(f"b.{c}").isNull()) for g, c in zip(gap, values)]
+        close = F.coalesce(F.forall(F.array(*same), lambda x: x), F.lit(False)).alias("close")
+        one = plain.join(exact, APP).select(F.lit(name).alias("view"), APP, close)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def default_medians(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians at the rank errors that the presets ship with: is the value's rank near enough?"""
+    data, names = view(spark, sf, "v_bureau"), ("amt_credit_sum", "amt_credit_sum_debt", "amt_overdue")
+    out = []
+    for error in (0.01, 0.001):
+        found = quantiles(data, {c: [0.5] for c in names}, rel_error=error)
+        ranks = []
+        for c in names:
+            value = F.lit(found[c][0])
+            low = F.count_if(F.col(c) < value) <= (0.5 + error) * F.count(c) + 1
+            high = F.count_if(F.col(c) <= value) >= (0.5 - error) * F.count(c) - 1
+            ranks.append(F.struct(F.lit(c).alias("column"), F.lit(error).alias("rel_error"), (low & high).alias("near")))
+        out.append(data.agg(F.array(*ranks).alias("r")).select(F.inline("r")))
+    return out[0].unionByName(out[1])
+
+
 def one_left_join(spark: SparkSession, sf: str) -> DataFrame:
     return left_join(view(spark, sf, "v_app"), CARD(view(spark, sf, "v_card")), APP, "broadcast")
 
@@ -113,12 +176,16 @@ def sentinel_one_column(df: DataFrame) -> DataFrame:
     return profile.sentinel_counts(df, ["days_employed"], keep_zero=True)
 
 
+def over_views(names: tuple[str, ...], report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf: profile.over_tables({n: view(spark, sf, n) for n in names}, report)
+
+
 def sign_profile(spark: SparkSession, sf: str) -> DataFrame:
-    bureau = view(spark, sf, "v_bureau")
-    positive = profile.positive_counts(bureau, matching(bureau.columns, DAYS))
-    negative = profile.negative_counts(bureau, matching(bureau.columns, AMOUNTS))
+    """Positive day offsets of all views that have some; negative amounts of bureau and instalments."""
+    positive = over_views(DATED, lambda df: profile.positive_counts(df, matching(df.columns, DAYS)))(spark, sf)
+    negative = over_views(("v_bureau", "v_inst"), lambda df: profile.negative_counts(df, matching(df.columns, AMOUNTS)))(spark, sf)
     tagged = [positive.withColumn("sign", F.lit("positive")), negative.withColumn("sign", F.lit("negative"))]
-    return tagged[0].unionByName(tagged[1]).select("column", "sign", "hits", "rows")
+    return tagged[0].unionByName(tagged[1]).select("table", "column", "sign", "hits", "rows")
 
 
 def amount_range(df: DataFrame) -> DataFrame:
@@ -141,13 +208,12 @@ def table_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.null_cells({n: view(spark, sf, n) for n in VIEWS}, ("v_app", "v_prev"))
+    return profile.null_cells({n: view(spark, sf, n) for n in VIEWS}, ("v_app", "v_app_test", "v_prev"))
 
 
 def null_reduction(spark: SparkSession, sf: str) -> DataFrame:
-    names = ("v_app", "v_bureau", "v_prev")
-    raw = {n: view(spark, sf, n) for n in names}
-    return profile.null_reduction(raw, {n: cleaning.clean(raw[n], SPECS[n]) for n in names})
+    raw = {n: stage(view(spark, sf, n), n) if n in JOINED else view(spark, sf, n) for n in VIEWS}
+    return profile.null_reduction(raw, {n: cleaning.clean(raw[n], SPECS[n]) for n in VIEWS})
 
 
 # Single repairs
@@ -184,26 +250,22 @@ def late_indicator(df: DataFrame) -> DataFrame:
 
 def _stored_cleaned(spark: SparkSession, sf: str) -> tuple[dict, list[str], dict]:
     """The cleaned views, written and read back under the table names they stand for."""
-    roles = {"app_train": "v_app", "bureau": "v_bureau", "prev_app": "v_prev", "installments": "v_inst"}
     paths, shapes = {}, {}
-    for table, name in roles.items():
+    for table, (name, columns) in ROLES.items():
         raw = view(spark, sf, name)
         raw = stage(raw, name) if name in JOINED else raw
-        fitted = SPECS[name].fit(raw)
         paths[table] = staging_path(spark, table)
-        write_parquet(fitted.transform(raw), paths[table])
-        shapes[table] = (raw.count(), len(fitted.columns))
+        write_parquet(cleaning.clean(raw, SPECS[name]), paths[table])
+        shapes[table] = (raw.count(), columns)
+    paths["absent"] = staging_path(spark, "absent")  # never written
     tables, missing = load_existing(spark, paths)
     return tables, missing, shapes
 
 
 def verify_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     tables, missing, shapes = _stored_cleaned(spark, sf)
-    dropped = {"app_train": ("car_age",), "bureau": ("amt_overdue",), "prev_app": ("days_first_drawing",)}
-    rows = prepare.check_tables(
-        tables, dropped, shapes, ("app_train", "prev_app"), DAYS, "days_employed"
-    )
-    return checks.combine(checks.loaded(spark, list(shapes), missing), *rows)
+    rows = prepare.check_tables(tables, DROPPED, shapes, ACCEPTABLE, DAYS, "days_employed")
+    return checks.combine(checks.loaded(spark, [*shapes, *missing], missing), *rows)
 
 
 def verify_verdict(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,11 +320,50 @@ def auc_of_score(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(round(value, 8),)], "auc DOUBLE")
 
 
+def fitted_well(model, data: DataFrame) -> bool:
+    """Logistic regression: at the optimum. Forest: trees and depth as asked for."""
+    last = model.stages[-1]
+    if hasattr(last, "coefficients"):
+        return M.gradient_size(model, data, "target") < 1e-3
+    return last.getNumTrees == 100 and max(t.depth for t in last.trees) <= 6
+
+
+def split_random(df: DataFrame) -> DataFrame:
+    """The seeded random split: no row lost or doubled, and about four fifths for training."""
+    first, second = (part.select(APP) for part in M.split_random(stage(df.select(APP), "split")))
+    n, trained = df.count(), first.count()
+    whole = first.union(second)
+    near = abs(trained - 0.8 * n) <= 5 * (0.16 * n) ** 0.5
+    return whole.agg(F.count("*").alias("rows"), F.countDistinct(APP).alias("keys")).withColumn("share_near", F.lit(near))
+
+
+def counted_write(df: DataFrame) -> DataFrame:
+    path = staging_path(df.sparkSession, "counted")
+    written = write_counted(df, path)
+    return df.sparkSession.read.parquet(path).agg(F.count("*").alias("read"), F.lit(written).alias("written"))
+
+
+def preview(df: DataFrame) -> DataFrame:
+    """First rows in a stated order."""
+    return df.orderBy("prev_id").limit(10)
+
+
 def train(model: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         table = stage(final_features("auto")(spark, sf), "features")
-        chosen = {model: M.classifiers("target")[model]}
-        return M.train_and_evaluate(table, "target", APP, chosen, save_to=staging_path(spark, "models"))[0]
+        chosen, place = {model: M.classifiers("target")[model]}, staging_path(spark, "models")
+        scores, fitted = M.train_and_evaluate(table, "target", APP, chosen, save_to=place)
+        train_part, test_part = M.split_by_key(table, APP)
+        again = load_model(f"{place}/model_{model}")
+        area = scores.first()["auc"]
+        return scores.select(
+            "model",
+            F.lit(train_part.count()).alias("train_rows"),
+            F.lit(test_part.count()).alias("test_rows"),
+            F.lit(0.0 <= area <= 1.0).alias("auc_in_range"),
+            F.lit(M.probability_gap(fitted[model].transform(test_part), again.transform(test_part), APP) == 0.0).alias("reload_equal"),
+            F.lit(fitted_well(fitted[model], train_part)).alias("fitted_well"),
+        )
 
     return run
 
@@ -284,6 +385,14 @@ def roundtrip_csv_inferred(df: DataFrame) -> DataFrame:
     return back.select(F.col(APP).cast("long").alias(APP), "amt_income", "car_age", "segment")
 
 
+def roundtrip_csv_supplied(df: DataFrame) -> DataFrame:
+    """A table of the registry, read with a schema from outside."""
+    root = staging_path(df.sparkSession, "raw")
+    write_csv(df, f"{root}/{TABLES['bureau'].stem}.csv", "XNA")
+    ddl = ", ".join(f"{c} {t}" for c, t in df.dtypes)
+    return read_raw(df.sparkSession, root, ["bureau"], schemas={"bureau": ddl})["bureau"]
+
+
 def roundtrip_parquet(df: DataFrame) -> DataFrame:
     path = staging_path(df.sparkSession, "parquet")
     write_parquet(df, path)
@@ -303,13 +412,21 @@ QUERIES: dict[str, Query] = {
     "final_features_auto": final_features("auto"),
     "final_features_broadcast": final_features("broadcast"),
     "final_features_shuffle": final_features("shuffle"),
+    "final_features_with_balance": final_features_with_balance,
+    "join_skewed": join_skewed,
+    "default_rollups": default_rollups,
+    "default_medians": default_medians,
+    "split_random": on_view("v_app", split_random),
+    "counted_write": on_view("v_card", counted_write),
+    "preview": on_view("v_prev", preview),
+    "roundtrip_csv_supplied": on_view("v_bureau", roundtrip_csv_supplied),
     "status_distribution": on_view("v_prev", lambda df: profile.value_counts(df, "contract_status")),
     "null_profile": on_view("v_app", null_profile),
-    "missing_report": on_view("v_app", profile.missing_report),
+    "missing_report": over_views(VIEWS, profile.missing_report),
     "sentinel_profile": on_view("v_prev", sentinel_profile),
     "sentinel_one_column": on_view("v_app", sentinel_one_column),
     "sign_profile": sign_profile,
-    "amount_range": on_view("v_app", amount_range),
+    "amount_range": over_views(PRICED, amount_range),
     "quartiles": on_view("v_bureau", quartiles),
     "mode_profile": on_view("v_prev", mode_profile),
     "fix_sentinel": on_view("v_prev", fix_sentinel),

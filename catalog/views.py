@@ -110,8 +110,14 @@ def _views(days: Callable[[str], str]) -> dict[str, tuple[str, Columns]]:
     }
 
 
-_SPARK = _views(lambda c: f"datediff({c}, {ORIGIN})")
-_ANSI = _views(lambda c: f"date_diff('day', {ORIGIN}, CAST({c} AS DATE))")
+def _without_label(views: dict[str, tuple[str, Columns]]) -> dict[str, tuple[str, Columns]]:
+    """Adds the test table, which is the application table without its label."""
+    source, columns = views["v_app"]
+    return {**views, "v_app_test": (source, tuple(c for c in columns if not c.endswith(" AS target")))}
+
+
+_SPARK = _without_label(_views(lambda c: f"datediff({c}, {ORIGIN})"))
+_ANSI = _without_label(_views(lambda c: f"date_diff('day', {ORIGIN}, CAST({c} AS DATE))"))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -74,7 +74,7 @@ WANT = Counter([(1, "p", 10, None), (2, "q", 20, "x"), (2, "r", 20, "x"), (4, "s
 @pytest.mark.parametrize("hot", [None, 0.01])
 def test_attach_keeps_rows_and_leaves_unmatched_null(spark, strategy, hot):
     base = spark.createDataFrame(BASE, "k INT, v STRING")
-    out = joins.attach(base, sides_of(spark), "k", strategy, hot_share=hot, hot_rows=1)
+    out = joins.attach(base, sides_of(spark), "k", strategy, hot_share=hot)
     assert out.columns == ["k", "v", "a", "b"]
     assert Counter(tuple(r) for r in out.collect()) == WANT
 
@@ -83,10 +83,10 @@ def test_hot_keys_are_found_and_split(spark):
     base = spark.range(30000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 AND id % 2 = 0 THEN NULL ELSE id END AS k", "id"
     )
-    assert set(joins.hot_keys(base, "k", 0.01, least_rows=100)) == {7, None}
-    assert joins.hot_keys(base, "k", 0.01, least_rows=10**6) == []
+    assert set(joins.hot_keys(base, "k", 0.01)) == {7, None}
+    assert joins.hot_keys(base.where("id < 0"), "k", 0.01) == []
     side = spark.range(40000).selectExpr("id AS k", "id * 2 AS a")
-    out = joins.attach(base, [side], "k", "shuffle", hot_share=0.01, hot_rows=100)
+    out = joins.attach(base, [side], "k", "shuffle", hot_share=0.01)
     plan = plan_of(out)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan and "Union" in plan
     assert out.count() == 30000
@@ -147,3 +147,33 @@ def test_final_features_with_balance(spark):
     assert set(both.columns) - set(plain.columns) == {"bb_loans", "bb_loans_with_history", "bb_months_total", "bb_avg_status"}
     got = {r.SK_ID_CURR: (r.bureau_loan_count, r.bb_avg_status) for r in both.collect()}
     assert got[0] == (3, 2.0) and got[1] == (3, 3.0) and got[2] == (None, None)
+
+
+@pytest.mark.parametrize("values,scale", [([0.005, 0.005], 2), ([1e18], 2), ([float("nan")], 0)])
+def test_exact_sum_refuses_what_it_would_round(spark, values, scale):
+    df = spark.createDataFrame([(1, v) for v in values], "k INT, x DOUBLE")
+    with pytest.raises(Exception, match="exact to|CAST_OVERFLOW"):
+        Rollup("k", {"s": M.total("x", scale)})(df).collect()
+
+
+def test_exact_sum_takes_null_and_stored_decimals(spark):
+    df = spark.createDataFrame([(1, 0.29), (1, None), (1, 1234567.89), (2, None)], "k INT, x DOUBLE")
+    assert sorted(tuple(r) for r in Rollup("k", {"s": M.total("x", 2)})(df).collect()) == [(1, 1234568.18), (2, None)]
+
+
+def test_splitting_needs_unique_sides_and_computes_them_once(spark):
+    base = spark.range(3000).selectExpr("IF(id % 2 = 0, 5, id) AS k")
+    twice = spark.createDataFrame([(5, 1), (5, 2)], "k BIGINT, a INT")
+    with pytest.raises(ValueError, match="unique"):
+        joins.attach(base, [twice], "k", "shuffle", hot_share=0.1)
+    side = Rollup("k", {"n": "count(1)"})(spark.range(9000).selectExpr("id % 3000 AS k"))
+    plan = plan_of(joins.attach(base, [side], "k", "shuffle", hot_share=0.1))
+    assert "HashAggregate" not in plan and "Union" in plan  # the stored roll-up is scanned, not computed again
+
+
+def test_stored_sides_are_not_staged_again(spark):
+    base = spark.range(10).withColumnRenamed("id", "k")
+    stored = joins.stage_all([spark.range(10).selectExpr("id AS k", "'x' AS a")], "side")
+    assert joins.stage_all(stored, "side")[0] is stored[0]
+    assert joins.measured_bytes(stored[0]) == 10 * (32 + 16) + 10
+    assert joins.attach(base, stored, "k", "broadcast").count() == 10

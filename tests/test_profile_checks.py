@@ -88,3 +88,19 @@ def test_checks_of_a_table_share_one_scan(spark, tmp_path):
     found = checks.run(df, "t", checks.days_not_positive(["DAYS_A"]), checks.nulls_acceptable(df, True))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_checks_take_odd_names(spark):
+    df = spark.createDataFrame([(1, None)], "`it's` INT, `b\\\\c` INT")
+    names = df.columns
+    found = checks.run(
+        df, "it's", checks.sentinel_gone(df, names), checks.days_not_positive(names), checks.columns_dropped(df, ["no'ne"]),
+        checks.remaining_nulls(df, names),
+    ).collect()
+    assert {r.subject for r in found} == {*names, "no'ne"} and {r.table for r in found} == {"it's"}
+
+
+def test_reports_over_tables(spark):
+    df = spark.createDataFrame([(1, None)], "DAYS_A INT, DAYS_B INT")
+    out = profile.over_tables({"a": df, "b": df}, lambda d: profile.positive_counts(d, d.columns)).collect()
+    assert [(r.table, r["column"], r.hits) for r in out] == [("a", "DAYS_A", 1), ("b", "DAYS_A", 1)]

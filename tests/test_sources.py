@@ -135,3 +135,10 @@ def test_basic_cleaning_job(spark, tmp_path):
 
 def test_default_rollups_match_the_registry():
     assert set(features.default_rollups()) == set(features.SIDES) <= set(tables.TABLES)
+
+
+def test_supplied_schemas(spark, tmp_path):
+    (tmp_path / "bureau.csv").write_text("SK_ID_BUREAU,x\n1,XNA\n2,5\n")
+    given = tables.read_raw(spark, str(tmp_path), ["bureau"], schemas={"bureau": "SK_ID_BUREAU BIGINT, x SMALLINT"})["bureau"]
+    assert dict(given.dtypes) == {"SK_ID_BUREAU": "bigint", "x": "smallint"}
+    assert [r.x for r in given.orderBy("SK_ID_BUREAU").collect()] == [None, 5]
