@@ -58,6 +58,7 @@ class CleaningSpec:
     refill: Mapping[str, tuple[float, float]] = field(default_factory=dict)
 
     rel_error: float = 0.001
+    sketch: bool = False  # medians and quartiles from one pass of sketches, see ``order_statistics``
 
     def repaired(self, columns: list[str]) -> dict[str, str]:
         """SQL text of every column after the repairs."""
@@ -85,7 +86,7 @@ class CleaningSpec:
         numbers = {c: _Numbers(self, c, profile[c]) for c in keep if c in profile and profile[c]["n"]}
         ranks = {c: v.ranks() for c, v in numbers.items() if v.ranks()}
         extents = {c: v.extent for c, v in numbers.items()}
-        found = order_statistics(kept, repaired, ranks, extents, self.rel_error)
+        found = order_statistics(kept, repaired, ranks, extents, self.rel_error, self.sketch)
         fills: dict[str, object] = {}
         fences, refills = {}, {}
         for c, values in numbers.items():
@@ -251,8 +252,8 @@ def drop_sparse(df: DataFrame, share: float = 0.5, inclusive: bool = True) -> Da
     return clean(df, spec)
 
 
-def fill_median(df: DataFrame, columns: Names = ("*",), rel_error: float = 0.001) -> DataFrame:
-    return clean(df, CleaningSpec(numeric_fill=columns, text_fill=None, rel_error=rel_error))
+def fill_median(df: DataFrame, columns: Names = ("*",), rel_error: float = 0.001, sketch: bool = False) -> DataFrame:
+    return clean(df, CleaningSpec(numeric_fill=columns, text_fill=None, rel_error=rel_error, sketch=sketch))
 
 
 def fill_mode(df: DataFrame, columns: Names = ("*",)) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from loanweave.operators import quantiles as Q
 from loanweave.operators.quantiles import quantiles, rank_of
 
 PS = [0.25, 0.5, 0.75]
@@ -74,3 +75,18 @@ def test_property(spark, values):
     df, _ = frame(spark, values)
     for got, p in zip(quantiles(df, {"c0": PS})["c0"], PS):
         assert got == brute(values, p)
+
+
+def test_sketches_are_within_the_rank_error(spark):
+    df = spark.range(20000).selectExpr("CAST(id * 7919 % 20011 AS DOUBLE) AS a", "IF(id % 3 = 0, NULL, id * id) AS b")
+    wanted = {"a": [1, 5000, 10000, 20000], "b": [100, 6000]}
+    row = df.selectExpr("count(a) AS na", "min(a) AS la", "max(a) AS ua", "count(b) AS nb", "min(b) AS lb", "max(b) AS ub").first()
+    extents = {c: Q.Extent(row[f"n{c}"], row[f"l{c}"], row[f"u{c}"]) for c in "ab"}
+    values = {"a": "`a`", "b": "`b`"}
+    found = Q.order_statistics(df, values, wanted, extents, 0.001, sketch=True)
+    for (c, rank), value in found.items():
+        below = df.where(f"{c} < {value}").count()
+        upto = df.where(f"{c} <= {value}").count()
+        assert upto >= rank - 0.002 * extents[c].n and below <= rank + 0.002 * extents[c].n
+    with pytest.raises(ValueError, match="rank error"):
+        Q.order_statistics(df, values, wanted, extents, 0.0, sketch=True)
