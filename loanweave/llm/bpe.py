@@ -21,6 +21,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -299,16 +300,20 @@ class Table:
     """Words by hash, each with its place in one long array of ids; made from (word, ids)."""
 
     def __init__(self, words: pa.Table, vocabulary: Vocabulary):
-        texts, ids = words.column("word").to_pylist(), words.column("ids").to_pylist()
-        plain = [i for i, t in enumerate(texts) if t not in vocabulary.special]
-        points = np.frombuffer("".join(texts[i] for i in plain).encode("utf-32-le"), np.uint32)
-        end = np.cumsum([len(texts[i]) for i in plain], dtype=np.int64)
-        hashes = V.segment_hashes(points, np.append(0, end[:-1])[: len(end)], end)
-        order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.size = np.array([len(ids[i]) // 4 for i in plain], np.int64)[order]
-        self.start = (np.cumsum(self.size) - self.size) if len(plain) else np.zeros(0, np.int64)
-        self.ids = np.frombuffer(b"".join(ids[plain[i]] for i in order), np.int32)
+        plain = words.filter(pc.invert(pc.is_in(words.column("word"), pa.array(list(vocabulary.special), pa.string()))))
+        hashes, sizes, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for batch in plain.to_batches(max_chunksize=1 << 16):  # the driver's memory is small
+            text, bounds = V.raw_bytes(batch.column("word"))
+            points = np.frombuffer(text.tobytes().decode().encode("utf-32-le"), np.uint32)
+            end = np.cumsum(V.by_row(((text & 0xC0) != 0x80).astype(np.int64), bounds))
+            hashes.append(V.segment_hashes(points, np.append(0, end[:-1])[: len(end)], end))
+            raw, at = V.raw_bytes(batch.column("ids"))
+            sizes.append(np.diff(at) // 4)
+            ids.append(np.frombuffer(raw.tobytes(), np.int32))
+        every, size = np.concatenate(hashes), np.concatenate(sizes)
+        order = np.argsort(every)
+        self.hashes, self.size, self.start = every[order], size[order], (np.cumsum(size) - size)[order]
+        self.ids = np.concatenate(ids)
 
 
 def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
