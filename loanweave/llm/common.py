@@ -74,8 +74,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, seen: Colum
     ``seen`` says which documents may be learned from. The choice is by a hash of the id, so
     it is the same in every run. Labels that are NULL or contradict each other are left out.
     """
+    usable = labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & seen)
+    # Only twice as many rows as wanted, those of the smallest hashes, go on to be sorted.
+    share = min(1.0, 2 * limit / max(usable.count(), 1))
+    last = min(int(share * 2**64) - 2**63, 2**63 - 1)
     marks = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & seen)
+        usable.where(F.xxhash64("doc_id") <= F.lit(last))
         .groupBy("doc_id")
         .agg(F.max(target).alias("label"), F.min(target).alias("least"))
         .where("label = least")
