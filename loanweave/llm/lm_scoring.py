@@ -36,6 +36,7 @@ BASE, MAX_LEVEL = 2.0, 40
 #: Pseudo-count of the base distribution in the probability after a word.
 MU = 8.0
 _END = np.uint64(0x5E0F7E87)  # stands for the end of a text
+_LOW = np.uint64(0xFFFFFFFF)
 _PAIR = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -76,12 +77,16 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 )
 
 
-def _bits(hashes: np.ndarray, level: int, shard_bits: int) -> Iterator[np.ndarray]:
-    """Bit of each hash at a level within its shard, once for each probe."""
-    h = V.mix(hashes ^ np.uint64(level * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF))
-    step = (h >> np.uint64(32)) | np.uint64(1)
-    for i in range(PROBES):
-        yield (h + np.uint64(i) * step) % np.uint64(shard_bits)
+class _Probes:
+    """Bits of hashes at a level, within their shard: one for each probe, by double hashing."""
+
+    def __init__(self, hashes: np.ndarray, level: int, shard_bits: int):
+        h = V.mix(hashes ^ np.uint64(level * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF))
+        self.start, self.step, self.size = h & _LOW, (h >> np.uint64(32)) | np.uint64(1), np.uint64(shard_bits)
+
+    def bit(self, probe: int, which: np.ndarray | slice = slice(None)) -> np.ndarray:
+        at = (self.start[which] + np.uint64(probe) * self.step[which]) & _LOW
+        return (at * self.size) >> np.uint64(32)
 
 
 def _shard(hashes: np.ndarray) -> np.ndarray:
@@ -96,14 +101,15 @@ class Filter:
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """Highest level reached by probing 1, 2, ... until one is missing."""
         out = np.zeros(len(hashes), np.int64)
+        flat, row = self.bits.reshape(-1), _shard(hashes).astype(np.uint64) * np.uint64(self.shard_bits // 8)
         open_ = np.arange(len(hashes))
-        shard = _shard(hashes)
         for level in range(1, MAX_LEVEL + 1):
-            h = hashes[open_]
-            hit = np.ones(len(h), bool)
-            for bit in _bits(h, level, self.shard_bits):
-                hit &= (self.bits[shard[open_], bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
-            open_ = open_[hit]
+            probes, alive = _Probes(hashes[open_], level, self.shard_bits), np.arange(len(open_))
+            for i in range(PROBES):
+                bit = probes.bit(i, alive)
+                byte = flat[row[open_[alive]] + (bit >> np.uint64(3))]
+                alive = alive[(byte >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0]
+            open_ = open_[alive]
             if not len(open_):
                 break
             out[open_] = level
@@ -123,18 +129,24 @@ def build_filter(counts: DataFrame) -> Filter:
     shard_bits = max(1 << 10, int(members) * BITS_PER_MEMBER // SHARDS // 64 * 64)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards: dict[int, np.ndarray] = {}
+        slots: dict[int, int] = {}  # place of each shard that this task meets
+        flags = np.zeros(0, bool)  # one for each bit of those shards
         for batch in batches:
             hashes = batch.column("hash").to_numpy().view(np.uint64)
             levels, shard = batch.column("level").to_numpy(), batch.column("shard").to_numpy()
-            for s in np.unique(shard):
-                bits = shards.setdefault(int(s), np.zeros(shard_bits // 8, np.uint8))
-                mine, top = hashes[shard == s], levels[shard == s]
-                for q in range(1, int(top.max()) + 1):
-                    for bit in _bits(mine[top >= q], q, shard_bits):
-                        np.bitwise_or.at(bits, bit >> np.uint64(3), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
-        for s, bits in shards.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["shard", "bits"])
+            met, inverse = np.unique(shard, return_inverse=True)
+            mine = np.array([slots.setdefault(int(s), len(slots)) for s in met], np.uint64)
+            if len(slots) * shard_bits > len(flags):
+                flags = np.concatenate([flags, np.zeros(len(slots) * shard_bits * 2 - len(flags), bool)])
+            base = mine[inverse] * np.uint64(shard_bits)
+            for q in range(1, int(levels.max(initial=0)) + 1):
+                deep = np.flatnonzero(levels >= q)
+                probes = _Probes(hashes[deep], q, shard_bits)
+                for i in range(PROBES):
+                    flags[base[deep] + probes.bit(i)] = True
+        for s, slot in slots.items():
+            bits = np.packbits(flags[slot * shard_bits : (slot + 1) * shard_bits], bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits], pa.binary())], ["shard", "bits"])
 
     # the counts are stored by shard, so a task meets few of them and sends those parts only
     filled = counts.select("hash", level.alias("level"), "shard").mapInArrow(fill, "shard int, bits binary")
