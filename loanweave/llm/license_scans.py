@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanweave.sources.staging import stage
+
 #: Header sentences of common licences.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -113,6 +115,7 @@ def scan(files: DataFrame, patterns: DataFrame | None = None, min_cosine: float
         F.aggregate("units", F.lit(0), lambda a, u: a + F.length(u)).alias("unit_chars"),
         F.length("text").alias("chars"),
     )
+    base = stage(base, "license-lines")  # texts are scanned once, their licence lines are few
     # Equal sets of licence lines (mostly one common line) are resolved once.
     kinds = base.where(F.size("units") > 0).select("units").distinct()
     lines = kinds.select(F.explode("units").alias("unit"))
@@ -124,7 +127,9 @@ def scan(files: DataFrame, patterns: DataFrame | None = None, min_cosine: float
         .agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("top"))
         .select("units", F.col("top.license").alias("own_license"), (-F.col("top.far")).alias("cosine"))
     )
-    owned = base.join(resolved, "units", "left")
+    # files without licence lines, mostly the larger part, have nothing to be joined on
+    bare = base.where(F.size("units") == 0).select("*", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("cosine"))
+    owned = base.where(F.size("units") > 0).join(resolved, "units", "left").unionByName(bare)
     is_file = F.coalesce(F.rlike("path", F.lit(LICENSE_FILE)), F.lit(False)) | (
         F.col("unit_chars") >= LICENSE_SHARE * F.col("chars")
     )
