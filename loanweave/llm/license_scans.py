@@ -1,7 +1,8 @@
-"""Licences of files: TF-IDF cosine of licence lines to templates, then inheritance by folder.
+"""Licences of files: TF-IDF cosine of headers and licence files to templates, then inheritance by folder.
 
-The unit is a line that holds a licence cue. Equal lines are compared once, however many
-files hold them. Weights come from all units of the corpus. A folder takes the licence of
+Units are the lines that hold a licence cue, the leading comment block if it holds one, and
+the whole text of a licence file. Templates are sentences, full headers and whole licences.
+Equal units are compared once, however many files hold them. Weights come from all units of the corpus. A folder takes the licence of
 the licence file in it, and a file without a licence of its own that of the nearest folder
 above it, found by joining the ancestors of distinct folders.
 
@@ -10,6 +11,8 @@ Built from DataFrame functions only.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +31,55 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+_GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public License "
+    "as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version. "
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public License for more details. "
+    "You should have received a copy of the GNU {0}General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+)
+#: Full headers that licences ask for in each file.
+HEADERS = (
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+        'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
+        "either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    *((name, _GPL.format(kind, version)) for name, kind, version in (
+        ("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"),
+    )),
+    (
+        "BSD-3-Clause",
+        "Copyright. All rights reserved. Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    ),
+)
+#: Whole licences, one file each.
+TEXTS = Path(__file__).parent / "licenses"
 #: A line with one of these is a licence line.
 CUES = r"(?i)licen[cs]e|copyright|spdx|public domain"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)[^/]*$"
+#: The comment at the start of a file: a block, or lines that each begin with a comment mark.
+HEADER = (
+    r"\A(?:#![^\n]*+\n)?\s*+(/\*(?s:.*?)\*/|<!--(?s:.*?)-->|\"{3}(?s:.*?)\"{3}"
+    r"|(?:[ \t]*+(?:#|//|--|;|%|\*|dnl |REM )[^\n]*+(?:\n|\z)|[ \t\r]*+\n)++)"
+)
 MIN_COSINE = 0.6
 #: A file with this share of its characters in licence lines is a licence file.
 LICENSE_SHARE = 0.3
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("template")) for a, b in TEMPLATES])
-    return spark.range(1).select(F.inline(rows))
+    whole = [(file.stem, file.read_text(encoding="utf-8")) for file in sorted(TEXTS.glob("*.txt"))]
+    rows = F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("template")) for a, b in [*TEMPLATES, *HEADERS, *whole]])
+    # staged, else each plan that uses them holds the whole texts, and the driver's memory is small
+    return stage(spark.range(1).select(F.inline(rows)), "license-templates")
 
 
 def terms(text: Column) -> Column:
@@ -47,11 +88,11 @@ def terms(text: Column) -> Column:
 
 
 def _weighted(units: DataFrame, idf: DataFrame) -> DataFrame:
-    """(unit, term, weight), each unit of length one."""
-    counted = units.select("unit", F.explode(terms(F.col("unit"))).alias("term")).groupBy("unit", "term").count()
+    """(id, term, weight) of (id, unit), each unit of length one."""
+    counted = units.select("id", F.explode(terms(F.col("unit"))).alias("term")).groupBy("id", "term").count()
     raw = counted.join(idf, "term").withColumn("w", F.col("count") * F.col("idf"))
-    norm = raw.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "unit").select("unit", "term", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return raw.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
 def match_units(units: DataFrame, patterns: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
@@ -60,18 +101,19 @@ def match_units(units: DataFrame, patterns: DataFrame, min_cosine: float = MIN_C
     ``units`` has ``unit``; ``patterns`` has ``license`` and ``template``. Ties go to the
     smallest licence name. Document frequencies count distinct units and templates.
     """
-    distinct = units.select("unit").distinct()
-    forms = patterns.where("template IS NOT NULL").select(F.col("template").alias("unit"), "license").distinct()
-    every = distinct.union(forms.select("unit")).distinct()
-    df = every.select("unit", F.explode(F.array_distinct(terms(F.col("unit")))).alias("term")).groupBy("term").count()
+    key = F.sha2("unit", 256).alias("id")  # units can be whole texts, which need not travel with each term
+    distinct = units.select("unit").distinct().select(key, "unit")
+    forms = patterns.where("template IS NOT NULL").select(F.col("template").alias("unit"), "license").distinct().select(key, "unit", "license")
+    every = distinct.union(forms.select("id", "unit")).dropDuplicates(["id"])
+    df = every.select("id", F.explode(F.array_distinct(terms(F.col("unit")))).alias("term")).groupBy("term").count()
     total = every.count()
     idf = df.select("term", (F.log(F.lit(total + 1.0) / (F.col("count") + 1)) + 1).alias("idf"))
     ours = _weighted(distinct, idf)
-    theirs = _weighted(forms.select("unit").distinct(), idf).select(F.col("unit").alias("form"), "term", F.col("weight").alias("other"))
-    cosine = ours.join(theirs, "term").groupBy("unit", "form").agg(F.round(F.sum(F.col("weight") * F.col("other")), 6).alias("cosine"))
-    named = cosine.where(F.col("cosine") >= min_cosine).join(forms.select(F.col("unit").alias("form"), "license"), "form")
-    best = named.groupBy("unit").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best"))
-    return best.select("unit", F.col("best.license").alias("license"), (-F.col("best.far")).alias("cosine"))
+    theirs = _weighted(forms.select("id", "unit").dropDuplicates(["id"]), idf).select(F.col("id").alias("form"), "term", F.col("weight").alias("other"))
+    cosine = ours.join(theirs, "term").groupBy("id", "form").agg(F.round(F.sum(F.col("weight") * F.col("other")), 6).alias("cosine"))
+    named = cosine.where(F.col("cosine") >= min_cosine).join(forms.select(F.col("id").alias("form"), "license"), "form")
+    best = named.groupBy("id").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best"))
+    return distinct.join(best, "id").select("unit", F.col("best.license").alias("license"), (-F.col("best.far")).alias("cosine"))
 
 
 def _folder(path: Column) -> Column:
@@ -95,7 +137,8 @@ def scan(files: DataFrame, patterns: DataFrame | None = None, min_cosine: float
     """``path``, ``own_license``, ``cosine``, ``license``, ``origin`` (own, inherited, none),
     ``from_folder`` for each row of ``files`` (``path``, ``text``).
 
-    A file's own licence is that of its best line (highest cosine, then smallest name). A
+    A file's own licence is that of its best unit (highest cosine, then smallest name): a line
+    with a cue, the leading comment with one, or, of a licence file, the whole text. A
     folder's licence is that of its licence file: one named so, or with at least
     ``LICENSE_SHARE`` of its characters in licence lines; of several, the one with the
     highest cosine, then the smallest path.
@@ -105,36 +148,42 @@ def scan(files: DataFrame, patterns: DataFrame | None = None, min_cosine: float
     - No files: no rows. Other columns are not read.
     """
     spark = files.sparkSession
-    found = files.select("path", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "units", F.filter(F.split("text", "\n"), lambda line: F.rlike(line, F.lit(CUES)))
+    found = (
+        files.select("path", F.coalesce("text", F.lit("")).alias("text"))
+        .withColumn("lines", F.filter(F.split("text", "\n"), lambda line: F.rlike(line, F.lit(CUES))))
+        .withColumn("unit_chars", F.aggregate("lines", F.lit(0), lambda a, u: a + F.length(u)))
+        .withColumn("is_file", F.coalesce(F.rlike("path", F.lit(LICENSE_FILE)), F.lit(False)) | (F.col("unit_chars") >= LICENSE_SHARE * F.length("text")))
+    )
+    header = F.when(F.size("lines") > 0, F.regexp_extract("text", HEADER, 1))
+    units = F.concat(
+        "lines",
+        F.filter(F.array(header), lambda unit: F.rlike(unit, F.lit(CUES))),
+        F.when(F.col("is_file") & (F.trim("text") != ""), F.array("text")).otherwise(F.array().cast("array<string>")),
     )
     base = found.select(
         "path",
         F.coalesce(_folder(F.col("path")), F.lit("")).alias("folder"),
-        F.array_sort(F.array_distinct("units")).alias("units"),
-        F.aggregate("units", F.lit(0), lambda a, u: a + F.length(u)).alias("unit_chars"),
-        F.length("text").alias("chars"),
+        F.array_sort(F.array_distinct(units)).alias("units"),
+        "is_file",
     )
     base = stage(base, "license-lines")  # texts are scanned once, their licence lines are few
-    # Equal sets of licence lines (mostly one common line) are resolved once.
-    kinds = base.where(F.size("units") > 0).select("units").distinct()
+    # Equal sets of units (mostly one common line) are resolved once.
+    base = base.withColumn("key", F.sha2(F.to_json("units"), 256))
+    kinds = base.where(F.size("units") > 0).select("key", "units").dropDuplicates(["key"])
     lines = kinds.select(F.explode("units").alias("unit"))
     best = match_units(lines, patterns if patterns is not None else templates(spark), min_cosine)
     resolved = (
-        kinds.select("units", F.explode("units").alias("unit"))
+        kinds.select("key", F.explode("units").alias("unit"))
         .join(best, "unit")
-        .groupBy("units")
+        .groupBy("key")
         .agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("top"))
-        .select("units", F.col("top.license").alias("own_license"), (-F.col("top.far")).alias("cosine"))
+        .select("key", F.col("top.license").alias("own_license"), (-F.col("top.far")).alias("cosine"))
     )
     # files without licence lines, mostly the larger part, have nothing to be joined on
     bare = base.where(F.size("units") == 0).select("*", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("cosine"))
-    owned = base.where(F.size("units") > 0).join(resolved, "units", "left").unionByName(bare)
-    is_file = F.coalesce(F.rlike("path", F.lit(LICENSE_FILE)), F.lit(False)) | (
-        F.col("unit_chars") >= LICENSE_SHARE * F.col("chars")
-    )
+    owned = base.where(F.size("units") > 0).join(resolved, "key", "left").unionByName(bare)
     licensed = (
-        owned.where(F.col("own_license").isNotNull() & is_file)
+        owned.where(F.col("own_license").isNotNull() & F.col("is_file"))
         .groupBy("folder")
         .agg(F.min(F.struct((-F.col("cosine")).alias("far"), F.coalesce("path", F.lit("")).alias("path"), "own_license")).alias("top"))
         .select("folder", F.col("top.own_license").alias("license"))

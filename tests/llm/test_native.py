@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
+from importlib.metadata import files as installed
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +96,19 @@ def test_licences(spark):
         ("other/w", "", "", "none"), ("tie/x", "MIT", "MIT", "own"),
     ])
     assert license_scans.scan(df.limit(0)).count() == 0
+
+
+def test_licence_texts_and_headers(spark):
+    """Real licence files of installed packages, and headers wrapped as comments."""
+    real = {"psutil": "BSD-3-Clause", "requests": "Apache-2.0", "hypothesis": "MPL-2.0", "iniconfig": "MIT"}
+    rows = [(f"{p}/{'LICENSE' if k % 2 else 'COPYING.txt'}", next(f for f in installed(p) if f.name.startswith("LICENSE")).read_text()) for k, p in enumerate(real)]
+    rows += [(f"{p}/src/code.py", "x = 1\n") for p in real]
+    want = {path: real[path.split("/")[0]] for path, _ in rows}
+    for name, text in license_scans.HEADERS:
+        wrapped = textwrap.wrap(text, 34)
+        for style, mark in (("hash", "# "), ("slash", "// ")):
+            rows.append((f"{name}-{style}/a", "\n".join(mark + w for w in ["Copyright 2020 A. Body", *wrapped]) + "\n\nx = 1\n" * 200))
+        rows.append((f"{name}-block/a", "\n/*\n * Copyright 2020 A. Body\n" + "".join(f" * {w}\n" for w in wrapped) + " */\nint x;\n" * 200))
+        want |= {f"{name}-{style}/a": name for style in ("hash", "slash", "block")}
+    got = {r.path: r.license for r in license_scans.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == want
