@@ -1,13 +1,14 @@
 """Corpus pipeline: documents through filters, near-duplicate removal, decontamination and BPE.
 
 Each stage takes what its predecessor kept, written as Parquet and read again, and returns
-the columns of ``documents``; the last one returns the token ids.
+the columns of ``documents``; the last one returns the token ids and the digest of the text
+that they decode to.
 
 - ``quality``: documents that the quality classifier scores below 0.5 go.
 - ``toxicity``: documents that the toxicity model scores 0.5 or more go.
 - ``near_duplicates``: of each class of near-duplicates, the document with the smallest id stays.
 - ``decontamination``: documents that hold a window of ``benchmark`` go.
-- ``bpe``: every document is encoded.
+- ``bpe``: every document is encoded, and its ids are decoded again.
 """
 
 from __future__ import annotations
@@ -41,8 +42,9 @@ def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(docs, public_tokenizers.path(TOKENIZER))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    path = public_tokenizers.path(TOKENIZER)
+    coded = bpe.decode(bpe.encode(docs, path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

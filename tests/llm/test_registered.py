@@ -70,3 +70,11 @@ def test_stages_with_awkward_rows(spark):
         assert step(spark, docs, SF).columns == columns
         assert step(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_last_stage_decodes(spark):
+    docs = awkward(spark)
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    want = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("decoded_sha256"))
+    pairs = lambda df: sorted((str(r.doc_id), r.decoded_sha256) for r in df.select("doc_id", "decoded_sha256").collect())
+    assert pairs(out) == pairs(want)
