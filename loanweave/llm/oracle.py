@@ -125,3 +125,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 ORACLE["op6_benchmark_decontamination"] = DECONTAMINATION
+
+HARD_NEGATIVES = """
+WITH whole AS (
+  SELECT vec_id, min(struct_pack(l := label, v := list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)))) AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+usable AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (r.l + 1) % 10 ELSE r.l END AS label, r.v AS v FROM whole),
+parts AS (SELECT vec_id, label, unnest(v) AS x, unnest(range(len(v))) AS i FROM usable),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM parts a JOIN parts b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 10
+"""
+ORACLE["op12_hard_negative_mining"] = HARD_NEGATIVES

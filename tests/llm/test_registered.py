@@ -20,14 +20,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for t in "documents pages benchmark labels conversations".split():
+    for t in "documents embeddings pages benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 
 
 def test_all_are_registered():
     assert set(registry.QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in registry.QUERIES) == sorted(range(1, 11 + 1))
+    assert sorted(int(q[2:].split("_")[0]) for q in registry.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("key", sorted(registry.ORACLE))
