@@ -11,12 +11,14 @@ Built from DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweave.sources.staging import stage
+from loanweave.sources.staging import stage, staged
 
 #: Header sentences of common licences.
 TEMPLATES = (
@@ -75,9 +77,12 @@ MIN_COSINE = 0.6
 LICENSE_SHARE = 0.3
 
 
+def whole_licences() -> list[tuple[str, str]]:
+    return [(file.stem, file.read_text(encoding="utf-8")) for file in sorted(TEXTS.glob("*.txt"))]
+
+
 def templates(spark: SparkSession) -> DataFrame:
-    whole = [(file.stem, file.read_text(encoding="utf-8")) for file in sorted(TEXTS.glob("*.txt"))]
-    rows = F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("template")) for a, b in [*TEMPLATES, *HEADERS, *whole]])
+    rows = F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("template")) for a, b in [*TEMPLATES, *HEADERS, *whole_licences()]])
     # staged, else each plan that uses them holds the whole texts, and the driver's memory is small
     return stage(spark.range(1).select(F.inline(rows)), "license-templates")
 
@@ -87,12 +92,35 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+(?:[.-][a-z0-9]+)*"), F.lit(0))
 
 
-def _weighted(units: DataFrame, idf: DataFrame) -> DataFrame:
-    """(id, term, weight) of (id, unit), each unit of length one."""
-    counted = units.select("id", F.explode(terms(F.col("unit"))).alias("term")).groupBy("id", "term").count()
-    raw = counted.join(idf, "term").withColumn("w", F.col("count") * F.col("idf"))
-    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("weight"))
+def _key(unit: Column) -> Column:
+    return F.sha2(unit, 256)  # units can be whole texts, which need not travel with each term
+
+
+@contextmanager
+def _best(units: DataFrame, patterns: DataFrame, min_cosine: float) -> Iterator[DataFrame]:
+    """(id, license, cosine) of the best licence of each distinct ``unit``, while the block runs.
+
+    Every step is written and read back, so that no plan holds another one twice.
+    """
+    forms = patterns.where("template IS NOT NULL").select(_key(F.col("template")).alias("id"), F.col("template").alias("unit"), "license").distinct()
+    with staged(forms, "license-forms") as forms:
+        ours = units.select(_key(F.col("unit")).alias("id"), "unit", F.lit(True).alias("ours"))
+        both = ours.unionByName(forms.select("id", "unit", F.lit(False).alias("ours")))
+        with staged(both.groupBy("id", "unit").agg(F.max("ours").alias("ours")), "license-vectors") as vectors:
+            total = vectors.count()
+            counted = vectors.select("id", "ours", F.explode(terms(F.col("unit"))).alias("term")).groupBy("id", "ours", "term").count()
+            with staged(counted, "license-terms") as counted:
+                idf = counted.groupBy("term").agg((F.log(F.lit(total + 1.0) / (F.count("*") + 1)) + 1).alias("idf"))
+                raw = counted.join(idf, "term").select("id", "ours", "term", (F.col("count") * F.col("idf")).alias("w"))
+                rows = raw.groupBy("id", "ours").agg(F.collect_list(F.struct("term", "w")).alias("row"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+                unit_rows = rows.select("id", "ours", "norm", F.inline("row")).select("id", "ours", "term", (F.col("w") / F.col("norm")).alias("weight"))
+                with staged(unit_rows, "license-weights") as weights:
+                    theirs = weights.join(forms.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("form"), "term", F.col("weight").alias("other"))
+                    cosine = weights.where("ours").join(theirs, "term").groupBy("id", "form").agg(F.round(F.sum(F.col("weight") * F.col("other")), 6).alias("cosine"))
+                    named = cosine.where(F.col("cosine") >= min_cosine).join(forms.select(F.col("id").alias("form"), "license"), "form")
+                    best = named.groupBy("id").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best"))
+                    with staged(best.select("id", "best.license", (-F.col("best.far")).alias("cosine")), "license-best") as best:
+                        yield best
 
 
 def match_units(units: DataFrame, patterns: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
@@ -101,19 +129,9 @@ def match_units(units: DataFrame, patterns: DataFrame, min_cosine: float = MIN_C
     ``units`` has ``unit``; ``patterns`` has ``license`` and ``template``. Ties go to the
     smallest licence name. Document frequencies count distinct units and templates.
     """
-    key = F.sha2("unit", 256).alias("id")  # units can be whole texts, which need not travel with each term
-    distinct = units.select("unit").distinct().select(key, "unit")
-    forms = patterns.where("template IS NOT NULL").select(F.col("template").alias("unit"), "license").distinct().select(key, "unit", "license")
-    every = distinct.union(forms.select("id", "unit")).dropDuplicates(["id"])
-    df = every.select("id", F.explode(F.array_distinct(terms(F.col("unit")))).alias("term")).groupBy("term").count()
-    total = every.count()
-    idf = df.select("term", (F.log(F.lit(total + 1.0) / (F.col("count") + 1)) + 1).alias("idf"))
-    ours = _weighted(distinct, idf)
-    theirs = _weighted(forms.select("id", "unit").dropDuplicates(["id"]), idf).select(F.col("id").alias("form"), "term", F.col("weight").alias("other"))
-    cosine = ours.join(theirs, "term").groupBy("id", "form").agg(F.round(F.sum(F.col("weight") * F.col("other")), 6).alias("cosine"))
-    named = cosine.where(F.col("cosine") >= min_cosine).join(forms.select(F.col("id").alias("form"), "license"), "form")
-    best = named.groupBy("id").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best"))
-    return distinct.join(best, "id").select("unit", F.col("best.license").alias("license"), (-F.col("best.far")).alias("cosine"))
+    with _best(units, patterns, min_cosine) as best:
+        found = units.select("unit").distinct().withColumn("id", _key(F.col("unit"))).join(best, "id")
+        return stage(found.select("unit", "license", "cosine"), "license-units")
 
 
 def _folder(path: Column) -> Column:
@@ -166,29 +184,32 @@ def scan(files: DataFrame, patterns: DataFrame | None = None, min_cosine: float
         F.array_sort(F.array_distinct(units)).alias("units"),
         "is_file",
     )
-    base = stage(base, "license-lines")  # texts are scanned once, their licence lines are few
-    # Equal sets of units (mostly one common line) are resolved once.
-    base = base.withColumn("key", F.sha2(F.to_json("units"), 256))
-    kinds = base.where(F.size("units") > 0).select("key", "units").dropDuplicates(["key"])
-    lines = kinds.select(F.explode("units").alias("unit"))
-    best = match_units(lines, patterns if patterns is not None else templates(spark), min_cosine)
-    resolved = (
-        kinds.select("key", F.explode("units").alias("unit"))
-        .join(best, "unit")
-        .groupBy("key")
-        .agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("top"))
-        .select("key", F.col("top.license").alias("own_license"), (-F.col("top.far")).alias("cosine"))
-    )
-    # files without licence lines, mostly the larger part, have nothing to be joined on
-    bare = base.where(F.size("units") == 0).select("*", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("cosine"))
-    owned = base.where(F.size("units") > 0).join(resolved, "key", "left").unionByName(bare)
+    with staged(base, "license-lines") as base:  # texts are scanned once, their licence lines are few
+        # Equal sets of units (mostly one common line) are resolved once.
+        base = base.withColumn("key", F.sha2(F.to_json("units"), 256))
+        kinds = base.where(F.size("units") > 0).select("key", "units").distinct().select("key", F.explode("units").alias("unit"))
+        with (
+            staged(kinds, "license-kinds") as kinds,
+            _best(kinds.select("unit"), patterns if patterns is not None else templates(spark), min_cosine) as best,
+        ):
+            resolved = (
+                kinds.select("key", _key(F.col("unit")).alias("id"))
+                .join(best, "id")
+                .groupBy("key")
+                .agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("top"))
+                .select("key", F.col("top.license").alias("own_license"), (-F.col("top.far")).alias("cosine"))
+            )
+            columns = ["path", "folder", "is_file", "own_license", "cosine"]
+            # files without licence lines, mostly the larger part, have nothing to be joined on
+            bare = base.where(F.size("units") == 0).select("*", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("cosine"))
+            owned = stage(base.where(F.size("units") > 0).join(resolved, "key", "left").select(columns).unionByName(bare.select(columns)), "license-owned")
     licensed = (
         owned.where(F.col("own_license").isNotNull() & F.col("is_file"))
         .groupBy("folder")
         .agg(F.min(F.struct((-F.col("cosine")).alias("far"), F.coalesce("path", F.lit("")).alias("path"), "own_license")).alias("top"))
         .select("folder", F.col("top.own_license").alias("license"))
     )
-    near = _nearest(base.select("folder").distinct(), licensed)
+    near = _nearest(owned.select("folder").distinct(), licensed)
     own = F.col("own_license").isNotNull()
     return owned.join(near, "folder", "left").select(
         "path",

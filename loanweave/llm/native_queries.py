@@ -30,7 +30,7 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = docs.select(F.concat_ws("/", folder, F.col("doc_id").cast("string")).alias("path"), "text")
     found = license_scans.scan(files)
     return found.select(
-        F.regexp_extract("path", r"([^/]*)$", 1).cast("long").alias("doc_id"), "own_license", "license", "origin", "from_folder"
+        F.regexp_extract("path", r"([^/]*)$", 1).cast("long").alias("doc_id"), "own_license", "cosine", "license", "origin", "from_folder"
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from loanweave.llm import license_scans
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 URL_FILTERS = rf"""
@@ -46,18 +48,15 @@ FROM marked GROUP BY conv_id
 """
 
 _TERMS = "regexp_extract_all(lower({}), '[a-z0-9]+(?:[.-][a-z0-9]+)*')"
+_FORMS = ",\n  ".join(
+    "('{}', '{}')".format(name, text.replace("'", "''"))
+    for name, text in [*license_scans.TEMPLATES, *license_scans.HEADERS, *license_scans.whole_licences()]
+)
+# The same expression without possessive marks, which SQL's engine needs not.
+_HEADER = license_scans.HEADER.replace("*+", "*").replace("++", "+")
 LICENSE_SCANS = rf"""
 WITH forms(license, unit) AS (VALUES
-  ('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
-  ('Apache-2.0', 'SPDX-License-Identifier: Apache-2.0'),
-  ('MIT', 'Released under the MIT License.'),
-  ('MIT', 'SPDX-License-Identifier: MIT'),
-  ('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
-  ('GPL-3.0', 'SPDX-License-Identifier: GPL-3.0'),
-  ('BSD-3-Clause', 'Use of this source code is governed by a BSD-style license.'),
-  ('CC-BY-4.0', 'Licensed under the Creative Commons Attribution 4.0 International License, CC BY 4.0.'),
-  ('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
-  ('MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.')),
+  {_FORMS}),
 docs AS (
   SELECT doc_id, coalesce(text, '') AS text,
          CASE WHEN length(text) < 300 THEN concat_ws('/', source, lang)
@@ -65,9 +64,15 @@ docs AS (
   FROM documents),
 lines AS (
   SELECT doc_id, unit FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM docs)
-  WHERE regexp_matches(unit, '(?i)licen[cs]e|copyright|spdx|public domain')),
-own_lines AS (SELECT DISTINCT doc_id, unit FROM lines),
-vectors AS (SELECT DISTINCT unit FROM own_lines UNION SELECT unit FROM forms),
+  WHERE regexp_matches(unit, '{license_scans.CUES}')),
+chars AS (SELECT doc_id, sum(length(unit)) AS unit_chars FROM lines GROUP BY doc_id),
+own_units AS (
+  SELECT DISTINCT doc_id, unit FROM (
+    SELECT * FROM lines
+    UNION ALL SELECT doc_id, regexp_extract(text, '{_HEADER}', 1) FROM docs JOIN chars USING (doc_id)
+    UNION ALL SELECT doc_id, text FROM docs JOIN chars USING (doc_id) WHERE unit_chars >= 0.3 * length(text) AND trim(text) <> '')
+  WHERE regexp_matches(unit, '{license_scans.CUES}')),
+vectors AS (SELECT DISTINCT unit FROM own_units UNION SELECT unit FROM forms),
 counted AS (
   SELECT unit, term, count(*) AS n FROM (SELECT unit, unnest({_TERMS.format("unit")}) AS term FROM vectors) GROUP BY ALL),
 idf AS (
@@ -77,12 +82,11 @@ weights AS (SELECT unit, term, w / sqrt(sum(w * w) OVER (PARTITION BY unit)) AS
 cosines AS (
   SELECT a.unit, f.license, round(sum(a.w * b.w), 6) AS cosine
   FROM weights a JOIN weights b USING (term) JOIN forms f ON f.unit = b.unit
-  WHERE a.unit IN (SELECT unit FROM own_lines) GROUP BY a.unit, b.unit, f.license),
+  WHERE a.unit IN (SELECT unit FROM own_units) GROUP BY a.unit, b.unit, f.license),
 top AS (
   SELECT doc_id, license, cosine, row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license) AS place
-  FROM own_lines JOIN cosines USING (unit) WHERE cosine >= 0.6),
+  FROM own_units JOIN cosines USING (unit) WHERE cosine >= 0.6),
 own AS (SELECT doc_id, license AS own_license, cosine FROM top WHERE place = 1),
-chars AS (SELECT doc_id, sum(length(unit)) AS unit_chars FROM lines GROUP BY doc_id),
 joined AS (SELECT * FROM docs LEFT JOIN own USING (doc_id) LEFT JOIN chars USING (doc_id)),
 licensed AS (
   SELECT folder AS ancestor, own_license AS folder_license,
@@ -91,7 +95,7 @@ licensed AS (
 near AS (
   SELECT doc_id, ancestor, folder_license, row_number() OVER (PARTITION BY doc_id ORDER BY length(ancestor) DESC) AS near
   FROM joined JOIN licensed ON folder = ancestor OR starts_with(folder, ancestor || '/') WHERE place = 1)
-SELECT doc_id, own_license, coalesce(own_license, folder_license) AS license,
+SELECT doc_id, own_license, cosine, coalesce(own_license, folder_license) AS license,
        CASE WHEN own_license IS NOT NULL THEN 'own' WHEN folder_license IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
        CASE WHEN own_license IS NULL THEN ancestor END AS from_folder
 FROM joined LEFT JOIN (SELECT * FROM near WHERE near = 1) USING (doc_id)
