@@ -37,7 +37,7 @@ def bureau_rollup(
     debt: str = "AMT_CREDIT_SUM_DEBT",
     days: str = "DAYS_CREDIT",
     status: str = "CREDIT_ACTIVE",
-    scale: int | None = None,
+    scale: M.Scale = M.ANY,
 ) -> Rollup:
     return Rollup(
         key,
@@ -90,7 +90,7 @@ def previous_rollup(
     application: str = "AMT_APPLICATION",
     credit: str = "AMT_CREDIT",
     status: str = "NAME_CONTRACT_STATUS",
-    scale: int | None = None,
+    scale: M.Scale = M.ANY,
 ) -> Rollup:
     return Rollup(
         key,
@@ -111,7 +111,7 @@ def installments_rollup(
     paid: str = "AMT_PAYMENT",
     due_day: str = "DAYS_INSTALMENT",
     paid_day: str = "DAYS_ENTRY_PAYMENT",
-    scale: int | None = None,
+    scale: M.Scale = M.ANY,
 ) -> Rollup:
     return Rollup(
         key,
@@ -133,7 +133,7 @@ def card_rollup(
     balance: str = "AMT_BALANCE",
     limit: str = "AMT_CREDIT_LIMIT_ACTUAL",
     drawings: str = "CNT_DRAWINGS_TOTAL",
-    scale: int | None = None,
+    scale: M.Scale = M.ANY,
 ) -> Rollup:
     return Rollup(
         key,

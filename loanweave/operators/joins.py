@@ -10,9 +10,10 @@ Strategies:
 
 A base key (or NULL) that holds a large share of the rows would send them all to one
 task of a shuffled join. With ``hot_share``, such keys are found by a bounded sketch and
-their rows are joined apart from the rest, against the few matching side rows, which are
-broadcast. A side has one row per key, so these are at most ``MAX_HOT``; that is checked.
-Leave ``hot_share`` out for a base that is unique on the key.
+their rows are joined apart from the rest. The side's rows of the hot keys are broadcast if
+they are measured to be within the limit. A side that repeats a hot key more often than that
+is salted: base rows are dealt to ``SALTS`` parts of their key in turn, and the side's rows
+are copied to every part. Leave ``hot_share`` out for a base that is unique on the key.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ BROADCAST_LIMIT = 50 * 1024 * 1024
 # These two only route rows: a hot key beyond them is joined like any other.
 MAX_HOT = 1000
 _TRACKED = 4096  # sketch entries; finds any key above 1/3000 of the rows
+SALTS = 32
 
 
 def left_join(
@@ -81,13 +83,25 @@ def _is_hot(key: str, keys: Sequence) -> Column:
     return F.col(quoted(key)).isNull() | F.col(quoted(key)).isin(named)
 
 
-def _rows_of(side: DataFrame, key: str, keys: Sequence) -> DataFrame:
-    """The side's rows of the hot keys, of which there must be one per key at most."""
-    named = [k for k in keys if k is not None]
-    found = side.where(F.col(quoted(key)).isin(named))
-    if found.count() > len(named):
-        raise ValueError(f"a side has several rows for one {key}; it must be unique on it to be split")
-    return found
+def salted_join(base: DataFrame, other: DataFrame, on: str, salts: int = SALTS) -> DataFrame:
+    """Left equi-join in which the rows of each base key are spread over ``salts`` tasks.
+
+    ``other`` may repeat keys; its rows are copied ``salts`` times. Meant for hot keys only.
+    """
+    salt = "salt"
+    while salt in {c.lower() for c in (*base.columns, *other.columns)}:
+        salt = f"_{salt}"
+    dealt = base.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    copied = other.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copied.hint("merge"), [on, salt], "left").drop(salt)
+
+
+def _join_hot(base: DataFrame, side: DataFrame, on: str, keys: Sequence, limit: int) -> DataFrame:
+    """Base rows of the hot keys with the side's rows of these keys, of which there may be several."""
+    found = side.where(F.col(quoted(on)).isin([k for k in keys if k is not None]))
+    if measured_bytes(found) <= limit:
+        return _join(base, found, on, "broadcast_checked")
+    return salted_join(base, found, on)
 
 
 def attach(
@@ -98,7 +112,8 @@ def attach(
     limit: int = BROADCAST_LIMIT,
     hot_share: float | None = None,
 ) -> DataFrame:
-    """Left-join every side (one row per key) onto ``base``, in the given order.
+    """Left-join every side onto ``base``, in the given order. A side usually has one row per key;
+    one that repeats a key repeats the base rows.
 
     With ``hot_share``, base keys above that share of the rows are joined apart. The sides
     are then staged, so each is computed once for both parts.
@@ -113,10 +128,9 @@ def attach(
         if keys:
             sides, split = stage_all(sides, "side"), _is_hot(on, keys)
             cold, hot = base.where(~split), base.where(split)
-            hot_sides = [_rows_of(s, on, keys) for s in sides]
     out = _chain(cold, sides, on, chosen)
     if hot is not None:
-        out = out.unionByName(_chain(hot, hot_sides, on, ["broadcast_checked"] * len(sides)))
+        out = out.unionByName(reduce(lambda left, side: _join_hot(left, side, on, keys, limit), sides, hot))
     return out
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import redirect_stdout
+from io import StringIO
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loanweave.operators import aggregates as A
 from loanweave.operators.aggregates import Rollup
 from loanweave.operators.joins import attach
+from loanweave.sources.bucketed import store_bucketed
 from loanweave.sources.tables import APPLICANT, read_cleaned
 from loanweave.sources.writers import write_counted
 
@@ -71,6 +75,23 @@ def final_features(
     return attach(tables[base], sides, key, strategy, hot_share=hot_share)
 
 
+def bucketed_inputs(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    rollups: Mapping[str, Rollup] | None = None,
+    base: str = "app_train",
+    key: str = APPLICANT,
+    buckets: int = 200,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The base and every rolled-up side, stored below ``root`` in buckets of the key. ``attach``
+    by ``shuffle`` then merges them bucket by bucket, as often as wanted, without moving a row."""
+    rollups = rollups or default_rollups()
+    run = uuid.uuid4().hex
+    frames = {base: tables[base]} | {f"side_{name}": rollup(tables[name]) for name, rollup in rollups.items()}
+    stored = [store_bucketed(df, f"{name}_{run}", f"{root}/{name}", key, buckets) for name, df in frames.items()]
+    return stored[0], stored[1:]
+
+
 def build_final_features(
     spark: SparkSession,
     clean_root: str,
@@ -91,10 +112,11 @@ def compare_strategies(
     key: str,
     strategies: Sequence[str] = ("shuffle", "broadcast"),
 ) -> DataFrame:
-    """``(strategy, rows, seconds, speedup)``: the join chain timed per strategy.
+    """``(strategy, rows, plan_has_broadcast, seconds, speedup)``: the join chain timed per strategy.
 
     Every row is produced (``noop`` sink). A count would not do: the optimiser removes
-    left joins whose columns nobody reads. ``speedup`` is relative to the first strategy.
+    left joins whose columns nobody reads. ``plan_has_broadcast`` tells whether any join of the
+    plan broadcasts a side. ``speedup`` is relative to the first strategy.
     """
     rows = []
     for strategy in strategies:
@@ -102,9 +124,16 @@ def compare_strategies(
         joined = attach(base, sides, key, strategy)
         joined.write.format("noop").mode("overwrite").save()
         seconds = time.perf_counter() - start
-        rows.append((strategy, joined.count(), seconds))
-    first = rows[0][2]
+        rows.append((strategy, joined.count(), "BroadcastHashJoin" in plan_of(joined), seconds))
+    first = rows[0][3]
     return base.sparkSession.createDataFrame(
-        [(*r, first / r[2]) for r in rows],
-        "strategy STRING, rows BIGINT, seconds DOUBLE, speedup DOUBLE",
+        [(*r, first / r[3]) for r in rows],
+        "strategy STRING, rows BIGINT, plan_has_broadcast BOOLEAN, seconds DOUBLE, speedup DOUBLE",
     )
+
+
+def plan_of(df: DataFrame) -> str:
+    """The physical plan as text."""
+    with redirect_stdout(StringIO()) as out:
+        df.explain()
+    return out.getvalue()

@@ -1,14 +1,19 @@
 from __future__ import annotations
 
+import math
+import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanweave.functions import measures as M
 from loanweave.operators import aggregates as A
 from loanweave.operators import joins
 from loanweave.operators.aggregates import Rollup
 from loanweave.plans import features
+from loanweave.sources.bucketed import open_bucketed
 
 
 def plan_of(df) -> str:
@@ -161,11 +166,70 @@ def test_exact_sum_takes_null_and_stored_decimals(spark):
     assert sorted(tuple(r) for r in Rollup("k", {"s": M.total("x", 2)})(df).collect()) == [(1, 1234568.18), (2, None)]
 
 
-def test_splitting_needs_unique_sides_and_computes_them_once(spark):
+@pytest.mark.parametrize("limit", [0, joins.BROADCAST_LIMIT])
+def test_a_repeated_side_key_repeats_hot_rows(spark, limit):
+    base = spark.range(3000).selectExpr("IF(id % 2 = 0, 5, IF(id % 5 = 0, NULL, id)) AS k", "id AS salt")
+    twice = spark.createDataFrame([(5, 1), (5, 2), (7, 3), (None, 4)], "k BIGINT, a INT")
+    out = joins.attach(base, [twice], "k", "shuffle", limit=limit, hot_share=0.1)
+    assert out.columns == ["k", "salt", "a"]
+    want = base.join(twice, "k", "left")
+    assert Counter(tuple(r) for r in out.collect()) == Counter(tuple(r) for r in want.collect())
+
+
+def test_salted_rows_of_one_key_go_to_many_tasks(spark):
+    base = spark.range(6400).selectExpr("1 AS k", "id")
+    side = spark.createDataFrame([(1, "a"), (1, "b")], "k INT, v STRING")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = joins.salted_join(base, side, "k", 8)
+        sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 12800 and len(sizes) > 1
+
+
+def test_bucketed_inputs_join_without_an_exchange(spark, tmp_path):
+    tables = {
+        "base": spark.range(100).selectExpr("id AS k", "id % 3 AS v"),
+        "a": spark.range(300).selectExpr("id % 120 AS k", "id AS x"),
+        "b": spark.range(50).selectExpr("id * 2 AS k", "id AS x"),
+    }
+    rollups = {n: Rollup("k", {f"{n}_sum": "sum(x)"}) for n in ("a", "b")}
+    base, sides = features.bucketed_inputs(tables, str(tmp_path), rollups, "base", "k", 4)
+    out = joins.attach(base, sides, "k", "shuffle")
+    plan = plan_of(out)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    want = joins.attach(tables["base"], [rollups[n](tables[n]) for n in ("a", "b")], "k")
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    again = open_bucketed(spark, "again", f"{tmp_path}/base", tables["base"].schema, "k", 4)
+    assert "Exchange" not in plan_of(joins.attach(again, sides, "k", "shuffle")) and again.count() == 100
+
+
+@pytest.mark.parametrize("values", [
+    [1e16, 1.0, -1e16, 0.1], [0.1] * 10, [-0.1, -0.2, 0.3], [2.0**63, 1.5, -(2.0**63)], [1e-18, 3.0], [123.45, -7.0, None], [5e-324, -1.0],
+])
+def test_binned_sums_are_exact_in_any_order(spark, values):
+    sums = set()
+    for seed in range(3):
+        rows = [(1, v) for v in values]
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "k INT, x DOUBLE").repartition(seed + 1)
+        sums.add(tuple(Rollup("k", {"s": M.total("x", M.ANY), "m": M.mean("x", M.ANY)})(df).first()))
+    (k, total, mean), = sums
+    cut = [Fraction(math.trunc(Fraction(v) * 2**66), 2**66) for v in values if v is not None]
+    assert abs(Fraction(total) - sum(cut)) <= abs(sum(cut)) * Fraction(1, 2**51)
+    assert mean == total / len(cut)
+
+
+def test_binned_sums_of_nothing_and_of_odd_values(spark):
+    rows = [(1, None), (2, float("inf")), (2, 1.0), (3, float("nan")), (4, 1e300), (4, 2.0)]
+    df = spark.createDataFrame(rows, "k INT, x DOUBLE")
+    found = {r["k"]: r["s"] for r in Rollup("k", {"s": M.total("x", M.ANY)})(df).collect()}
+    assert found[1] is None and found[2] == math.inf and math.isnan(found[3]) and found[4] == 1e300
+
+
+def test_splitting_computes_sides_once(spark):
     base = spark.range(3000).selectExpr("IF(id % 2 = 0, 5, id) AS k")
-    twice = spark.createDataFrame([(5, 1), (5, 2)], "k BIGINT, a INT")
-    with pytest.raises(ValueError, match="unique"):
-        joins.attach(base, [twice], "k", "shuffle", hot_share=0.1)
     side = Rollup("k", {"n": "count(1)"})(spark.range(9000).selectExpr("id % 3000 AS k"))
     plan = plan_of(joins.attach(base, [side], "k", "shuffle", hot_share=0.1))
     assert "HashAggregate" not in plan and "Union" in plan  # the stored roll-up is scanned, not computed again
