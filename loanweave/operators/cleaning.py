@@ -23,7 +23,8 @@ from loanweave.functions import expressions as X
 from loanweave.functions.roles import matching, numeric_columns, text_columns
 from loanweave.operators.modes import modes
 from loanweave.operators.profile import SENTINEL, per_column
-from loanweave.operators.quantiles import Extent, order_statistics, rank_of
+from loanweave.operators.quantiles import Extent, kll_sketch, order_statistics, rank_of, read_sketches
+from loanweave.sources.staging import staged
 
 Names = tuple[str, ...]
 
@@ -58,7 +59,8 @@ class CleaningSpec:
     refill: Mapping[str, tuple[float, float]] = field(default_factory=dict)
 
     rel_error: float = 0.001
-    sketch: bool = False  # medians and quartiles from one pass of sketches, see ``order_statistics``
+    mode_candidates: bool = False  # for text of very many values, see ``frequent_mode_table``
+    sketch: bool = False  # medians and quartiles from sketches made in the counting scan, see ``order_statistics``
 
     def repaired(self, columns: list[str]) -> dict[str, str]:
         """SQL text of every column after the repairs."""
@@ -77,7 +79,7 @@ class CleaningSpec:
         return "true"
 
     def fit(self, df: DataFrame) -> "FittedCleaning":
-        keep, profile = self._surviving(df)
+        keep, profile, found = self._surviving(df)
         df = df.selectExpr(*map(X.quoted, keep))
         repaired = self.repaired(keep)
         kept = df.where(self.kept_rows(keep)) if self.require_negative else df
@@ -86,7 +88,8 @@ class CleaningSpec:
         numbers = {c: _Numbers(self, c, profile[c]) for c in keep if c in profile and profile[c]["n"]}
         ranks = {c: v.ranks() for c, v in numbers.items() if v.ranks()}
         extents = {c: v.extent for c, v in numbers.items()}
-        found = order_statistics(kept, repaired, ranks, extents, self.rel_error, self.sketch)
+        if not self.sketch:
+            found = order_statistics(kept, repaired, ranks, extents, self.rel_error)
         fills: dict[str, object] = {}
         fences, refills = {}, {}
         for c, values in numbers.items():
@@ -105,11 +108,12 @@ class CleaningSpec:
         if self.text_fill == "constant":
             fills |= {c: self.text_constant for c in texts}
         elif self.text_fill == "mode":
-            fills |= modes(kept, texts)
+            fills |= modes(kept, texts, self.mode_candidates)
         return FittedCleaning(self, tuple(keep), types, fills, fences, refills)
 
-    def _surviving(self, df: DataFrame) -> tuple[list[str], dict[str, dict]]:
-        """Columns to keep, with the profile of every column that matters, from one scan."""
+    def _surviving(self, df: DataFrame) -> tuple[list[str], dict[str, dict], dict[tuple[str, int], float]]:
+        """Columns to keep, the profile of every column that matters, and with ``sketch`` the order
+        statistics that follow from it; all from one scan."""
         columns = df.columns
         repaired, rows = self.repaired(columns), self.kept_rows(columns)
         numeric = numeric_columns(df.schema, self.numeric_family)
@@ -130,15 +134,23 @@ class CleaningSpec:
                 "below": f"count_if({value} < {lower})" if name in self.refill else "0L",
                 "within": f"count_if({value} BETWEEN {lower} AND {upper})" if name in self.refill else "0L",
                 **extent,
+                **({"sketch": kll_sketch(value if name in numeric else "NULL", self.rel_error)} if self.sketch else {}),
             }
 
-        profile = {r["column"]: r.asDict() for r in per_column(df, profiled, stats).collect()}
+        counted, found = per_column(df, profiled, stats), {}
+        if self.sketch:
+            with staged(counted, "sketches") as counted:
+                profile = {r["column"]: r.asDict() for r in counted.drop("sketch").collect()}
+                numbers = {c: _Numbers(self, c, p) for c, p in profile.items() if p["n"]}
+                found = read_sketches(counted, {c: v.ranks() for c, v in numbers.items()}, {c: v.extent for c, v in numbers.items()})
+        else:
+            profile = {r["column"]: r.asDict() for r in counted.collect()}
         keep = [c for c in columns if c not in profile or not self._is_sparse(profile[c])]
         if self.require_negative in columns and self.require_negative not in keep:
             # The filter column itself is gone, so no row is removed after all.
             again = replace(self, require_negative=None, sparse_share=None)
             return again._surviving(df.selectExpr(*map(X.quoted, keep)))
-        return keep, profile
+        return keep, profile, found
 
     def _is_sparse(self, stats: dict) -> bool:
         if self.sparse_share is None or not stats["rows"]:
@@ -256,9 +268,9 @@ def fill_median(df: DataFrame, columns: Names = ("*",), rel_error: float = 0.001
     return clean(df, CleaningSpec(numeric_fill=columns, text_fill=None, rel_error=rel_error, sketch=sketch))
 
 
-def fill_mode(df: DataFrame, columns: Names = ("*",)) -> DataFrame:
+def fill_mode(df: DataFrame, columns: Names = ("*",), by_candidates: bool = False) -> DataFrame:
     """A column whose most frequent value is NULL or empty stays as it is."""
-    return clean(df, CleaningSpec(numeric_fill=(), text_fill_columns=columns))
+    return clean(df, CleaningSpec(numeric_fill=(), text_fill_columns=columns, mode_candidates=by_candidates))
 
 
 def fill_constant(df: DataFrame, value: str = "Unknown") -> DataFrame:

@@ -1,7 +1,8 @@
 """Data-quality profiles.
 
-Each profile is a lazy DataFrame: one scan, one global aggregate whose partial
-result is a single small row per task, and one output row per column.
+Each profile is a lazy DataFrame: one scan and one output row per column. The partial
+results, a single small row per task, are combined in ``GROUPS`` groups first, so that the
+last step gets a fixed number of rows however many tasks scan the table.
 """
 
 from __future__ import annotations
@@ -9,27 +10,46 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanweave.functions.expressions import quoted, text
-from loanweave.functions.measures import mean
+from loanweave.functions import measures as M
 from loanweave.functions.roles import numeric_columns
 
 SENTINEL = 365243
+GROUPS = 64
+# How the results of an aggregate are combined; all others by the same function.
+_COMBINE = {"count": "sum", "count_if": "sum", "kll_sketch_agg_double": "kll_merge_agg_double"}
+
+
+def by_group(df: DataFrame, *aggregates: Column) -> DataFrame:
+    """The aggregates of at most ``GROUPS`` groups of scan tasks."""
+    return df.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("group")).agg(*aggregates).drop("group")
 
 
 def per_column(
     df: DataFrame, columns: Sequence[str], stats: Callable[[str], Mapping[str, str]]
 ) -> DataFrame:
-    """Rows ``(column, type, rows, *stats)``; ``stats`` gives SQL aggregates for a column name."""
+    """Rows ``(column, type, rows, *stats)``; ``stats`` gives SQL aggregates for a column name,
+    each one call of a function whose results can be combined (count, sum, min, max, sketch)."""
     types = dict(df.dtypes)
     names = list(columns) or df.columns[:1]
-    cells = []
-    for name in names:
-        fields = {"column": text(name), "type": f"'{types[name]}'", "rows": "count(1)", **stats(name)}
-        cells.append("named_struct(" + ", ".join(f"'{k}', {sql}" for k, sql in fields.items()) + ")")
-    out = df.selectExpr(f"array({', '.join(cells)}) AS cells").select(F.inline("cells"))
+    cells, combined = [], {}
+    for i, name in enumerate(names):
+        fields = {"rows": "count(1)", **stats(name)}
+        cells.append(f"named_struct('cell', {i}, " + ", ".join(f"'{k}', {sql}" for k, sql in fields.items()) + ")")
+        for k, sql in fields.items():
+            function = sql.partition("(")[0]
+            combined[k] = _COMBINE.get(function, function)
+    groups = by_group(df, F.expr(f"array({', '.join(cells)})").alias("cells")).select(F.inline("cells"))
+    # a row for each column even if there is no row to count
+    kinds = {f.name: f.dataType for f in groups.schema}
+    none = [F.lit(0 if f == "sum" else None).cast(kinds[k]).alias(k) for k, f in combined.items()]
+    every = df.sparkSession.range(len(names), numPartitions=1).select(F.col("id").cast("int").alias("cell"), *none)
+    out = groups.unionByName(every).groupBy("cell").agg(*[F.expr(f"{f}({quoted(k)})").alias(k) for k, f in combined.items()])
+    label = F.array(*[F.struct(F.lit(n).alias("column"), F.lit(types[n]).alias("type")) for n in names])
+    out = out.select(F.get(label, "cell").alias("label"), *combined).select("label.*", *combined)
     return out if columns else out.where(F.lit(False))
 
 
@@ -91,27 +111,26 @@ def negative_counts(df: DataFrame, columns: Sequence[str], keep_zero: bool = Fal
     return _hits(df, columns, "< 0", keep_zero)
 
 
-def amount_ranges(df: DataFrame, columns: Sequence[str], scale: int | None = None) -> DataFrame:
+def amount_ranges(df: DataFrame, columns: Sequence[str], scale: M.Scale = M.ANY) -> DataFrame:
     """``(column, min, max, mean)``; a column without any value gives no row."""
 
     def stats(c: str) -> dict[str, str]:
-        return {
-            "min": f"CAST(min({quoted(c)}) AS DOUBLE)",
-            "max": f"CAST(max({quoted(c)}) AS DOUBLE)",
-            "mean": f"CAST({mean(c, scale)} AS DOUBLE)",
-        }
+        number = f"CAST({quoted(c)} AS DOUBLE)"
+        parts = {f"part{i}": sql for i, sql in enumerate(M.sum_parts(c, scale))}
+        return {"min": f"min({number})", "max": f"max({number})", "n": M.count(c), **parts}
 
-    return (
-        per_column(df, columns, stats).where("min IS NOT NULL").select("column", "min", "max", "mean")
-    )
+    out = per_column(df, columns, stats).where("n > 0")
+    parts = [c for c in out.columns if c.startswith("part")]
+    return out.select("column", "min", "max", F.expr(f"CAST({M.sum_of(parts, 'n', scale)} AS DOUBLE) / n").alias("mean"))
 
 
 def _summary_row(name: str, df: DataFrame) -> DataFrame:
-    return df.agg(
+    nulls = F.expr(" + ".join(nulls_in(c) for c in df.columns)).alias("nulls")
+    return by_group(df, F.count(F.lit(1)).alias("rows"), nulls).agg(
         F.lit(name).alias("table"),
-        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.lit(len(df.columns)).alias("cols"),
-        F.expr(" + ".join(nulls_in(c) for c in df.columns)).alias("nulls"),
+        F.coalesce(F.sum("nulls"), F.lit(0)).alias("nulls"),
     )
 
 

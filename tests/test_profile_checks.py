@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from loanweave.operators import checks, profile
-from loanweave.operators.modes import mode_table
+from loanweave.operators.modes import candidates, frequent_mode_table, mode_table
 
 
 def test_missing_report(spark):
@@ -14,6 +16,29 @@ def test_missing_report(spark):
     ]
 
 
+def test_last_step_gets_as_many_rows_for_any_number_of_tasks(spark):
+    """The tasks' partial rows are combined in a fixed number of groups before the last step."""
+    for tasks in (4, 400):
+        df = spark.range(0, 4000, 1, tasks).selectExpr("id", "nullif(id % 5, 0) AS x")
+        groups = profile.by_group(df, F.count("x").alias("n"))
+        assert groups.count() == min(tasks, profile.GROUPS)
+        assert sorted(tuple(r) for r in profile.null_counts(df).collect()) == [("id", "bigint", 4000, 0), ("x", "bigint", 4000, 800)]
+        plan = profile.null_counts(df)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and "Exchange SinglePartition" not in plan
+    assert [tuple(r) for r in profile.null_counts(df.where("id < 0")).orderBy("column").collect()] == [("id", "bigint", 0, 0), ("x", "bigint", 0, 0)]
+
+
+def test_modes_by_candidates(spark):
+    data = "id % 7 = 0 AS often", "id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 10 < 4 THEN 'b' ELSE string(id) END AS s", "'' AS e"
+    df = spark.range(30000).selectExpr(*data, "string(id) AS own", "IF(id % 2 = 0, 'x', 'w') AS tie", "string(NULL) AS none").drop("often")
+    names = ["s", "e", "own", "tie", "none"]
+    both = [sorted(map(tuple, f(df, names).collect()), key=repr) for f in (mode_table, frequent_mode_table)]
+    assert both[0] == both[1] and len(both[0]) == 5
+    found, others, rows = candidates(df, names)
+    assert rows == 30000 and max(others.values()) < 100 and all(len(v) <= 64 for v in found.values())
+    assert frequent_mode_table(df.limit(0), names).count() == 0
+
+
 def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, None)], "`a.b` INT, `it's``x` INT")
     assert {r["column"]: r["nulls"] for r in profile.null_counts(df).collect()} == {"a.b": 0, "it's`x": 1}
