@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import DataFrame
+
 from loanweave.operators.checks import SCHEMA, verdict
 from loanweave.operators.training import application_features, train_and_evaluate
 from loanweave.plans import features, prepare
@@ -14,6 +16,13 @@ from loanweave.sources.tables import APPLICANT, LABEL
 from loanweave.sources.writers import write_features
 
 
+def show(checked: DataFrame) -> None:
+    rows = checked.collect()  # one per check
+    found = checked.sparkSession.createDataFrame(rows, SCHEMA)
+    found.show(len(rows), truncate=False)
+    verdict(found).show(truncate=False)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="loanweave")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -33,6 +42,7 @@ def main(argv: list[str] | None = None) -> None:
             job.add_argument("--with-balance", action="store_true")
         if name == "clean-all":
             job.add_argument("--schemas", help="JSON file: table name to DDL")
+            job.add_argument("--check", action="store_true", help="also show the checks, taken while writing")
     args = parser.parse_args(argv)
     spark = get_session(f"loanweave-{args.job}")
     if args.job == "clean":
@@ -42,12 +52,12 @@ def main(argv: list[str] | None = None) -> None:
         if args.schemas:
             with open(args.schemas, encoding="utf-8") as file:
                 schemas = json.load(file)
-        print(prepare.clean_all(spark, args.source, args.target, schemas=schemas))
+        if args.check:
+            show(prepare.clean_and_check(spark, args.source, args.target, schemas=schemas))
+        else:
+            print(prepare.clean_all(spark, args.source, args.target, schemas=schemas))
     elif args.job == "verify":
-        rows = prepare.verify(spark, args.source).collect()  # one per check
-        found = spark.createDataFrame(rows, SCHEMA)
-        found.show(len(rows), truncate=False)
-        verdict(found).show(truncate=False)
+        show(prepare.verify(spark, args.source))
     elif args.job == "features":
         rows = features.build_final_features(
             spark, args.source, args.target, strategy=args.strategy, with_balance=args.with_balance

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loanweave.functions.expressions import quoted, text
 from loanweave.operators.profile import SENTINEL, nulls_in
+from loanweave.sources.writers import write_observed
 
 SCHEMA = "check STRING, table STRING, subject STRING, status STRING, detail BIGINT"
 
@@ -40,6 +41,15 @@ def run(df: DataFrame, table: str, *checks: Sequence[str]) -> DataFrame:
     )
 
 
+def on_write(df: DataFrame, path: str, table: str, *checks: Sequence[str]) -> DataFrame:
+    """All checks of a table, taken while it is written to ``path``; nothing is read back. See
+    ``write_observed`` for the session that ``df`` should belong to."""
+    cells = [cell for check in checks for cell in check]
+    found = write_observed(df, path, F.expr(f"array({', '.join(cells)})").alias("cells"))["cells"]
+    rows = [(c["check"], table, c["subject"], c["status"], c["detail"]) for c in found]
+    return df.sparkSession.createDataFrame(rows, SCHEMA)
+
+
 def loaded(spark: SparkSession, expected: Sequence[str], missing: Iterable[str]) -> DataFrame:
     """Every expected table could be read."""
     gone = set(missing)
@@ -47,6 +57,14 @@ def loaded(spark: SparkSession, expected: Sequence[str], missing: Iterable[str])
     return spark.createDataFrame(rows, SCHEMA)
 
 
+def cells_readable(found: DataFrame, table: str) -> DataFrame:
+    """Rows of ``rejected_cells``: does a column's declared type read all its cells? A loss is a warning."""
+    status = F.when(F.col("rejected") == 0, "PASS").otherwise("WARN")
+    return found.select(
+        F.lit("readable").alias("check"), F.lit(table).alias("table"), F.col("column").alias("subject"), status.alias("status"), F.col("rejected").alias("detail")
+    )
+
+
 def sentinel_gone(df: DataFrame, columns: Sequence[str], value: int = SENTINEL) -> list[str]:
     """No marker value is left; columns that the table lacks are skipped."""
     cells = []

@@ -10,7 +10,7 @@ from loanweave.functions.roles import matching
 from loanweave.operators import checks
 from loanweave.operators.cleaning import CleaningSpec, clean
 from loanweave.plans import cleaning_presets as presets
-from loanweave.sources.readers import read_csv
+from loanweave.sources.readers import read_csv, rejected_cells
 from loanweave.sources.staging import staged
 from loanweave.sources.tables import TABLES, load_existing, parquet_path, read_raw
 from loanweave.sources.writers import write_counted
@@ -83,6 +83,29 @@ def clean_all(
     return written
 
 
+def clean_and_check(
+    spark: SparkSession,
+    raw_root: str,
+    clean_root: str,
+    specs: Mapping[str, CleaningSpec] | None = None,
+    pattern: str = "{stem}",
+    schemas: Mapping[str, str] | None = None,
+    null_token: str = "XNA",
+) -> DataFrame:
+    """As ``clean_all``, and the check rows of every table, taken while it is written. Tables
+    with a schema (declared, or from ``schemas``) are also checked for cells it cannot read.
+    Runs in a new session, see ``write_observed``."""
+    spark, found = spark.newSession(), []
+    for name, spec in (specs or presets.thorough()).items():
+        kind = (schemas or {}).get(name) or TABLES[name].schema
+        if kind:
+            lost = rejected_cells(spark, f"{raw_root}/{TABLES[name].stem}.csv", kind, null_token)
+            found.append(checks.cells_readable(lost, name))
+        with staged(read_raw(spark, raw_root, [name], null_token, schemas)[name], f"raw-{name}") as raw:
+            found.append(write_checked({name: clean(raw, spec)}, {name: parquet_path(clean_root, name, pattern)}))
+    return checks.combine(*found)
+
+
 def verify(
     spark: SparkSession,
     clean_root: str,
@@ -98,28 +121,37 @@ def verify(
     return checks.combine(*rows, *check_tables(tables, dropped, shapes, acceptable))
 
 
-def check_tables(
-    tables: Mapping[str, DataFrame],
+def checks_of(
+    name: str,
+    df: DataFrame,
     dropped: Mapping[str, Sequence[str]] = EXPECTED_DROPPED,
     shapes: Mapping[str, tuple[int, int]] = EXPECTED_SHAPE,
     acceptable: Sequence[str] = NULLS_ACCEPTABLE,
     days: Sequence[str] = presets.DAYS,
     employed: str = "DAYS_EMPLOYED",
-) -> list[DataFrame]:
-    """Check rows, from one scan per table."""
-    rows = []
-    for name, df in tables.items():
-        offsets = matching(df.columns, days)
-        found = [checks.nulls_acceptable(df, name in acceptable)]
-        if name in ("app_train", "app_test"):
-            found += [checks.sentinel_gone(df, [employed]), checks.remaining_nulls(df, [employed])]
-        if name == "prev_app":
-            found.append(checks.sentinel_gone(df, offsets))
-        if name in DAYS_CHECKED:
-            found.append(checks.days_not_positive(offsets, (employed,)))
-        if name in dropped:
-            found.append(checks.columns_dropped(df, dropped[name]))
-        if name in shapes:
-            found.append(checks.expected_shape(df, *shapes[name]))
-        rows.append(checks.run(df, name, *found))
-    return rows
+) -> list[Sequence[str]]:
+    """The checks that apply to a cleaned table."""
+    offsets = matching(df.columns, days)
+    found = [checks.nulls_acceptable(df, name in acceptable)]
+    if name in ("app_train", "app_test"):
+        found += [checks.sentinel_gone(df, [employed]), checks.remaining_nulls(df, [employed])]
+    if name == "prev_app":
+        found.append(checks.sentinel_gone(df, offsets))
+    if name in DAYS_CHECKED:
+        found.append(checks.days_not_positive(offsets, (employed,)))
+    if name in dropped:
+        found.append(checks.columns_dropped(df, dropped[name]))
+    if name in shapes:
+        found.append(checks.expected_shape(df, *shapes[name]))
+    return found
+
+
+def check_tables(tables: Mapping[str, DataFrame], *expected, **named) -> list[DataFrame]:
+    """Check rows, from one scan per table; further arguments as for ``checks_of``."""
+    return [checks.run(df, name, *checks_of(name, df, *expected, **named)) for name, df in tables.items()]
+
+
+def write_checked(tables: Mapping[str, DataFrame], paths: Mapping[str, str], *expected, **named) -> DataFrame:
+    """Write the cleaned tables and return their check rows, taken by the writing tasks. See
+    ``write_observed`` for the session that the tables should belong to."""
+    return checks.combine(*(checks.on_write(df, paths[name], name, *checks_of(name, df, *expected, **named)) for name, df in tables.items()))

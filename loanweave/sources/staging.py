@@ -2,8 +2,8 @@
 
 They go to the shared folder that the cluster names in ``spark.checkpoint.dir``, so they
 outlive any executor; where that is unset, to the warehouse, which is shared as well. Each
-application has a folder of its own there. ``staged`` removes one copy after use,
-``release`` all of them.
+application has a folder of its own there. ``staged`` removes one copy after use, ``scratch``
+what a block has staged once its result is written, ``release`` all of them.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ROW_OVERHEAD = 32
+_blocks: list[list[str]] = []  # paths handed out in the open ``scratch`` blocks
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -27,14 +28,17 @@ def staging_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/loanweave-{spark.sparkContext.applicationId}"
 
 
-def staging_path(spark: SparkSession, label: str) -> str:
-    """A path not used before."""
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+def staging_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A path not used before. With ``keep``, a ``scratch`` block leaves it."""
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _blocks and not keep:
+        _blocks[-1].append(path)
+    return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` and return it as a plain Parquet scan."""
-    path = staging_path(df.sparkSession, label)
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` and return it as a plain Parquet scan. ``keep`` as for ``staging_path``."""
+    path = staging_path(df.sparkSession, label, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -56,6 +60,21 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         _remove(spark, path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at the end of the block what was staged in it, but for what was staged with ``keep``.
+
+    For a caller that writes the result of an operator inside the block: operators return
+    tables that read what they have staged, so they cannot remove it themselves.
+    """
+    _blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _blocks.pop():
+            _remove(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Removes all that this application has staged. Tables read from there can no longer be used."""
     _remove(spark, staging_root(spark))

@@ -123,6 +123,15 @@ def test_raw_csv_to_features_and_model(spark, tmp_path):
     assert (tmp_path / "models" / "model_RandomForest").exists()
 
 
+def test_checks_taken_while_writing_are_those_of_the_stored_tables(spark, tmp_path):
+    raw, clean = str(tmp_path / "raw"), str(tmp_path / "clean")
+    raw_tables(spark, raw)
+    found = sorted(map(tuple, prepare.clean_and_check(spark, raw, clean).collect()), key=repr)
+    stored = sorted(map(tuple, prepare.verify(spark, clean).where("check <> 'loaded'").collect()), key=repr)
+    assert [r for r in found if r[0] != "readable"] == stored
+    assert {r[1:] for r in found if r[0] == "readable"} == {("bureau_bal", c, "PASS", 0) for c in ("SK_ID_BUREAU", "MONTHS_BALANCE", "STATUS")}
+
+
 def test_basic_cleaning_job(spark, tmp_path):
     raw_tables(spark, str(tmp_path))
     cli.main(["clean", f"{tmp_path}/application_train.csv", str(tmp_path / "out")])
@@ -142,3 +151,34 @@ def test_supplied_schemas(spark, tmp_path):
     given = tables.read_raw(spark, str(tmp_path), ["bureau"], schemas={"bureau": "SK_ID_BUREAU BIGINT, x SMALLINT"})["bureau"]
     assert dict(given.dtypes) == {"SK_ID_BUREAU": "bigint", "x": "smallint"}
     assert [r.x for r in given.orderBy("SK_ID_BUREAU").collect()] == [None, 5]
+
+
+def test_scratch_removes_what_was_staged_in_it(spark):
+    with staging.scratch(spark):
+        gone = staging.stage(spark.range(3), "gone")
+        kept = staging.stage(gone.selectExpr("id + 1 AS id"), "kept", keep=True)
+        with staging.scratch(spark):
+            inner = staging.stage_all([spark.range(2)], "inner")[0]
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FileNotFound"):
+            inner.collect()
+        assert gone.count() == 3
+    assert sorted(r.id for r in kept.collect()) == [1, 2, 3]
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FileNotFound"):
+        gone.collect()
+
+
+def test_rejected_cells(spark, tmp_path):
+    path = tmp_path / "broken.csv"
+    path.write_text("a,b,c\n1,2.5,x\none,2.5,y\n3,,XNA\n,word,z\n5,many,\n7,1\n")
+    found = {r["column"]: (r["rejected"], r["rows"]) for r in readers.rejected_cells(spark, str(path), "a INT, b DOUBLE, c STRING", "XNA").collect()}
+    assert found == {"a": (1, 6), "b": (2, 6), "c": (0, 6)}
+    none = tmp_path / "none.csv"
+    none.write_text("a,b,c\n")
+    assert {tuple(r) for r in readers.rejected_cells(spark, str(none), "a INT, b DOUBLE, c STRING").collect()} == {(c, 0, 0) for c in "abc"}
+
+
+def test_metrics_of_a_write_are_those_of_the_rows_written(spark, tmp_path):
+    df = spark.newSession().range(0, 1000, 1, 7).selectExpr("id", "nullif(id % 4, 0) AS x")
+    seen = writers.write_observed(df, str(tmp_path / "out"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col("x").isNull()).alias("gaps"))
+    assert seen == {"rows": 1000, "gaps": 250} and spark.read.parquet(str(tmp_path / "out")).count() == 1000
+    assert writers.write_counted(df.limit(0), str(tmp_path / "empty")) == 0
