@@ -310,6 +310,10 @@ BALANCE_SECOND = """SELECT app_id, count(DISTINCT v_bureau.bureau_id) AS bb_loan
         FROM v_bureau LEFT JOIN v_balance ON v_bureau.bureau_id = v_balance.bureau_id GROUP BY app_id"""
 
 
+MODES_FILLED = query(rewritten("v_app", {c: f"coalesce({c}, {mode_of(c, 'v_app')})" for c in ("segment", "occupation")}), "v_app")
+NEAR = union([f"SELECT '{c}' AS \"column\", CAST({e} AS DOUBLE) AS rel_error, true AS near" for c in DEBTS for e in (0.01, 0.001)])
+
+
 def trained(name: str) -> str:
     return query(
         f"SELECT '{name}' AS model, CAST(count(*) FILTER (WHERE part = 'train') AS INT) AS train_rows,"
@@ -350,18 +354,26 @@ ORACLE: dict[str, str] = {
         f" LEFT JOIN ({AGG['v_card']}) t ON base.app_id = t.app_id",
         "v_pos", "v_bureau", "v_card", base=SKEWED,
     ),
+    "join_skewed_repeated": query(
+        "SELECT base.*, bureau_id, credit_active FROM base LEFT JOIN v_bureau ON base.app_id = v_bureau.app_id", "v_pos", "v_bureau", base=SKEWED
+    ),
+    "join_variants": query(
+        'SELECT variant, (SELECT count(*) FROM v_app) AS "rows", plan_has_broadcast FROM v', "v_app",
+        v="SELECT 'shuffle' AS variant, false AS plan_has_broadcast UNION ALL SELECT 'broadcast', true",
+    ),
     "default_rollups": query(
-        union([f"SELECT DISTINCT '{v}' AS \"view\", app_id, true AS close FROM {v}" for v in AGG if v != "v_pos"]), *[v for v in AGG if v != "v_pos"]
+        union([f"SELECT DISTINCT '{v}' AS \"view\", app_id, true AS close, true AS same FROM {v}" for v in AGG if v != "v_pos"]),
+        *[v for v in AGG if v != "v_pos"],
     ),
-    "default_medians": union([
-        f"SELECT '{c}' AS \"column\", CAST({e} AS DOUBLE) AS rel_error, true AS near" for c in DEBTS for e in (0.01, 0.001)
-    ]),
+    "default_medians": NEAR,
+    "default_medians_sketch": NEAR,
     "split_random": query("SELECT count(*) AS \"rows\", count(DISTINCT app_id) AS keys, true AS share_near FROM v_app", "v_app"),
     "counted_write": query("SELECT count(*) AS read, CAST(count(*) AS INT) AS written FROM v_card", "v_card"),
     "preview": query("SELECT * FROM v_prev ORDER BY prev_id LIMIT 10", "v_prev"),
     "roundtrip_csv_supplied": query("SELECT * FROM v_bureau", "v_bureau"),
     "train_lr": trained("LogisticRegression"),
     "train_rf": trained("RandomForest"),
+    "final_features_bucketed": FINAL,
     "final_features_auto": FINAL,
     "final_features_broadcast": FINAL,
     "final_features_shuffle": FINAL,
@@ -420,6 +432,14 @@ ORACLE: dict[str, str] = {
         ]),
         "v_prev",
     ),
+    "mode_profile_candidates": query(
+        union([
+            f"SELECT * FROM (SELECT '{c}' AS \"column\", {v} AS value, count(*) AS n FROM v_prev GROUP BY {v}"
+            f" ORDER BY n DESC, value ASC NULLS LAST LIMIT 1)"
+            for c, v in (("contract_status", "contract_status"), ("suite_type", "suite_type"), ("distinct_code", "'p' || CAST(prev_id AS VARCHAR)"))
+        ]),
+        "v_prev",
+    ),
     "fix_sentinel": query(
         rewritten("v_prev", {c: f"nullif({c}, 365243)" for c in ("days_first_due", "days_first_drawing")}), "v_prev"
     ),
@@ -439,9 +459,8 @@ ORACLE: dict[str, str] = {
         rewritten("v_app", {c: f"coalesce({c}, 'Unknown')" for c in ("segment", "occupation")}), "v_app"
     ),
     "fill_median": query(rewritten("v_bureau", {c: filled(c, "v_bureau") for c in DEBTS}), "v_bureau"),
-    "fill_mode": query(
-        rewritten("v_app", {c: f"coalesce({c}, {mode_of(c, 'v_app')})" for c in ("segment", "occupation")}), "v_app"
-    ),
+    "fill_mode": MODES_FILLED,
+    "fill_mode_candidates": MODES_FILLED,
     "clip_iqr": query(rewritten("v_app", {c: fenced(c, "v_app") for c in ("amt_income", "amt_credit")}), "v_app"),
     "reset_range": query(
         rewritten("v_app", {"cnt_children": "CASE WHEN cnt_children BETWEEN 0 AND 10 THEN cnt_children ELSE 0 END"}), "v_app"
@@ -468,6 +487,14 @@ ORACLE: dict[str, str] = {
         'SELECT "column", nulls FROM counts WHERE nulls > 0 ORDER BY nulls DESC, "column" LIMIT 5',
         "v_app", counts=nulls("v_app", column_names("v_app")),
     ),
+    "top_null_columns_all": query(
+        union([
+            f"SELECT * FROM (SELECT '{v}' AS \"table\", \"column\", nulls FROM ({nulls(v, column_names(v))}) WHERE nulls > 0"
+            ' ORDER BY nulls DESC, "column" LIMIT 5)'
+            for v in RAW
+        ]),
+        *RAW,
+    ),
     "null_reduction": query(
         """SELECT *, raw_nulls - clean_nulls AS removed, CASE WHEN raw_nulls > 0
         THEN (raw_nulls - clean_nulls) / raw_nulls * 100 ELSE 0.0 END AS removed_pct FROM both_counts""",
@@ -479,6 +506,7 @@ ORACLE: dict[str, str] = {
         ]),
     ),
     "verify_cleaned": query(_checks(), *CHECKED_VIEWS, **_ALL_CLEANED),
+    "verify_on_write": query(f"SELECT * FROM ({_checks()}) WHERE \"check\" <> 'loaded'", *CHECKED_VIEWS, **_ALL_CLEANED),
     "verify_verdict": query(
         """SELECT "check", count(*) AS checked, CAST(count(*) FILTER (WHERE status = 'FAIL') AS BIGINT) AS failed,
         bool_and(status <> 'FAIL') AS passed FROM checks GROUP BY "check"
@@ -521,5 +549,14 @@ ORACLE: dict[str, str] = {
     ),
     "roundtrip_csv": query("SELECT * FROM v_app", "v_app"),
     "roundtrip_csv_inferred": query("SELECT app_id, amt_income, car_age, segment FROM v_app", "v_app"),
+    "csv_rejected": query(
+        union([
+            f"SELECT 'readable' AS \"check\", 'v_bureau' AS \"table\", '{c}' AS subject, CASE WHEN count(*) FILTER (WHERE {lost}) = 0 THEN 'PASS' ELSE 'WARN' END"
+            f" AS status, count(*) FILTER (WHERE {lost}) AS detail FROM v_bureau"
+            for c in column_names("v_bureau")
+            for lost in [{"amt_credit_sum": "bureau_id % 50 = 0", "days_credit": "bureau_id % 35 = 0"}.get(c, "false")]
+        ]),
+        "v_bureau",
+    ),
     "roundtrip_parquet": query("SELECT * FROM v_card", "v_card"),
 }

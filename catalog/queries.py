@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,11 @@ from loanweave.operators import aggregates as A
 from loanweave.operators import checks, cleaning, profile
 from loanweave.operators import training as M
 from loanweave.operators.joins import attach, left_join
-from loanweave.operators.modes import mode_table
+from loanweave.operators.modes import frequent_mode_table, mode_table
 from loanweave.operators.quantiles import quantiles
 from loanweave.plans import cleaning_presets as presets
 from loanweave.plans import features, prepare
-from loanweave.sources.readers import read_csv
+from loanweave.sources.readers import read_csv, rejected_cells
 from loanweave.sources.staging import stage, staging_path
 from loanweave.sources.tables import TABLES, load_existing, read_raw
 from loanweave.sources.writers import load_model, write_counted, write_csv, write_features, write_parquet
@@ -110,8 +111,30 @@ def join_skewed(spark: SparkSession, sf: str) -> DataFrame:
     return attach(base, sides, APP, "shuffle", hot_share=0.05)
 
 
+def join_skewed_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """The same base with a side that repeats its keys, hot ones included: too large to broadcast, so salted."""
+    skewed = f"CASE WHEN prev_id % 3 = 0 THEN 1 WHEN prev_id % 7 = 0 THEN NULL ELSE {APP} END AS {APP}"
+    base = view(spark, sf, "v_pos").selectExpr(skewed, "prev_id", "cnt_instalment")
+    side = view(spark, sf, "v_bureau").selectExpr(APP, "bureau_id", "credit_active")
+    return attach(base, [side], APP, "shuffle", limit=0, hot_share=0.05)
+
+
+def final_features_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    tables = {n: view(spark, sf, n) for n in ("v_app", *ROLLUPS)}
+    base, sides = features.bucketed_inputs(tables, staging_path(spark, "buckets"), ROLLUPS, "v_app", APP, 8)
+    return attach(base, sides, APP, "shuffle")
+
+
+def join_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """The join of all roll-ups by either strategy: rows, and whether the plan broadcasts."""
+    sides = [rollup(view(spark, sf, name)) for name, rollup in ROLLUPS.items()]
+    timed = features.compare_strategies(view(spark, sf, "v_app"), sides, APP)
+    return timed.select(F.col("strategy").alias("variant"), "rows", "plan_has_broadcast")
+
+
 def default_rollups(spark: SparkSession, sf: str) -> DataFrame:
-    """The roll-ups as shipped, which add doubles, beside the exact ones: are they close, key by key?"""
+    """The roll-ups as shipped, which add doubles of unknown scale: are they close to the exact
+    ones, key by key, and equal when the rows come in another order and partitioning?"""
     shipped = {
         "v_bureau": A.bureau_rollup(APP, "bureau_id", "amt_credit_sum", "amt_credit_sum_debt", "days_credit", "credit_active"),
         "v_prev": A.previous_rollup(APP, "prev_id", "amt_application", "amt_credit", "contract_status"),
@@ -126,20 +149,37 @@ def default_rollups(spark: SparkSession, sf: str) -> DataFrame:
         gap = [F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= 1e-9 * F.greatest(F.abs(f"b.{c}"), F.lit(1.0)) for c in values]
         same = [g | (F.col(f"a.{c}").isNull() & F.col(f"b.{c}").isNull()) for g, c in zip(gap, values)]
         close = F.coalesce(F.forall(F.array(*same), lambda x: x), F.lit(False)).alias("close")
-        one = plain.join(exact, APP).select(F.lit(name).alias("view"), APP, close)
+        dealt = rollup(data.repartition(7, F.xxhash64(*data.columns)).sortWithinPartitions(F.desc(data.columns[-1])))
+        again = dealt.select(APP, F.struct(*values).alias("again"))
+        same = F.struct(*[F.col(f"a.{c}") for c in values]).eqNullSafe(F.col("again")).alias("same")
+        one = plain.join(exact, APP).join(again, APP).select(F.lit(name).alias("view"), APP, close, same)
         out = one if out is None else out.unionByName(one)
     return out
 
 
+DEBTS = ("amt_credit_sum", "amt_credit_sum_debt", "amt_overdue")
+
+
 def default_medians(spark: SparkSession, sf: str) -> DataFrame:
     """Medians at the rank errors that the presets ship with: is the value's rank near enough?"""
-    data, names = view(spark, sf, "v_bureau"), ("amt_credit_sum", "amt_credit_sum_debt", "amt_overdue")
+    data = view(spark, sf, "v_bureau")
+    return _near(data, lambda error: {c: v[0] for c, v in quantiles(data, {c: [0.5] for c in DEBTS}, rel_error=error).items()})
+
+
+def default_medians_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for medians that are read off sketches made in the scan that counts gaps."""
+    data = view(spark, sf, "v_bureau")
+    spec = cleaning.CleaningSpec(numeric_fill=DEBTS, text_fill=None, sketch=True)
+    return _near(data, lambda error: replace(spec, rel_error=error).fit(data).fills)
+
+
+def _near(data: DataFrame, medians: Callable[[float], dict]) -> DataFrame:
     out = []
     for error in (0.01, 0.001):
-        found = quantiles(data, {c: [0.5] for c in names}, rel_error=error)
+        found = medians(error)
         ranks = []
-        for c in names:
-            value = F.lit(found[c][0])
+        for c in DEBTS:
+            value = F.lit(found[c])
             low = F.count_if(F.col(c) < value) <= (0.5 + error) * F.count(c) + 1
             high = F.count_if(F.col(c) <= value) >= (0.5 - error) * F.count(c) - 1
             ranks.append(F.struct(F.lit(c).alias("column"), F.lit(error).alias("rel_error"), (low & high).alias("near")))
@@ -203,6 +243,12 @@ def mode_profile(df: DataFrame) -> DataFrame:
     return mode_table(df, text_columns(df.schema))
 
 
+def mode_profile_candidates(df: DataFrame) -> DataFrame:
+    """The same modes through candidates; beside them a column of distinct values, which is counted in full."""
+    wide = df.withColumn("distinct_code", F.concat(F.lit("p"), F.col("prev_id").cast("string")))
+    return frequent_mode_table(wide, text_columns(wide.schema))
+
+
 def table_summary(spark: SparkSession, sf: str) -> DataFrame:
     return profile.table_summary({n: view(spark, sf, n) for n in VIEWS})
 
@@ -268,6 +314,17 @@ def verify_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return checks.combine(checks.loaded(spark, [*shapes, *missing], missing), *rows)
 
 
+def verify_on_write(spark: SparkSession, sf: str) -> DataFrame:
+    """The same checks, taken by the tasks that write the cleaned tables."""
+    spark, tables, paths, shapes = spark.newSession(), {}, {}, {}
+    for table, (name, columns) in ROLES.items():
+        raw = view(spark, sf, name)
+        raw = stage(raw, name) if name in JOINED else raw
+        tables[table], paths[table] = cleaning.clean(raw, SPECS[name]), staging_path(spark, table)
+        shapes[table] = (raw.count(), columns)
+    return prepare.write_checked(tables, paths, DROPPED, shapes, ACCEPTABLE, DAYS, "days_employed")
+
+
 def verify_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return checks.verdict(verify_cleaned(spark, sf))
 
@@ -393,6 +450,15 @@ def roundtrip_csv_supplied(df: DataFrame) -> DataFrame:
     return read_raw(df.sparkSession, root, ["bureau"], schemas={"bureau": ddl})["bureau"]
 
 
+def csv_rejected(df: DataFrame) -> DataFrame:
+    """Cells of a CSV file that the declared schema cannot read: some amounts and codes are words."""
+    path = staging_path(df.sparkSession, "csv-broken")
+    word = {"amt_credit_sum": "bureau_id % 50 = 0", "days_credit": "bureau_id % 35 = 0"}
+    text = [F.expr(f"CASE WHEN {word[c]} THEN 'about ' || bureau_id ELSE CAST({c} AS STRING) END" if c in word else c).alias(c) for c in df.columns]
+    write_csv(df.select(*text), path, "XNA")
+    return checks.cells_readable(rejected_cells(df.sparkSession, path, df.schema, "XNA"), "v_bureau")
+
+
 def roundtrip_parquet(df: DataFrame) -> DataFrame:
     path = staging_path(df.sparkSession, "parquet")
     write_parquet(df, path)
@@ -414,7 +480,11 @@ QUERIES: dict[str, Query] = {
     "final_features_shuffle": final_features("shuffle"),
     "final_features_with_balance": final_features_with_balance,
     "join_skewed": join_skewed,
+    "join_skewed_repeated": join_skewed_repeated,
+    "final_features_bucketed": final_features_bucketed,
+    "join_variants": join_variants,
     "default_rollups": default_rollups,
+    "default_medians_sketch": default_medians_sketch,
     "default_medians": default_medians,
     "split_random": on_view("v_app", split_random),
     "counted_write": on_view("v_card", counted_write),
@@ -429,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "amount_range": over_views(PRICED, amount_range),
     "quartiles": on_view("v_bureau", quartiles),
     "mode_profile": on_view("v_prev", mode_profile),
+    "mode_profile_candidates": on_view("v_prev", mode_profile_candidates),
     "fix_sentinel": on_view("v_prev", fix_sentinel),
     "fix_positive_days": on_view("v_bureau", fix_positive_days),
     "fix_negative_amount": on_view("v_inst", fix_negative_amount),
@@ -439,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "fill_unknown": on_view("v_app", cleaning.fill_constant),
     "fill_median": on_view("v_bureau", lambda df: cleaning.fill_median(df, **EXACT)),
     "fill_mode": on_view("v_app", cleaning.fill_mode),
+    "fill_mode_candidates": on_view("v_app", lambda df: cleaning.fill_mode(df, by_candidates=True)),
     "clip_iqr": on_view("v_app", lambda df: cleaning.fence(df, ("amt_income", "amt_credit"), **EXACT)),
     "reset_range": on_view("v_app", reset_range),
     "null_range_median": on_view("v_app", lambda df: cleaning.refill_outside(df, {"vehicle_age": (0, 100)}, **EXACT)),
@@ -453,8 +525,10 @@ QUERIES: dict[str, Query] = {
     "table_summary": table_summary,
     "null_cells": null_cells,
     "top_null_columns": on_view("v_app", profile.top_null_columns),
+    "top_null_columns_all": over_views(VIEWS, profile.top_null_columns),
     "null_reduction": null_reduction,
     "verify_cleaned": verify_cleaned,
+    "verify_on_write": verify_on_write,
     "verify_verdict": verify_verdict,
     "ratio_features": on_view("v_app", ratio_features),
     "scaled_features": scaled_features,
@@ -465,5 +539,6 @@ QUERIES: dict[str, Query] = {
     "train_rf": train("RandomForest"),
     "roundtrip_csv": on_view("v_app", roundtrip_csv),
     "roundtrip_csv_inferred": on_view("v_app", roundtrip_csv_inferred),
+    "csv_rejected": on_view("v_bureau", csv_rejected),
     "roundtrip_parquet": on_view("v_card", roundtrip_parquet),
 }
