@@ -21,7 +21,7 @@ from loanweave.operators.quantiles import quantiles
 from loanweave.plans import cleaning_presets as presets
 from loanweave.plans import features, prepare
 from loanweave.sources.readers import read_csv, rejected_cells
-from loanweave.sources.staging import stage, staging_path
+from loanweave.sources.staging import stage, stage_all, staging_path
 from loanweave.sources.tables import TABLES, load_existing, read_raw
 from loanweave.sources.writers import load_model, write_counted, write_csv, write_features, write_parquet
 
@@ -127,7 +127,7 @@ def final_features_bucketed(spark: SparkSession, sf: str) -> DataFrame:
 
 def join_variants(spark: SparkSession, sf: str) -> DataFrame:
     """The join of all roll-ups by either strategy: rows, and whether the plan broadcasts."""
-    sides = [rollup(view(spark, sf, name)) for name, rollup in ROLLUPS.items()]
+    sides = stage_all([rollup(view(spark, sf, name)) for name, rollup in ROLLUPS.items()], "side")
     timed = features.compare_strategies(view(spark, sf, "v_app"), sides, APP)
     return timed.select(F.col("strategy").alias("variant"), "rows", "plan_has_broadcast")
 

@@ -131,8 +131,8 @@ class CleaningSpec:
             return {
                 "judged_nulls": f"count_if({judged} IS NULL)",
                 "nulls": f"count_if({missing})",
-                "below": f"count_if({value} < {lower})" if name in self.refill else "0L",
-                "within": f"count_if({value} BETWEEN {lower} AND {upper})" if name in self.refill else "0L",
+                "below": f"count_if({value} < {lower})" if name in self.refill else "count_if(false)",
+                "within": f"count_if({value} BETWEEN {lower} AND {upper})" if name in self.refill else "count_if(false)",
                 **extent,
                 **({"sketch": kll_sketch(value if name in numeric else "NULL", self.rel_error)} if self.sketch else {}),
             }

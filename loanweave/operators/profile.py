@@ -19,8 +19,8 @@ from loanweave.functions.roles import numeric_columns
 
 SENTINEL = 365243
 GROUPS = 64
-# How the results of an aggregate are combined; all others by the same function.
-_COMBINE = {"count": "sum", "count_if": "sum", "kll_sketch_agg_double": "kll_merge_agg_double"}
+# How the results of an aggregate are combined.
+_COMBINE = {"count": "sum", "count_if": "sum", "sum": "sum", "min": "min", "max": "max", "kll_sketch_agg_double": "kll_merge_agg_double"}
 
 
 def by_group(df: DataFrame, *aggregates: Column) -> DataFrame:
@@ -40,8 +40,7 @@ def per_column(
         fields = {"rows": "count(1)", **stats(name)}
         cells.append(f"named_struct('cell', {i}, " + ", ".join(f"'{k}', {sql}" for k, sql in fields.items()) + ")")
         for k, sql in fields.items():
-            function = sql.partition("(")[0]
-            combined[k] = _COMBINE.get(function, function)
+            combined[k] = _COMBINE[sql.partition("(")[0]]
     groups = by_group(df, F.expr(f"array({', '.join(cells)})").alias("cells")).select(F.inline("cells"))
     # a row for each column even if there is no row to count
     kinds = {f.name: f.dataType for f in groups.schema}
