@@ -8,20 +8,26 @@ scan, without Python.
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanweave.llm.common import fold, labelled_sample
-from loanweave.sources.staging import stage
+from loanweave.llm.common import fold, labelled_sample, ship, unused
+from loanweave.sources.staging import staged
 
 #: Labelled documents to learn from, at most.
 SAMPLE = 20_000
 TREES, DEPTH, PENALTY = 16, 3, 0.001
+#: Most Newton steps and sweeps over the weights in each, and change at which they end.
+NEWTON_STEPS, SWEEPS, TOLERANCE = 25, 200, 1e-9
 _TMP = "_quality"
 
 
@@ -29,7 +35,7 @@ def _count(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def _statistics(text: Column) -> tuple[Column, dict[str, Column]]:
+def _statistics(text: Column, column: str) -> tuple[Column, dict[str, Column]]:
     """Parts of a text that several statistics need (a struct), and statistics over that struct."""
     plain = F.coalesce(text, F.lit(""))
     parts = F.struct(
@@ -37,7 +43,7 @@ def _statistics(text: Column) -> tuple[Column, dict[str, Column]]:
         F.filter(F.split(F.translate(plain, "\n\t\r", "   "), " "), lambda w: w != "").alias("words"),
         F.filter(F.split(plain, "\n"), lambda line: line != "").alias("lines"),
     )
-    p = F.col(_TMP)
+    p = F.col(column)
     n = F.greatest(F.size(p["words"]), F.lit(1))
     chars = F.greatest(F.length(p["text"]), F.lit(1))
     upper, marks = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "#$%&*"
@@ -62,10 +68,10 @@ STATISTICS = (
 )
 
 
-def with_statistics(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with the struct column ``_quality`` of statistics."""
-    parts, stats = _statistics(text)
-    return df.withColumn(_TMP, parts).withColumn(_TMP, F.struct(*[stats[k].alias(k) for k in STATISTICS]))
+def with_statistics(df: DataFrame, text: Column, column: str = _TMP) -> DataFrame:
+    """``df`` with a struct column of statistics."""
+    parts, stats = _statistics(text, column)
+    return df.withColumn(column, parts).withColumn(column, F.struct(*[stats[k].alias(k) for k in STATISTICS]))
 
 
 @dataclass(frozen=True)
@@ -74,9 +80,8 @@ class Test:
     below: bool  # feature <= value, else feature > value
     value: float
 
-    def column(self) -> Column:
-        c = F.col(f"{_TMP}.{STATISTICS[self.feature]}")
-        return c <= F.lit(self.value) if self.below else c > F.lit(self.value)
+    def sql(self, column: str) -> str:
+        return f"`{column}`.{STATISTICS[self.feature]} {'<=' if self.below else '>'} {self.value!r}D"
 
 
 Rule = tuple[Test, ...]
@@ -96,11 +101,8 @@ def paths(tree: str) -> list[Rule]:
     return found
 
 
-def _holds(rule: Rule) -> Column:
-    out = rule[0].column()
-    for test in rule[1:]:
-        out = out & test.column()
-    return F.when(out, 1.0).otherwise(0.0)
+def _holds(rule: Rule, column: str = _TMP) -> str:
+    return " AND ".join(test.sql(column) for test in rule)
 
 
 @dataclass(frozen=True)
@@ -108,36 +110,86 @@ class RuleEnsemble:
     intercept: float
     weights: tuple[tuple[Rule, float], ...]
 
-    def score(self) -> Column:
-        """Probability of label 1, over a frame with the column of statistics."""
-        margin = F.lit(self.intercept)
-        for rule, weight in self.weights:
-            margin = margin + F.lit(weight) * _holds(rule)
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    def score(self, column: str = _TMP) -> Column:
+        """Probability of label 1, over a frame with that column of statistics. Compiled from one text,
+        so that the driver holds no object for each comparison."""
+        margin = " + ".join([f"{self.intercept!r}D", *(f"IF({_holds(rule, column)}, {weight!r}D, 0D)" for rule, weight in self.weights)])
+        return F.expr(f"1D / (1D + exp(-({margin})))")
+
+
+def _minimize(fired: np.ndarray, n: np.ndarray, ones: np.ndarray) -> tuple[float, np.ndarray]:
+    """Intercept and weights of the least mean log loss plus ``PENALTY`` times the weights' sizes,
+    each rule counted in units of its standard deviation.
+
+    Rows are distinct combinations of rules that fire, ``n`` times each, ``ones`` of them with
+    label 1. Newton steps on the loss; within each, one weight after the other is set exactly.
+    """
+    share = n / n.sum()
+    mean = share @ fired
+    deviation = np.sqrt(np.maximum(share @ fired**2 - mean**2, 0))
+    used = np.flatnonzero(deviation > 0)
+    x = (fired[:, used] - mean[used]) / deviation[used]
+    y = ones / n
+    start = share @ y
+    intercept, weights = math.log(start / (1 - start)), np.zeros(len(used))
+    for _ in range(NEWTON_STEPS):
+        margin = np.clip(intercept + x @ weights, -30, 30)
+        p = 1 / (1 + np.exp(-margin))
+        curve = np.maximum(p * (1 - p), 1e-5)
+        pull = share * curve
+        rest = (y - p) / curve  # of the quadratic that touches the loss here, at the weights so far
+        square, old = pull @ x**2, weights.copy()
+        for _ in range(SWEEPS):
+            moved = 0.0
+            for j in range(len(used)):
+                want = weights[j] * square[j] + (pull * rest) @ x[:, j]
+                new = math.copysign(max(abs(want) - PENALTY, 0.0), want) / square[j]
+                if new != weights[j]:
+                    rest -= (new - weights[j]) * x[:, j]
+                    moved = max(moved, square[j] * (new - weights[j]) ** 2)
+                    weights[j] = new
+            step = (pull @ rest) / pull.sum()
+            intercept += step
+            rest -= step
+            if moved < TOLERANCE:
+                break
+        if np.abs(weights - old).max(initial=0) < TOLERANCE**0.5:
+            break
+    out = np.zeros(fired.shape[1])
+    out[used] = weights / deviation[used]
+    return float(intercept - out @ mean), out
+
+
+def _lasso(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weights by rule, the intercept as rule -1."""
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    fired = np.array([list(f) for f in rows.column("fired").to_pylist()]) == "1"
+    intercept, weights = _minimize(fired.astype(np.float64), rows.column("n").to_numpy().astype(float), rows.column("ones").to_numpy())
+    yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(weights))), pa.array([intercept, *weights])], ["rule", "weight"])
 
 
 def fit(sample: DataFrame) -> RuleEnsemble:
     """Learns from ``text`` and ``label``. Without rows of both labels, the score is the
     smoothed share of label 1 (0.5 if there is nothing at all)."""
-    known = stage(with_statistics(sample, F.col("text")).select(_TMP, "label"), "quality-sample")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    ones, rows = counts.get(1.0, 0), sum(counts.values())
-    if len(counts) < 2:
-        import math
-
-        share = (ones + 1) / (rows + 2)
-        return RuleEnsemble(math.log(share / (1 - share)), ())
-    vectors = known.select("label", array_to_vector(F.array(*[f"{_TMP}.{s}" for s in STATISTICS])).alias("features"), _TMP)
-    forest = RandomForestClassifier(
-        numTrees=TREES, maxDepth=DEPTH, maxBins=64, minInstancesPerNode=5, featureSubsetStrategy="0.5", seed=17
-    ).fit(vectors)
-    rules = list(dict.fromkeys(r for tree in forest.trees for r in paths(tree.toDebugString)))
-    if not rules:
-        rules = [(Test(0, True, 0.0),)]
-    fired = known.select("label", array_to_vector(F.array(*[_holds(r) for r in rules])).alias("features"))
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=60, tol=1e-5).fit(fired)
-    kept = tuple((r, float(w)) for r, w in zip(rules, lasso.coefficients.toArray()) if w != 0.0)
-    return RuleEnsemble(float(lasso.intercept), kept)
+    ship(sample.sparkSession)
+    with staged(with_statistics(sample, F.col("text")).select(_TMP, "label"), "quality-sample") as known:
+        counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+        ones, rows = counts.get(1.0, 0), sum(counts.values())
+        if len(counts) < 2:
+            share = (ones + 1) / (rows + 2)
+            return RuleEnsemble(math.log(share / (1 - share)), ())
+        vectors = known.coalesce(4).select("label", array_to_vector(F.array(*[f"{_TMP}.{s}" for s in STATISTICS])).alias("features"))
+        forest = RandomForestClassifier(
+            numTrees=TREES, maxDepth=DEPTH, maxBins=64, minInstancesPerNode=5, featureSubsetStrategy="0.5", seed=17
+        ).fit(vectors)
+        rules = list(dict.fromkeys(r for tree in forest.trees for r in paths(tree.toDebugString)))
+        if not rules:
+            rules = [(Test(0, True, 0.0),)]
+        # At most as many combinations of rules as sampled rows, mostly far fewer: one task fits them.
+        fired = F.expr("concat(" + ", ".join(f"IF({_holds(r)}, '1', '0')" for r in rules) + ")")
+        kinds = known.groupBy(fired.alias("fired")).agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
+        found = {r["rule"]: r["weight"] for r in kinds.coalesce(1).mapInArrow(_lasso, "rule long, weight double").collect()}
+    return RuleEnsemble(found[-1], tuple((rule, found[i]) for i, rule in enumerate(rules) if found[i] != 0.0))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -151,9 +203,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     - Columns of ``docs`` named like the added ones (in any case) are replaced.
     """
     model = fit(labelled_sample(docs, labels, "quality", fold(F.col("doc_id"), 3) != 1, SAMPLE))
-    added = ("held_out", "score", "predicted", _TMP)
+    added, column = ("held_out", "score", "predicted"), unused(docs, _TMP)
     keep = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added])
-    scored = with_statistics(keep, F.col("text")).withColumn("score", model.score())
+    scored = with_statistics(keep, F.col("text"), column).withColumn("score", model.score(column))
     return scored.withColumns(
         {"held_out": fold(F.col("doc_id"), 3) == 1, "predicted": (F.col("score") >= 0.5).cast("int")}
-    ).drop(_TMP)
+    ).drop(column)
