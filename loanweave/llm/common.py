@@ -44,6 +44,14 @@ def fold(column: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as set it apart from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(column: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -73,6 +81,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, seen: Colum
 
     ``seen`` says which documents may be learned from. The choice is by a hash of the id, so
     it is the same in every run. Labels that are NULL or contradict each other are left out.
+    Of documents that share an id, the smallest text is taken.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & seen)
     # Only twice as many rows as wanted, those of the smallest hashes, go on to be sorted.
@@ -87,7 +96,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, seen: Colum
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )  # so small that it may be broadcast
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marks), "doc_id")
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marks), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
 
 
 def least_frequent(counts: DataFrame, column: str, limit: int, weight: Column | None = None) -> int:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loanweave.llm import bits
 from loanweave.llm import textvec as V
-from loanweave.llm.common import ship, text_chunks
+from loanweave.llm.common import ship, text_chunks, unused
 from loanweave.sources.staging import stage
 
 WINDOW, GRAM = 10, 5
@@ -158,7 +158,12 @@ def find(
 
 
 def remove(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold any window of the benchmark; all columns stay."""
-    bad = find(docs, items).where("n_hit > 0").select(F.col("id").alias("_bad_id"), F.col("digest").alias("_bad_digest")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_digest"))
+    """``docs`` without the documents that hold any window of the benchmark; all columns stay.
+
+    NULL and empty texts stay. Repeated rows stay or go together, as do rows with a NULL id by
+    their text. Extra columns may have any names. No documents: no rows.
+    """
+    bad_id, bad_digest = unused(docs, "_bad_id"), unused(docs, "_bad_digest")
+    bad = find(docs, items).where("n_hit > 0").select(F.col("id").alias(bad_id), F.col("digest").alias(bad_digest)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.xxhash64("text") == F.col(bad_digest))
     return docs.join(bad, same, "left_anti")

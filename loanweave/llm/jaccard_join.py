@@ -22,10 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanweave.llm import bits
 from loanweave.llm import textvec as V
-from loanweave.llm.common import ship, shuffle_partitions, text_chunks
+from loanweave.llm.common import ship, shuffle_partitions, text_chunks, unused
 from loanweave.llm.components import components
 from loanweave.sources.staging import stage
 
@@ -285,9 +286,19 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class (the one with the smallest id); all columns stay."""
+    """``docs`` with one document of each class (the one with the smallest id); all columns stay.
+
+    Of rows equal in id and text, the one with the smallest other columns, in their order, stays
+    (any of them, if a column has a type without an order). NULL ids come after all others; a
+    NULL text is like an empty one. Extra columns may have any names. No documents: no rows.
+    """
+    id_, digest, own = (unused(docs, name) for name in ("_kept_id", "_kept_digest", "_digest"))
     mine = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
-    kept = join(docs).where(mine).select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-    left = docs.withColumn("_digest", F.xxhash64("text")).join(kept, same, "left_semi")
-    return left.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    kept = join(docs).where(mine).select(F.col("doc_id").alias(id_), F.col("digest").alias(digest)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(digest))
+    left = docs.withColumn(own, F.xxhash64("text")).join(kept, same, "left_semi")
+    if any(isinstance(field.dataType, (T.MapType, T.VariantType)) for field in docs.schema):
+        return left.dropDuplicates(["doc_id", own]).select(docs.columns)
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
+    found = left.groupBy("doc_id", own).agg(F.min(rest).alias("rest"))
+    return found.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"rest.`{c}`") for c in docs.columns])

@@ -100,7 +100,8 @@ def _cells(words: V.Words) -> list[tuple[np.ndarray, np.ndarray]]:
 def _margins(words: V.Words, weights: np.ndarray, intercept: float) -> np.ndarray:
     total = np.full(len(words.first) - 1, intercept)
     for cell, first in _cells(words):
-        total += V.by_row(weights[cell.astype(np.int64)], first) * SCALE / np.maximum(np.diff(first), 1)
+        # in double precision, so that a text's sum does not depend on the texts before it
+        total += V.by_row(weights[cell.astype(np.int64)].astype(np.float64), first) * SCALE / np.maximum(np.diff(first), 1)
     return total
 
 
@@ -140,11 +141,11 @@ def fit(sample: DataFrame) -> Model:
     """Learns from ``doc_id``, ``text``, ``label``. If one part of the sample lacks a label,
     all texts get the smoothed share of label 1 (0.5 of nothing)."""
     schema = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, label double, indices array<int>, values array<double>"
-    found = stage(sample.select("doc_id", "text", "label").mapInArrow(_sparse, schema), "ngram-sample")
+    found = sample.select("doc_id", "text", "label").mapInArrow(_sparse, schema)
     vector = F.udf(lambda i, v: Vectors.sparse(BLOCKS * CELLS, i, v), VectorUDT())
-    known = found.select(
-        "label", vector("indices", "values").alias("features"), (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).alias("calibrates")
-    )
+    calibrates = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0
+    # vectors are made once here; the fits read them as often as they need
+    known = stage(found.select("label", vector("indices", "values").alias("features"), calibrates.alias("calibrates")), "ngram-sample")
     counts = {(r[0], r[1]): r[2] for r in known.groupBy("calibrates", "label").count().collect()}
     if len(counts) < 4:
         ones = sum(n for (_, label), n in counts.items() if label == 1.0)

@@ -15,6 +15,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanweave.llm.common import fold, labelled_sample, ship
+from loanweave.llm.common import fold, labelled_sample, ship, unused
 from loanweave.sources.staging import stage
 
 #: Labelled documents to learn from, at most.
@@ -147,8 +148,8 @@ def choose_entries(counts: DataFrame, totals: dict, parts: list[int], exceptions
     return Lexicon({r["entry"]: float(r["weight"]) for r in chosen.collect()}, exceptions)
 
 
-def _measure_batches(lexicon):
-    """Adds ``_n_words`` and ``_weight`` to each row."""
+def _measure_batches(lexicon, added: list[str]):
+    """Adds the number of words and the weight of the matched ones to each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.value.automaton()
@@ -156,24 +157,27 @@ def _measure_batches(lexicon):
             found = [measure(text or "", automaton) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([n for n, _ in found], pa.int64()), pa.array([w for _, w in found], pa.float64())],
-                [*batch.schema.names, "_n_words", "_weight"],
+                [*batch.schema.names, *added],
             )
 
     return run
 
 
-def _measured(texts: DataFrame, lexicon) -> DataFrame:
-    schema = T.StructType([*texts.schema.fields, T.StructField("_n_words", T.LongType()), T.StructField("_weight", T.DoubleType())])
-    return texts.mapInArrow(_measure_batches(lexicon), schema)
+_ADDED = ["_n_words", "_weight"]
 
 
-def _inputs():
-    w, n = F.col("_weight"), F.greatest(F.col("_n_words"), F.lit(1))
+def _measured(texts: DataFrame, lexicon, added: list[str] = _ADDED) -> DataFrame:
+    schema = T.StructType([*texts.schema.fields, T.StructField(added[0], T.LongType()), T.StructField(added[1], T.DoubleType())])
+    return texts.mapInArrow(_measure_batches(lexicon, added), schema)
+
+
+def _inputs(added: list[str]) -> tuple[Column, Column, Column]:
+    w, n = F.col(f"`{added[1]}`"), F.greatest(F.col(f"`{added[0]}`"), F.lit(1))
     return F.log1p(w), F.log1p(1000 * w / n), (w > 0).cast("double")
 
 
-def _fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...]) -> tuple[Broadcast, Column]:
-    """Lexicon for the tasks, and the log odds of a measured text."""
+def _fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...], added: list[str] = _ADDED) -> tuple[Broadcast, Column]:
+    """Lexicon for the tasks, and the log odds of a text measured in the columns ``added``."""
     ship(docs.sparkSession)
     sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0, SAMPLE)
     part = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(PARTS)).cast("int").alias("part")
@@ -186,16 +190,16 @@ def _fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...]) -> tup
         return context.broadcast(Lexicon({}, exceptions)), F.lit(math.log(share / (1 - share)))
     counts = stage(entry_counts(known), "toxicity-entries")
     # each part is measured with what the others teach, so that calibration sees new texts
-    measured = None
-    for i in range(PARTS):
-        lexicon = choose_entries(counts, totals, [j for j in range(PARTS) if j != i], exceptions)
-        one = _measured(known.where(F.col("part") == i).select("text", "label"), context.broadcast(lexicon))
-        measured = one if measured is None else measured.union(one)
+    lexicons = [context.broadcast(choose_entries(counts, totals, [j for j in range(PARTS) if j != i], exceptions)) for i in range(PARTS)]
+    measured = [_measured(known.where(F.col("part") == i).select("text", "label"), lexicon) for i, lexicon in enumerate(lexicons)]
     shared = context.broadcast(choose_entries(counts, totals, list(range(PARTS)), exceptions))
-    vectors = stage(measured.drop("text"), "toxicity-calibration").select("label", array_to_vector(F.array(*_inputs())).alias("features"))
+    calibration = stage(reduce(DataFrame.union, measured).drop("text"), "toxicity-calibration")
+    for lexicon in lexicons:
+        lexicon.destroy()
+    vectors = calibration.select("label", array_to_vector(F.array(*_inputs(_ADDED))).alias("features"))
     model = LogisticRegression(regParam=1e-4, maxIter=60).fit(vectors)
     margin = F.lit(float(model.intercept))
-    for value, weight in zip(_inputs(), model.coefficients.toArray()):
+    for value, weight in zip(_inputs(added), model.coefficients.toArray()):
         margin = margin + value * F.lit(float(weight))
     return shared, margin
 
@@ -224,6 +228,11 @@ def score(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCE
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> DataFrame:
-    """``docs`` without the rows that ``score`` predicts to be toxic; all columns stay, in one scan."""
-    lexicon, margin = _fit(docs, labels, exceptions)
-    return _measured(docs, lexicon).where(margin < 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows that ``score`` predicts to be toxic; all columns stay, in one scan.
+
+    NULL and empty texts and repeated rows are judged as by ``score``; extra columns may have any
+    names. No documents: no rows.
+    """
+    added = [unused(docs, name) for name in _ADDED]
+    lexicon, margin = _fit(docs, labels, exceptions, added)
+    return _measured(docs, lexicon, added).where(margin < 0).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -26,9 +26,11 @@ def awkward(spark):
         (1, PLAIN), (2, PLAIN), (2, PLAIN), (3, PLAIN + " again"), (4, None), (5, ""), (6, " \n\t "), (7, LONG), (None, "no id"),
         (None, PLAIN), (8, "日本語 text é 😀 <|endoftext|> x"), (9, "one"), (10, "!!! ???"), (11, "a a a a a a a a"), (5, "same id, other text"),
     ]
-    rows = [(i, t, "x", 0.5, True, "z", 1, 2) for i, t in texts]
+    rows = [(i, t, "x", 0.5, True, "z", 1, 2, *"abcdefg") for i, t in texts]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, digest string, score double, held_out boolean, host string, n_words int, predicted int"
+        rows,
+        "doc_id long, text string, digest string, score double, held_out boolean, host string, n_words int, predicted int, "
+        "_digest string, _quality string, _N_words string, _weight string, _bad_id string, _bad_digest string, _kept_id string",
     )
 
 
