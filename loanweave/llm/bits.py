@@ -18,8 +18,8 @@ _PAGE = 15  # bits within one row of Spark's bitmap aggregate
 
 
 def size_for(hashes: int) -> int:
-    """Bits of a bitmap in which so many hashes fill at most an eighth, within the bounds."""
-    return min(max(1 << (8 * hashes - 1).bit_length() if hashes else 0, SMALLEST), LARGEST)
+    """Bits of a bitmap in which so many hashes fill at most one in 32, within the bounds."""
+    return min(max(1 << (32 * hashes - 1).bit_length() if hashes else 0, SMALLEST), LARGEST)
 
 
 def build(hashes: DataFrame, column: str, size: int = SIZE) -> Broadcast:

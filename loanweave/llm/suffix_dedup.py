@@ -4,7 +4,7 @@ A string of ``LENGTH`` bytes that also starts in a document with a smaller id is
 wherever it stands. The corpus order of all such strings is never built byte by byte; it is
 put together from a parse and a dictionary, at two scales:
 
-- Rolling-hash triggers (one in ``MODULUS`` places) cut every document into phrases. A phrase
+- Rolling-hash triggers (one in 2^``PHRASE_BITS`` places) cut every document into phrases. A phrase
   holds all strings that start before the next trigger, so equal phrases hold equal strings.
   The dictionary is the set of distinct phrases, each owned by the first document that has
   it. All strings of a phrase that its document does not own are removed at once; only owned
@@ -17,7 +17,7 @@ put together from a parse and a dictionary, at two scales:
   smallest document of a class, taken from the parse, decides.
 
 Bitmaps of bounded size only spare work: they let more pass when they fill up, and what
-passes is compared as bytes or by 128-bit digests. A trigger with very many distinct blocks
+passes is compared as bytes or by digests of 128 bits (of a block: trigger and digest). A trigger with very many distinct blocks
 is not sorted in one task: its strings are grouped by digest, combined before the shuffle.
 """
 
@@ -40,25 +40,32 @@ from loanweave.sources.staging import stage, staged
 
 #: Bytes of a string that counts as repeated.
 LENGTH = 50
-#: Bytes of a rolling hash; one place in ``MODULUS`` starts a phrase.
-WIDTH, MODULUS = 16, 128
+#: Bytes of a rolling hash; a place starts a phrase if so many leading bits of its hash are zero.
+WIDTH, PHRASE_BITS = 24, 7
 #: Distinct blocks of one trigger that a task sorts together.
-SORTED_BLOCKS = 1024
-#: Bytes of text whose hashes are held at a time, and of blocks sorted at a time.
-SLICE, SORTED_BYTES = 1 << 18, 1 << 20
+SORTED_BLOCKS = 1 << 15
+#: Bytes of text whose hashes are worked on at a time, bytes whose hashes are kept for two uses, and
+#: bytes of blocks sorted at a time.
+SLICE, KEPT, SORTED_BYTES = 1 << 18, 1 << 22, 1 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 _WINDOWS = LENGTH - WIDTH + 1  # most strings of a block
 
 
 def rolling(data: np.ndarray) -> np.ndarray:
-    """Polynomial hash of the ``WIDTH`` bytes (a power of two) from each place on, scrambled."""
-    out, factor, width = data.astype(np.uint64) + np.uint64(1), _BASE, 1
-    while width < WIDTH:
-        out = out[:-width] * factor + out[width:]
-        factor, width = factor * factor, 2 * width
-    return V.mix(out)
+    """Polynomial hash of the ``WIDTH`` bytes from each place on; put together from the hashes of
+    1, 2, 4, ... bytes that add up to ``WIDTH``."""
+    part, width, out, done = data.astype(np.uint64) + np.uint64(1), 1, None, 0
+    while True:
+        factor = np.uint64(pow(_BASE, width, 1 << 64))
+        if WIDTH & width:
+            n = len(data) - done - width + 1
+            out = part if out is None else out[:n] * factor + part[done : done + n]
+            done += width
+        if 2 * width > WIDTH:
+            return out
+        part, width = part[:-width] * factor + part[width:], 2 * width
 
 
 def least(values: np.ndarray, n: int) -> np.ndarray:
@@ -69,12 +76,23 @@ def least(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (n - width)], values[n - width :]) if width < n else values
 
 
-def phrases(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def hashes_of(data: np.ndarray) -> np.ndarray | None:
+    """Hashes of the whole text, unless it is long: then they are made again where they are needed."""
+    return rolling(data) if WIDTH <= len(data) <= KEPT else None
+
+
+def _slices(data: np.ndarray, hashes: np.ndarray | None, span: int) -> Iterator[tuple[int, np.ndarray]]:
+    """First place, and hashes, of parts of a text; every range of ``span`` bytes starts in one part and ends in it."""
+    for lo in range(0, len(data) - span + 1, SLICE):
+        end = lo + SLICE + span - 1
+        yield lo, rolling(data[lo:end]) if hashes is None else hashes[lo : end - WIDTH + 1]
+
+
+def phrases(data: np.ndarray, bounds: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Phrases that hold a string: first string, end of strings, end of bytes, and row."""
     cuts = [bounds[:-1]]
-    for lo in range(0, len(data) - WIDTH + 1, SLICE):
-        hashes = rolling(data[lo : lo + SLICE + WIDTH - 1])
-        cuts.append(lo + np.flatnonzero(hashes & np.uint64(MODULUS - 1) == 0))
+    for lo, part in _slices(data, hashes, WIDTH):
+        cuts.append(lo + np.flatnonzero(part < np.uint64(1 << (64 - PHRASE_BITS))))
     start = np.unique(np.concatenate(cuts))
     row = np.searchsorted(bounds, start, "right") - 1
     after = np.append(start[1:], bounds[-1])
@@ -91,27 +109,26 @@ def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.frombuffer(joined, np.int64).reshape(-1, 2)
 
 
-def blocks(data: np.ndarray, bounds: np.ndarray, skip: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def blocks(
+    data: np.ndarray, bounds: np.ndarray, skip: tuple[np.ndarray, np.ndarray], hashes: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trigger, first string and end of strings of all blocks, without the ranges of strings to skip."""
     begins, ends = np.concatenate([bounds[1:] - LENGTH + 1, skip[0]]), np.concatenate([bounds[1:], skip[1]])
     out = []
-    for lo in range(0, len(data) - LENGTH + 1, SLICE):
-        hashes = rolling(data[lo : lo + SLICE + LENGTH - 1])
-        n = len(hashes) - (LENGTH - WIDTH)
-        places = least((hashes & _HIGH) | np.arange(len(hashes), dtype=np.uint64), _WINDOWS) & _LOW
+    for lo, part in _slices(data, hashes, LENGTH):
+        n = len(part) - (LENGTH - WIDTH)
+        lowest = least((part & _HIGH) | np.arange(len(part), dtype=np.uint64), _WINDOWS)
         change = np.zeros(n + 1, np.int32)
         near = (ends > lo) & (begins < lo + n)
         np.add.at(change, np.clip(begins[near] - lo, 0, n), 1)
         np.add.at(change, np.clip(ends[near] - lo, 0, n), -1)
-        string = np.flatnonzero(np.cumsum(change[:-1]) == 0)
-        if not len(string):
-            continue
-        place = places[string]
-        new = np.ones(len(string), bool)
-        new[1:] = (place[1:] != place[:-1]) | (string[1:] != string[:-1] + 1)
+        wanted = np.cumsum(change[:-1]) == 0  # never the last strings of a row, so a run is in one row
+        new = np.ones(n, bool)
+        new[1:] = (lowest[1:] != lowest[:-1]) | (wanted[1:] != wanted[:-1])
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(string)) - 1
-        out.append((hashes[place[first]].view(np.int64), lo + string[first], lo + string[last] + 1))
+        after = np.append(first[1:], n)[wanted[first]]
+        first = first[wanted[first]]
+        out.append((V.mix(part[lowest[first] & _LOW]).view(np.int64), lo + first, lo + after))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -141,9 +158,11 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table(p1=found[:, 0], p2=found[:, 1], doc=ids[row])
 
 
-def _foreign(ids: np.ndarray, data: np.ndarray, bounds: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _foreign(
+    ids: np.ndarray, data: np.ndarray, bounds: np.ndarray, owners: np.ndarray, hashes: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges of strings in phrases that certainly belong to an earlier document, and their rows."""
-    start, after, end, row = phrases(data, bounds)
+    start, after, end, row = phrases(data, bounds, hashes)
     found = digests(data, start, end)
     other = ~bits.holds(owners, _unsigned(found[:, 0] ^ ids[row]))
     return start[other], after[other], row[other]
@@ -152,8 +171,14 @@ def _foreign(ids: np.ndarray, data: np.ndarray, bounds: np.ndarray, owners: np.n
 def _triggers(owners: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, data, bounds, _ in _chunks(batches):
-            trigger, first, _ = blocks(data, bounds, _foreign(ids, data, bounds, owners.value)[:2])
-            yield _table(t=trigger, doc=ids[np.searchsorted(bounds, first, "right") - 1])
+            hashes = hashes_of(data)
+            trigger, first, _ = blocks(data, bounds, _foreign(ids, data, bounds, owners.value, hashes)[:2], hashes)
+            row = np.searchsorted(bounds, first, "right") - 1
+            order = np.lexsort((trigger, row))
+            row, trigger = row[order], trigger[order]
+            once = np.ones(len(row), bool)  # a trigger of a text counts once
+            once[1:] = (row[1:] != row[:-1]) | (trigger[1:] != trigger[:-1])
+            yield _table(t=trigger[once])
 
     return run
 
@@ -166,14 +191,15 @@ def _text_keys(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _candidates(owners: Broadcast, shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, data, bounds, _ in _chunks(batches):
-            trigger, first, after = blocks(data, bounds, _foreign(ids, data, bounds, owners.value)[:2])
+            hashes = hashes_of(data)
+            trigger, first, after = blocks(data, bounds, _foreign(ids, data, bounds, owners.value, hashes)[:2], hashes)
             some = bits.holds(shared.value, _unsigned(trigger))
             trigger, first, after = trigger[some], first[some], after[some]
             row = np.searchsorted(bounds, first, "right") - 1
             end = after + LENGTH - 1
-            found, raw = digests(data, first, end), memoryview(np.ascontiguousarray(data))
+            found, raw = digests(data, first, end)[:, 0], memoryview(np.ascontiguousarray(data))
             body = pa.array([raw[s:e].tobytes() for s, e in zip(first.tolist(), end.tolist())], pa.binary())
-            yield _table(t=trigger, b1=found[:, 0], b2=found[:, 1], doc=ids[row], text_key=_text_keys(data, bounds)[row], at=first - bounds[row], body=body)
+            yield _table(t=trigger, b=found, doc=ids[row], text_key=_text_keys(data, bounds)[row], at=first - bounds[row], body=body)
 
     return run
 
@@ -184,12 +210,14 @@ def _to_sort(mixed: Broadcast, firsts: Broadcast, hot: Broadcast, split: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t, b1, doc = (batch.column(c).to_numpy() for c in ("t", "b1", "doc"))
-            some = bits.holds(mixed.value, _unsigned(t)) & bits.holds(firsts.value, _unsigned(b1 ^ doc))
+            t, b, doc = (batch.column(c).to_numpy() for c in ("t", "b", "doc"))
+            some = bits.holds(mixed.value, _unsigned(t)) & bits.holds(firsts.value, _unsigned(b ^ doc))
             some &= bits.holds(hot.value, _unsigned(t)) == split
             place = np.flatnonzero(some)
-            same = np.unique(np.stack([b1[place], batch.column("b2").to_numpy()[place], doc[place]]), axis=1, return_index=True)[1]
-            part = batch.take(pa.array(place[np.sort(same)])).select(["t", "b1", "b2", "doc", "body"])
+            place = place[np.lexsort((doc[place], b[place], t[place]))]
+            once = np.ones(len(place), bool)  # a block may stand in its first document many times
+            once[1:] = (t[place][1:] != t[place][:-1]) | (b[place][1:] != b[place][:-1]) | (doc[place][1:] != doc[place][:-1])
+            part = batch.take(pa.array(place[once])).select(["t", "b", "doc", "body"])
             if not split:
                 yield part
                 continue
@@ -198,8 +226,8 @@ def _to_sort(mixed: Broadcast, firsts: Broadcast, hot: Broadcast, split: bool):
             row = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             found = digests(data, bounds[row] + place, bounds[row] + place + LENGTH)
-            own = part.take(pa.array(row)).select(["b1", "b2", "doc"])
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(place)], ["b1", "b2", "doc", "s1", "s2", "place"])
+            own = part.take(pa.array(row)).select(["t", "b", "doc"])
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(place)], ["t", "b", "doc", "s1", "s2", "place"])
 
     return run
 
@@ -240,8 +268,8 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, bounds = V.raw_bytes(table.column("body").combine_chunks().cast(pa.large_binary()))
         found = suffix_classes(data, bounds, table.column("doc").to_numpy())
         some = pa.array(found != 0)
-        own = [table.column(c).combine_chunks().filter(some) for c in ("b1", "b2", "doc")]
-        return pa.RecordBatch.from_arrays([*own, pa.array(found).filter(some)], ["b1", "b2", "doc", "mask"])
+        own = [table.column(c).combine_chunks().filter(some) for c in ("t", "b", "doc")]
+        return pa.RecordBatch.from_arrays([*own, pa.array(found).filter(some)], ["t", "b", "doc", "mask"])
 
     held, size = [], 0
     for batch in batches:
@@ -264,13 +292,13 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _marks(docs: DataFrame, owners: Broadcast) -> DataFrame:
     """(doc, text_key, found): strings of owned phrases that are repeated, as first place and bits."""
     spark = docs.sparkSession
-    triggers = docs.mapInArrow(_triggers(owners), "t long, doc long").groupBy("t").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    with staged(triggers.where("low < high").select("t"), "dedup-triggers") as common:
+    triggers = docs.mapInArrow(_triggers(owners), "t long").groupBy("t").agg(F.count("*").alias("texts"))
+    with staged(triggers.where("texts > 1").select("t"), "dedup-triggers") as common:
         shared = bits.build(common, "t", bits.size_for(common.count()))
-    kind = "t long, b1 long, b2 long, doc long, text_key long, at long, body binary"
+    kind = "t long, b long, doc long, text_key long, at long, body binary"
     with (
         staged(docs.mapInArrow(_candidates(owners, shared), kind), "dedup-candidates") as candidates,
-        staged(candidates.groupBy("t", "b1", "b2").agg(F.min("doc").alias("first")), "dedup-blocks") as distinct,
+        staged(candidates.groupBy("t", "b").agg(F.min("doc").alias("first")), "dedup-blocks") as distinct,
         staged(
             distinct.groupBy("t").agg(F.count("*").alias("n"), F.min("first").alias("low"), F.max("first").alias("high")).where("n > 1 AND low < high").select("t", "n"),
             "dedup-mixed",
@@ -278,21 +306,24 @@ def _marks(docs: DataFrame, owners: Broadcast) -> DataFrame:
     ):
         mixed = bits.build(per_trigger, "t", bits.size_for(per_trigger.count()))
         hot = bits.build(per_trigger.where(F.col("n") > SORTED_BLOCKS), "t", bits.SMALLEST)
-        owned = distinct.select(F.col("b1").bitwiseXOR(F.col("first")).alias("key"))
+        owned = distinct.select(F.col("b").bitwiseXOR(F.col("first")).alias("key"))
         firsts = bits.build(owned, "key", bits.size_for(distinct.count()))
         parts = shuffle_partitions(spark)
-        whole = candidates.select("t", "b1", "b2", "doc", "body").mapInArrow(_to_sort(mixed, firsts, hot, False), "t long, b1 long, b2 long, doc long, body binary")
-        masks = whole.repartition(parts, "t").sortWithinPartitions("t").mapInArrow(_sort, "b1 long, b2 long, doc long, mask long")
-        single = candidates.select("t", "b1", "b2", "doc", "body").mapInArrow(_to_sort(mixed, firsts, hot, True), "b1 long, b2 long, doc long, s1 long, s2 long, place long")
+        whole = candidates.select("t", "b", "doc", "body").mapInArrow(_to_sort(mixed, firsts, hot, False), "t long, b long, doc long, body binary")
+        masks = whole.repartition(parts, "t").sortWithinPartitions("t").mapInArrow(_sort, "t long, b long, doc long, mask long")
+        single = candidates.select("t", "b", "doc", "body").mapInArrow(_to_sort(mixed, firsts, hot, True), "t long, b long, doc long, s1 long, s2 long, place long")
         with staged(single, "dedup-hot") as strings:
             lowest = strings.groupBy("s1", "s2").agg(F.min("doc").alias("low"))
-            late = strings.join(lowest, ["s1", "s2"]).where("low < doc").selectExpr("b1", "b2", "doc", "shiftleft(1L, CAST(place AS INT)) AS mask")
-            every = masks.unionByName(late).groupBy("b1", "b2", "doc").agg(F.bit_or("mask").alias("mask"))
-            known = distinct.join(every.withColumnRenamed("doc", "first"), ["b1", "b2", "first"], "left").select("b1", "b2", "first", "mask")
+            late = strings.join(lowest, ["s1", "s2"]).where("low < doc").selectExpr("t", "b", "doc", "shiftleft(1L, CAST(place AS INT)) AS mask")
+            every = masks.unionByName(late).groupBy("t", "b", "doc").agg(F.bit_or("mask").alias("mask"))
+            known = distinct.join(every.withColumnRenamed("doc", "first"), ["t", "b", "first"], "left").select("t", "b", "first", "mask")
             full = F.expr(f"shiftleft(1L, CAST(octet_length(body) AS INT) - {LENGTH - 1}) - 1")
-            uses = candidates.select("b1", "b2", "doc", "text_key", "at", full.alias("full")).join(known, ["b1", "b2"])
+            uses = candidates.select("t", "b", "doc", "text_key", "at", full.alias("full")).join(known, ["t", "b"])
             found = uses.withColumn("bits", F.when(F.col("doc") > F.col("first"), F.col("full")).otherwise(F.col("mask"))).where("bits != 0")
-            return stage(found.groupBy("doc", "text_key").agg(F.collect_set(F.struct("at", "bits")).alias("found")), "dedup-marks")
+            marks = stage(found.groupBy("doc", "text_key").agg(F.collect_set(F.struct("at", "bits")).alias("found")), "dedup-marks")
+    for bitmap in (shared, mixed, hot, firsts):
+        bitmap.destroy()
+    return marks
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
