@@ -1,10 +1,12 @@
 """Byte-level BPE: encoding by a table of distinct words, decoding by a table of pieces.
 
-Spark counts the distinct words of all texts. The most frequent ones, a bounded number, are
-encoded once each by tasks of their own and become a table of word and ids, which is
-broadcast and joined back at each word's position. Words outside the table are rare; each is
-encoded once by every task that meets it, and a bounded cache spares repeats. Decoding joins
-each id to its piece in the vocabulary, whose size is fixed.
+Spark counts the distinct words of all texts, and each is encoded once, by tasks of their own.
+Ids come back by joins: the most frequent words, a bounded number, are a broadcast table that
+tasks look up at each word's position; the uses of all other words, which are few, are
+joined to the table of the rare words and gathered by text. So only texts, compressed, and
+rare words move. Decoding joins each id to its piece in the vocabulary, whose size is fixed and
+which every task therefore holds. Words of more than ``TABLE_WORD_BYTES`` bytes, and texts with
+special tokens or characters of no settled class, are encoded where they stand.
 
 Tasks cut, look up and join whole chunks of texts as arrays of code points; within a task a
 word is known by a 64-bit hash of its code points.
@@ -34,8 +36,8 @@ from loanweave.sources.staging import stage
 
 #: Words in the broadcast table, and bytes of a word in it: at most about 40 MB in all.
 TABLE_WORDS, TABLE_WORD_BYTES = 1 << 20, 64
-#: Words in a task's cache, and in its counts before it sends them.
-CACHE_WORDS = COUNTED_WORDS = 1 << 17
+#: Long words in a task's cache, words in its counts before it sends them, and rows unpacked at a time.
+CACHE_WORDS, COUNTED_WORDS, UNPACKED_ROWS = 1 << 12, 1 << 17, 256
 #: Longer words are merged with a heap instead of a scan.
 LONG_WORD = 256
 
@@ -283,17 +285,15 @@ def _encode_table(vocabulary: Broadcast):
     return run
 
 
-def word_table(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
-    """(word, ids) of the most frequent distinct words, at most ``TABLE_WORDS``, each encoded once."""
-    counted = stage(
-        texts.mapInArrow(_count_words(vocabulary), "word string, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .where(F.octet_length("word") <= TABLE_WORD_BYTES),
-        "bpe-words",
-    )
-    frequent = counted.where(F.col("n") >= least_frequent(counted, "n", TABLE_WORDS))
-    return frequent.select("word").mapInArrow(_encode_table(vocabulary), "word string, ids binary")
+def count_words(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """(word, n) of all distinct words of at most ``TABLE_WORD_BYTES``."""
+    counted = texts.mapInArrow(_count_words(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counted.where(F.octet_length("word") <= TABLE_WORD_BYTES)
+
+
+def encoded(words: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """(word, ids) of distinct words, each encoded once."""
+    return words.select("word").mapInArrow(_encode_table(vocabulary), "word string, ids binary")
 
 
 class Table:
@@ -322,49 +322,107 @@ def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - ahead, size) + np.arange(int(size.sum()))
 
 
+@dataclass
+class Found:
+    """Distinct words of a cut: where each stands first, which one every word is, and its place in the table."""
+
+    index: np.ndarray
+    inverse: np.ndarray
+    place: np.ndarray
+    known: np.ndarray
+
+
+def find(words: Cut, table: Table) -> Found:
+    kinds, index, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+    place = np.minimum(np.searchsorted(table.hashes, kinds), max(len(table.hashes) - 1, 0))
+    known = table.hashes[place] == kinds if len(table.hashes) else np.zeros(len(kinds), bool)
+    return Found(index, inverse, place, known)
+
+
+def _rare_uses(vocabulary: Broadcast, shared: Broadcast):
+    """(key, word) of each text and each word in it that the broadcast table lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            for lo, texts in _chunks(batch.column("text")):
+                words = cut(texts, vocabulary.value)
+                found = find(words, shared.value)
+                at = np.flatnonzero(~found.known[found.inverse])
+                owner = np.searchsorted(words.first, at, "right") - 1
+                once = np.unique(owner * len(found.index) + found.inverse[at])
+                owner, kind = np.divmod(once, max(len(found.index), 1))
+                rows = [(k, w) for k, w in zip(keys[lo + owner].tolist(), map(words.word, found.index[kind].tolist())) if len(w.encode()) <= TABLE_WORD_BYTES]
+                columns = list(zip(*rows)) if rows else [(), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string())], ["key", "word"])
+
+    return run
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text`` becomes its compressed bytes in ``body`` and their length before in ``size``."""
+    pack = pa.Codec("zstd")
+    for batch in batches:
+        raw = [t.encode() for t in batch.column("text").to_pylist()]
+        bodies = [pack.compress(t, asbytes=True) for t in raw]
+        at = batch.schema.get_field_index("text")
+        rest = [c for i, c in enumerate(batch.columns) if i != at]
+        names = [n for i, n in enumerate(batch.schema.names) if i != at]
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(bodies, pa.binary()), pa.array([len(t) for t in raw], pa.int64())], [*names, "body", "size"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = pa.Codec("zstd")
+    for whole in batches:
+        for lo in range(0, whole.num_rows, UNPACKED_ROWS):
+            batch = whole.slice(lo, UNPACKED_ROWS)
+            pairs = zip(batch.column("body").to_pylist(), batch.column("size").to_pylist())
+            texts = pa.array([pack.decompress(b, n).to_pybytes().decode() if n else "" for b, n in pairs], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, batch.column("rare")], ["doc_id", "text", "rare"])
+
+
 def _encode(vocabulary: Broadcast, shared: Broadcast):
+    """``text`` and ``rare`` (its words outside the table, with their ids) become ``ids``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, table, cache = vocabulary.value, shared.value, {}
 
-        def rare(h: int, word: str) -> np.ndarray:
-            ids = cache.get(h)
+        def long_word(word: str) -> np.ndarray:
+            ids = cache.get(word)
             if ids is None:
                 ids = np.frombuffer(vocab.encode_word(word), np.int32)
                 if len(cache) >= CACHE_WORDS:
                     cache.clear()
-                cache[h] = ids
+                cache[word] = ids
             return ids
 
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            for lo, texts in _chunks(batch.column(at)):
+            for lo, texts in _chunks(batch.column("text")):
                 part = batch.slice(lo, len(texts))
-                found = cut(texts, vocab)
-                kinds, index, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
-                place = np.minimum(np.searchsorted(table.hashes, kinds), max(len(table.hashes) - 1, 0))
-                known = table.hashes[place] == kinds if len(table.hashes) else np.zeros(len(kinds), bool)
-                more = [rare(int(kinds[i]), found.word(index[i])) for i in np.flatnonzero(~known)]
-                size, start = np.empty(len(kinds), np.int64), np.empty(len(kinds), np.int64)
-                size[known], start[known] = table.size[place[known]], table.start[place[known]]
-                size[~known] = [len(m) for m in more]
-                start[~known] = len(table.ids) + np.cumsum(size[~known]) - size[~known]
-                pool = table.ids
+                uses = part.column("rare").flatten()
+                rare = dict(zip(uses.field("word").to_pylist(), uses.field("ids").to_pylist())) if len(uses) else {}
+                words = cut(texts, vocab)
+                found = find(words, table)
+                names = [words.word(i) for i in found.index[~found.known].tolist()]
+                more = [np.frombuffer(rare[w], np.int32) if w in rare else long_word(w) for w in names]
+                size, start = np.empty(len(found.index), np.int64), np.empty(len(found.index), np.int64)
+                size[found.known], start[found.known] = table.size[found.place[found.known]], table.start[found.place[found.known]]
+                size[~found.known] = [len(m) for m in more]
+                start[~found.known] = len(table.ids) + np.cumsum(size[~found.known]) - size[~found.known]
+                where = spread(start[found.inverse], size[found.inverse])
                 if more:  # ids of this chunk's rare words follow those of the table
-                    late = np.concatenate(more)
-                    where = spread(start[inverse], size[inverse])
+                    pool, late = table.ids, np.concatenate(more)
                     ids = np.where(where < len(pool), pool[np.minimum(where, max(len(pool) - 1, 0))] if len(pool) else 0, late[np.maximum(where - len(pool), 0) % len(late)])
                 else:
-                    ids = pool[spread(start[inverse], size[inverse])]
-                ends = np.append(0, np.cumsum(size[inverse]))[found.first]
-                if found.odd:
+                    ids = table.ids[where]
+                ends = np.append(0, np.cumsum(size[found.inverse]))[words.first]
+                if words.odd:
                     each = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
-                    for i in found.odd:
+                    for i in words.odd:
                         each[i] = np.frombuffer(b"".join(map(vocab.encode_word, vocab.words(texts[i]))), np.int32)
                     ids, ends = np.concatenate(each), np.append(0, np.cumsum([len(e) for e in each]))
                 coded = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                columns = [c for i, c in enumerate(part.columns) if i != at] + [coded]
-                names = [n for i, n in enumerate(part.schema.names) if i != at] + ["ids"]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), coded], ["doc_id", "ids"])
 
     return run
 
@@ -414,13 +472,24 @@ def _chain(*steps):
 
 
 def _encoder(docs: DataFrame, path: str) -> tuple[DataFrame, Broadcast, Broadcast]:
-    """Texts to encode, the vocabulary and the table of words for the tasks."""
-    ship(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    vocabulary = context.broadcast(Vocabulary.load(path))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    table = Table(word_table(texts.select("text"), vocabulary).toArrow(), vocabulary.value)
-    return texts, vocabulary, context.broadcast(table)
+    """Rows (doc_id, body, size, rare) to encode, the vocabulary and the table of words for the tasks."""
+    spark = docs.sparkSession
+    ship(spark)
+    vocabulary = spark.sparkContext.broadcast(Vocabulary.load(path))
+    texts = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = stage(count_words(texts.select("text"), vocabulary), "bpe-words")
+    least = least_frequent(counted, "n", TABLE_WORDS)
+    frequent = encoded(counted.where(F.col("n") >= least), vocabulary).toArrow()
+    table = spark.sparkContext.broadcast(Table(frequent, vocabulary.value))
+    # Texts that share a key share their rare words, which does no harm.
+    uses = texts.select("key", "text").mapInArrow(_rare_uses(vocabulary, table), "key long, word string")
+    rare = uses.join(encoded(counted.where(F.col("n") < least), vocabulary), "word")
+    by_text = rare.groupBy("key").agg(F.collect_set(F.struct("word", "ids")).alias("rare"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    bodies = texts.select("doc_id", "key", "text").mapInArrow(_packed, f"doc_id {kind}, key long, body binary, size long")
+    none = F.array().cast("array<struct<word:string,ids:binary>>")
+    joined = bodies.join(by_text, "key", "left").select("doc_id", "body", "size", F.coalesce("rare", none).alias("rare"))
+    return joined, vocabulary, table
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -435,7 +504,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
     texts, vocabulary, table = _encoder(docs, path)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(_encode(vocabulary, table), f"doc_id {kind}, ids array<int>")
+    return texts.mapInArrow(_chain(_unpacked, _encode(vocabulary, table)), f"doc_id {kind}, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
@@ -447,10 +516,17 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     return plain.mapInArrow(_decode(vocabulary), f"doc_id {kind}, ids array<int>, decoded string")
 
 
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded``: as ``decode`` of ``encode``, with the vocabulary sent once."""
+    texts, vocabulary, table = _encoder(docs, path)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(_chain(_unpacked, _encode(vocabulary, table), _decode(vocabulary)), f"doc_id {kind}, ids array<int>, decoded string")
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``decoded`` (from the ids), ``n_tokens`` and ``ids_sha256``: ``encode`` and ``decode``
     of each text in one task, so that ids, which are as large as the texts, need not be sent on."""
     texts, vocabulary, table = _encoder(docs, path)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    steps = _chain(_encode(vocabulary, table), _decode(vocabulary), _digest)
+    steps = _chain(_unpacked, _encode(vocabulary, table), _decode(vocabulary), _digest)
     return texts.mapInArrow(steps, f"doc_id {kind}, decoded string, n_tokens long, ids_sha256 string")

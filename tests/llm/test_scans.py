@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 import struct
@@ -19,6 +20,7 @@ from loanweave.llm import bpe, components, decontamination, jaccard_join, lm_sco
 from loanweave.llm import textvec as V
 from tests.llm.helpers import LONG, alnum_words, awkward, blank_words, empty, lower
 
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -121,6 +123,32 @@ def test_jaccard_awkward(spark):
     assert jaccard_join.join(empty(spark)).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_jaccard_recall_on_the_tables(spark):
+    """Links found among all pairs of different texts: by brute force over the shingles of each."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sets, holders = {}, defaultdict(list)
+    for r in docs.collect():
+        words = tuple(alnum_words(r.text))
+        shingles = {words[i : i + 5] for i in range(len(words) - 4)}
+        if shingles:
+            sets[words] = (shingles, r.doc_id)
+    for words, (shingles, _) in sets.items():
+        for s in shingles:
+            holders[s].append(words)
+    shared = Counter()
+    for words, (shingles, _) in sets.items():
+        for s in shingles:
+            shared.update((words, other) for other in holders[s] if other < words)
+    wanted = Counter()
+    for (a, b), n in shared.items():
+        if n >= 0.8 * (len(sets[a][0]) + len(sets[b][0]) - n) - 1e-9:
+            wanted.update([sets[a][1], sets[b][1]])
+    found = {r.doc_id: r.n_links for r in jaccard_join.join(docs).collect()}
+    assert sum(wanted.values()) > 0
+    assert all(found[i] <= n for i, n in wanted.items()) and sum(found[i] for i in wanted) >= 0.99 * sum(wanted.values())
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (5, 5), (2, 1), (-4, 4), (20, 21)] + [(100 + i, 101 + i) for i in range(40)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
