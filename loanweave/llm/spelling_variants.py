@@ -5,7 +5,7 @@ filters, one shard for each word length: a member sets a few bits within one 64-
 The shards are broadcast; their size follows the counts of words up to a fixed bound, beyond
 which they let more pass. Tasks generate the edits of every word, as hashes that follow from
 the hash of the word, and probe the shard of the edit's length. Only deletions and
-replacements by a larger character are generated, as the other edits are these, seen from the
+replacements by a larger character (of those that the vocabulary has) are generated, as the other edits are these, seen from the
 other word; so each pair comes once. Positives are joined to the vocabulary by hash, and the
 edit itself is compared, which removes what the filters or equal hashes let through.
 """
@@ -31,11 +31,12 @@ LEAST_LENGTH, LEAST_COUNT, NOISE = 5, 3, 97
 SHARDS = 64
 #: Bits of a filter for each word, bits that a word sets, and most 64-bit blocks of all shards (32 MB).
 BITS_PER_WORD, SET_BITS, MOST_BLOCKS = 16, 4, 1 << 22
-#: Edits whose hashes are held at a time, and distinct runs in a task's counts.
-EDITS, COUNTED = 1 << 20, 1 << 17
+#: Patterns of ``SET_BITS`` bits that a hash chooses from.
+PATTERNS = 1 << 12
+#: Code points of words whose edits are made at a time (by one letter after the other; at least
+#: one word), and distinct runs in a task's counts.
+EDITS, COUNTED = 1 << 16, 1 << 17
 
-# The characters of words.
-ALPHABET = np.array([*range(0x61, 0x7B), *range(0xC0, 0x100)], np.uint64)
 _DELETED = 0  # stands for a deletion where a replacing character would stand
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,7 +147,7 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     length = np.array([len(w) for w in words], np.int64)
     for n in np.unique(length).tolist():
         at = np.flatnonzero(length == n)
-        step = max(EDITS // (n * (len(ALPHABET) + 1)), 1)
+        step = max(EDITS // n, 1)
         for lo in range(0, len(at), step):
             part = at[lo : lo + step]
             raw = "".join([words[i] for i in part.tolist()]).encode("utf-32-le")
@@ -157,8 +158,8 @@ def word_hashes(points: np.ndarray) -> np.ndarray:
     return _final((points * _weights(0, points.shape[1])).sum(axis=1, dtype=np.uint64), points.shape[1])
 
 
-def edits(points: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Length of the edits, and for each its word, place, new character and hash."""
+def edits(points: np.ndarray, alphabet: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Length of the edits, the new character, and for each its flat place in ``points`` and its hash."""
     m, n = points.shape
     weight = _weights(0, n)
     whole = (points * weight).sum(axis=1, dtype=np.uint64)
@@ -169,14 +170,14 @@ def edits(points: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.
         after[:, :-1] = moved[:, ::-1].cumsum(axis=1, dtype=np.uint64)[:, ::-1]
         new = np.ones((m, n), bool)
         new[:, :-1] = points[:, 1:] != points[:, :-1]
-        word, place = np.nonzero(new)
-        yield n - 1, word, place, np.full(len(word), _DELETED, np.uint64), _final(before[word, place] + after[word, place], n - 1)
-    step = max(EDITS // (m * len(ALPHABET)), 1)
-    for lo in range(0, n, step):
-        old = points[:, lo : lo + step]
-        word, place, letter = np.nonzero(ALPHABET > old[:, :, None])
-        char = ALPHABET[letter]
-        yield n, word, lo + place, char, _final(whole[word] + (char - old[word, place]) * weight[lo + place], n)
+        at = np.flatnonzero(new)
+        yield n - 1, _DELETED, at, _final((before + after).ravel()[at], n - 1)
+    without = (whole[:, None] - points * weight).ravel()
+    weights, old = np.broadcast_to(weight, (m, n)).ravel(), points.ravel()
+    for char in alphabet:
+        at = np.flatnonzero(old < char)
+        if len(at):
+            yield n, int(char), at, _final(without[at] + char * weights[at], n)
 
 
 # --- Bloom filters ---
@@ -186,6 +187,17 @@ def shard(length):
     return np.minimum(length, SHARDS)
 
 
+def _patterns() -> np.ndarray:
+    places = V.mix(np.arange(PATTERNS, dtype=np.uint64) + _GOLDEN)
+    out = np.zeros(PATTERNS, np.uint64)
+    for i in range(SET_BITS):
+        out |= np.uint64(1) << ((places >> np.uint64(6 * i)) & np.uint64(63))
+    return out
+
+
+_PATTERNS = _patterns()
+
+
 class Shards:
     """Where the blocks of each shard lie in one array, and the bits that a hash sets there."""
 
@@ -201,10 +213,7 @@ class Shards:
 
     @staticmethod
     def mask(hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes), np.uint64)
-        for i in range(SET_BITS):
-            out |= np.uint64(1) << ((hashes >> np.uint64(6 * i)) & np.uint64(63))
-        return out
+        return _PATTERNS[hashes & np.uint64(PATTERNS - 1)]
 
 
 def _members(shards: Shards):
@@ -237,7 +246,7 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out.view(np.int64))], [*batch.schema.names, "hash"])
 
 
-def _probe(shards: Shards, filter_: Broadcast):
+def _probe(shards: Shards, filter_: Broadcast, alphabet: np.ndarray):
     """(hash, edit, place, letter) of the edits that the filters let through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,14 +254,17 @@ def _probe(shards: Shards, filter_: Broadcast):
         for batch in batches:
             for _, points in by_length(batch.column("word").to_pylist()):
                 own = word_hashes(points).view(np.int64)
-                for length, word, place, char, hashes in edits(points):
+                found = []
+                for length, char, at, hashes in edits(points, alphabet):
                     k = int(shard(length))
-                    if not shards.size[k]:
-                        continue
-                    bits = shards.mask(hashes)
-                    some = np.flatnonzero(table[shards.block(hashes, k)] & bits == bits)
-                    columns = [own[word[some]], hashes[some].view(np.int64), place[some].astype(np.int64), char[some].astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "edit", "place", "letter"])
+                    if shards.size[k]:
+                        bits = shards.mask(hashes)
+                        some = np.flatnonzero(table[shards.block(hashes, k)] & bits == bits)
+                        word, place = np.divmod(at[some], points.shape[1])
+                        found.append((own[word], hashes[some].view(np.int64), place, np.full(len(some), char)))
+                if found:
+                    columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)]
+                    yield pa.RecordBatch.from_arrays(columns, ["hash", "edit", "place", "letter"])
 
     return run
 
@@ -260,16 +272,20 @@ def _probe(shards: Shards, filter_: Broadcast):
 # --- pairs, forms and roots ---
 
 
-def near_pairs(words: DataFrame) -> DataFrame:
-    """(word, n, other, other_n): pairs of words (``word``, ``n``, ``hash``) one edit apart, each once."""
+def near_pairs(words: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """(word, n, other, other_n): pairs of words (``word``, ``n``, ``hash``) one edit apart, each once;
+    and the filters that they are found through, which can be destroyed once the pairs are stored."""
     sizes = words.groupBy(F.least(F.length("word"), F.lit(SHARDS)).alias("k")).count().collect()  # a row for each shard
     shards = Shards({r["k"]: r["count"] for r in sizes})
     filter_ = build_filter(words, shards)
-    positives = words.select("word").mapInArrow(_probe(shards, filter_), "hash long, edit long, place long, letter long")
+    letters = words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c")).distinct().collect()  # at most 90
+    alphabet = np.array(sorted(ord(r["c"]) for r in letters if r["c"]), np.uint64)
+    positives = words.select("word").mapInArrow(_probe(shards, filter_, alphabet), "hash long, edit long, place long, letter long")
     others = words.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("hash").alias("edit"))
     start, rest = F.expr("substring(word, 1, CAST(place AS INT))"), F.expr("substring(word, CAST(place AS INT) + 2)")
     made = F.concat(start, F.when(F.col("letter") == _DELETED, F.lit("")).otherwise(F.chr("letter")), rest)
-    return positives.join(others, "edit").join(words, "hash").where(made == F.col("other")).select("word", "n", "other", "other_n")
+    pairs = positives.join(others, "edit").join(words, "hash").where(made == F.col("other"))
+    return pairs.select("word", "n", "other", "other_n"), filter_
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -298,7 +314,7 @@ def group(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     with staged(vocabulary(docs).mapInArrow(_hash, "word string, n long, hash long"), "variants-words") as words:
-        pairs = near_pairs(words)
+        pairs, filter_ = near_pairs(words)
         both = pairs.unionByName(pairs.select(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))
         near = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("form"))).alias("best"))
         fits = -F.col("best.less") >= 2 * F.col("n")
@@ -308,5 +324,6 @@ def group(docs: DataFrame) -> DataFrame:
             ),
             "variants-forms",
         ) as forms:
+            filter_.destroy()
             roots = _roots(forms.where("form IS NOT NULL"))
             return stage(forms.join(roots, "word", "left").withColumn("root", F.coalesce("root", "word")), "variants")

@@ -99,8 +99,8 @@ def test_runs(text):
 def test_edits(word):
     made = {}
     (_, points), *_ = variants.by_length([word])
-    for _, _, place, char, hashes in variants.edits(points):
-        for p, c, h in zip(place.tolist(), char.tolist(), hashes.tolist()):
+    for _, c, place, hashes in variants.edits(points, np.array(sorted(map(ord, LETTERS)), np.uint64)):
+        for p, h in zip(place.tolist(), hashes.tolist()):
             made[word[:p] + (chr(c) if c else "") + word[p + 1 :]] = h
     assert len(made) == len(set(made.values()))
     assert set(made) == {e for e in one_edit(word) if e and len(e) <= len(word) and (len(e) < len(word) or e > word)}
