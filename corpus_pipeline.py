@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loanweave.llm import bpe, decontamination, jaccard_join, quality_classifier, toxicity
 from loanweave.llm.common import table
-from loanweave.sources.staging import stage
+from loanweave.sources.staging import scratch, stage
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -42,8 +42,7 @@ def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode_and_decode(docs, public_tokenizers.path(TOKENIZER))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -61,5 +60,6 @@ ORACLE_SQL = None  # models and BPE have no SQL form
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):  # what a stage's operators have staged goes once its result is written
+            docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
