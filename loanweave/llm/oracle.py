@@ -152,3 +152,25 @@ WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
 QUALIFY row_number() OVER w <= 10
 """
 ORACLE["op12_hard_negative_mining"] = HARD_NEGATIVES
+
+# Bytes as pairs of hexadecimal digits, so that strings can be cut at any byte.
+SUFFIX_DEDUP = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT r, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM docs WHERE doc_id IS NOT NULL),
+strings AS (SELECT r, doc_id, p, hash(substr(h, 2 * p + 1, 100)) AS s FROM places),
+firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT r, p FROM strings JOIN firsts USING (s) WHERE first < doc_id),
+marked AS (SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM hits),
+spans AS (
+  SELECT r, min(p) AS a, max(p) + 50 AS b
+  FROM (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS span FROM marked) GROUP BY r, span),
+gaps AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT r, max(b), max(b) + 1000000000 FROM spans GROUP BY r),
+kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gaps JOIN docs USING (r) GROUP BY r),
+counts AS (SELECT r, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, CAST(len(docs.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, docs.h))) AS kept_sha256
+FROM docs LEFT JOIN counts USING (r) LEFT JOIN kept USING (r)
+"""
+ORACLE["op11_suffix_array_dedup"] = SUFFIX_DEDUP
