@@ -20,8 +20,9 @@ from loanweave.llm import cover_tree
 from loanweave.llm.common import ship, shuffle_partitions
 from loanweave.sources.staging import stage, staged
 
-#: Expected rows of a tree and anchors of a block.
-TREE_ROWS, BLOCK = 8192, 512
+#: Expected rows of a tree and anchors of a block, and pairs of a tree and a block in a task: the
+#: pairs of a task reach Python together, a tree being some megabytes.
+TREE_ROWS, BLOCK, PAIRS = 8192, 512, 12
 #: Components become ``floor(SCALE * x)``; a row with a larger |x| takes no part, so that scores fit.
 SCALE, LARGEST = 256, float(1 << 17)
 
@@ -103,7 +104,7 @@ def _asked(anchors: DataFrame, trees: DataFrame, parts: int, blocks: int, same:
     """The anchors in blocks, each block searched in every tree."""
     gathered = anchors.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.expr(_ANCHOR)).alias("anchors"))
     everywhere = gathered.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    tasks = min(parts * blocks, max(shuffle_partitions(anchors.sparkSession), parts))
+    tasks = max(-(-parts * blocks // PAIRS), min(parts * blocks, shuffle_partitions(anchors.sparkSession)))
     pairs = everywhere.join(trees, "part").repartition(tasks, "part", "block")
     return pairs.select("anchors", "tree").mapInArrow(_search(same, size, low, high), "anchor_id long, positive_id long, positive_score long, other_id long, score long")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 import corpus_pipeline
 from loanweave.llm import decontamination, jaccard_join, quality_classifier, registry, toxicity
+from loanweave.sources.staging import staging_root
 from tests.llm.helpers import awkward
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -60,7 +61,11 @@ def test_pipeline(spark):
         docs = out
     coded = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert ids(coded) == ids(docs) and coded.where("n_tokens != size(ids)").count() == 0
+    there = lambda: set(os.listdir(staging_root(spark).removeprefix("file:")))
+    before = there()
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()) == ids(docs)
+    # what the stages' operators staged is gone, but for the last stage, whose result is not written
+    assert {name.split("-")[0] for name in there() - before} == {"pipeline", "bpe"}
 
 
 def test_stages_with_awkward_rows(spark):
