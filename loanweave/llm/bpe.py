@@ -38,6 +38,8 @@ from loanweave.sources.staging import stage
 TABLE_WORDS, TABLE_WORD_BYTES = 1 << 20, 64
 #: Long words in a task's cache, words in its counts before it sends them, and rows unpacked at a time.
 CACHE_WORDS, COUNTED_WORDS, UNPACKED_ROWS = 1 << 12, 1 << 17, 256
+#: Stands between a word and its ids; no byte of UTF-8.
+_END = b"\xff"
 #: Longer words are merged with a heap instead of a scan.
 LONG_WORD = 256
 
@@ -361,7 +363,7 @@ def _rare_uses(vocabulary: Broadcast, shared: Broadcast):
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``text`` becomes its compressed bytes in ``body`` and their length before in ``size``."""
-    pack = pa.Codec("zstd")
+    pack = pa.Codec("zstd", compression_level=6)
     for batch in batches:
         raw = [t.encode() for t in batch.column("text").to_pylist()]
         bodies = [pack.compress(t, asbytes=True) for t in raw]
@@ -382,7 +384,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _encode(vocabulary: Broadcast, shared: Broadcast):
-    """``text`` and ``rare`` (its words outside the table, with their ids) become ``ids``."""
+    """``text`` and ``rare`` (its words outside the table, each with its ids) become ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, table, cache = vocabulary.value, shared.value, {}
@@ -399,8 +401,8 @@ def _encode(vocabulary: Broadcast, shared: Broadcast):
         for batch in batches:
             for lo, texts in _chunks(batch.column("text")):
                 part = batch.slice(lo, len(texts))
-                uses = part.column("rare").flatten()
-                rare = dict(zip(uses.field("word").to_pylist(), uses.field("ids").to_pylist())) if len(uses) else {}
+                uses = [use.partition(_END) for use in part.column("rare").flatten().to_pylist()]
+                rare = {word.decode(): ids for word, _, ids in uses}
                 words = cut(texts, vocab)
                 found = find(words, table)
                 names = [words.word(i) for i in found.index[~found.known].tolist()]
@@ -484,10 +486,11 @@ def _encoder(docs: DataFrame, path: str) -> tuple[DataFrame, Broadcast, Broadcas
     # Texts that share a key share their rare words, which does no harm.
     uses = texts.select("key", "text").mapInArrow(_rare_uses(vocabulary, table), "key long, word string")
     rare = uses.join(encoded(counted.where(F.col("n") < least), vocabulary), "word")
-    by_text = rare.groupBy("key").agg(F.collect_set(F.struct("word", "ids")).alias("rare"))
+    pair = F.concat(F.col("word").cast("binary"), F.lit(_END), "ids")
+    by_text = rare.groupBy("key").agg(F.collect_set(pair).alias("rare"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     bodies = texts.select("doc_id", "key", "text").mapInArrow(_packed, f"doc_id {kind}, key long, body binary, size long")
-    none = F.array().cast("array<struct<word:string,ids:binary>>")
+    none = F.array().cast("array<binary>")
     joined = bodies.join(by_text, "key", "left").select("doc_id", "body", "size", F.coalesce("rare", none).alias("rare"))
     return joined, vocabulary, table
 
