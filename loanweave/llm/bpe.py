@@ -255,7 +255,8 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 def _count_words(vocabulary: Broadcast):
     def rows(counts: dict[str, int]) -> pa.RecordBatch:
-        short = [(w, n) for w, n in counts.items() if len(w) <= TABLE_WORD_BYTES]
+        # in order, so that neighbours in a shuffle file share their beginnings and pack well
+        short = sorted((w, n) for w, n in counts.items() if len(w) <= TABLE_WORD_BYTES)
         columns = [pa.array([w for w, _ in short], pa.string()), pa.array([n for _, n in short], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
@@ -479,7 +480,7 @@ def _encoder(docs: DataFrame, path: str) -> tuple[DataFrame, Broadcast, Broadcas
     ship(spark)
     vocabulary = spark.sparkContext.broadcast(Vocabulary.load(path))
     texts = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = stage(count_words(texts.select("text"), vocabulary), "bpe-words")
+    counted = stage(count_words(texts.select("text"), vocabulary).sortWithinPartitions("word"), "bpe-words")
     least = least_frequent(counted, "n", TABLE_WORDS)
     frequent = encoded(counted.where(F.col("n") >= least), vocabulary).toArrow()
     table = spark.sparkContext.broadcast(Table(frequent, vocabulary.value))
