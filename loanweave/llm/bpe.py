@@ -279,10 +279,18 @@ def _count_words(vocabulary: Broadcast):
     return run
 
 
-def _encode_table(vocabulary: Broadcast):
+def id_type(vocabulary: Vocabulary) -> np.dtype:
+    """The shortest integers that hold the ids of rare words, which travel."""
+    return np.dtype("<u2" if len(vocabulary.pieces) <= 1 << 16 else "<u4")
+
+
+def _encode_table(vocabulary: Broadcast, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [vocabulary.value.encode_word(w) for w in batch.column("word").to_pylist()]
+            if short:
+                kind = id_type(vocabulary.value)
+                ids = [np.frombuffer(x, "<u4").astype(kind).tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], ["word", "ids"])
 
     return run
@@ -294,9 +302,9 @@ def count_words(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
     return counted.where(F.octet_length("word") <= TABLE_WORD_BYTES)
 
 
-def encoded(words: DataFrame, vocabulary: Broadcast) -> DataFrame:
-    """(word, ids) of distinct words, each encoded once."""
-    return words.select("word").mapInArrow(_encode_table(vocabulary), "word string, ids binary")
+def encoded(words: DataFrame, vocabulary: Broadcast, short: bool = False) -> DataFrame:
+    """(word, ids) of distinct words, each encoded once; ids of 4 bytes, or ``short`` ones of ``id_type``."""
+    return words.select("word").mapInArrow(_encode_table(vocabulary, short), "word string, ids binary")
 
 
 class Table:
@@ -389,6 +397,7 @@ def _encode(vocabulary: Broadcast, shared: Broadcast):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, table, cache = vocabulary.value, shared.value, {}
+        kind = id_type(vocab)
 
         def long_word(word: str) -> np.ndarray:
             ids = cache.get(word)
@@ -407,7 +416,7 @@ def _encode(vocabulary: Broadcast, shared: Broadcast):
                 words = cut(texts, vocab)
                 found = find(words, table)
                 names = [words.word(i) for i in found.index[~found.known].tolist()]
-                more = [np.frombuffer(rare[w], np.int32) if w in rare else long_word(w) for w in names]
+                more = [np.frombuffer(rare[w], kind).astype(np.int32) if w in rare else long_word(w) for w in names]
                 size, start = np.empty(len(found.index), np.int64), np.empty(len(found.index), np.int64)
                 size[found.known], start[found.known] = table.size[found.place[found.known]], table.start[found.place[found.known]]
                 size[~found.known] = [len(m) for m in more]
@@ -486,7 +495,7 @@ def _encoder(docs: DataFrame, path: str) -> tuple[DataFrame, Broadcast, Broadcas
     table = spark.sparkContext.broadcast(Table(frequent, vocabulary.value))
     # Texts that share a key share their rare words, which does no harm.
     uses = texts.select("key", "text").mapInArrow(_rare_uses(vocabulary, table), "key long, word string")
-    rare = uses.join(encoded(counted.where(F.col("n") < least), vocabulary), "word")
+    rare = uses.join(encoded(counted.where(F.col("n") < least), vocabulary, short=True), "word")
     pair = F.concat(F.col("word").cast("binary"), F.lit(_END), "ids")
     by_text = rare.groupBy("key").agg(F.collect_set(pair).alias("rare"))
     kind = docs.schema["doc_id"].dataType.simpleString()
