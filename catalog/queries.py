@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.views import view
+from catalog.views import stored_views, view
 from loanweave.functions import expressions as X
 from loanweave.functions.roles import matching, numeric_columns, text_columns
 from loanweave.operators import aggregates as A
@@ -258,7 +259,7 @@ def null_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_reduction(spark: SparkSession, sf: str) -> DataFrame:
-    raw = {n: stage(view(spark, sf, n), n) if n in JOINED else view(spark, sf, n) for n in VIEWS}
+    raw = stored_views(spark, sf, VIEWS)
     return profile.null_reduction(raw, {n: cleaning.clean(raw[n], SPECS[n]) for n in VIEWS})
 
 
@@ -294,15 +295,23 @@ def late_indicator(df: DataFrame) -> DataFrame:
 # Verification
 
 
+def _each_role(step: Callable[[str], object]) -> dict:
+    """A step for every table, as concurrent jobs: the many short stages of the fits share the cluster."""
+    with ThreadPoolExecutor(max_workers=len(ROLES)) as pool:
+        return dict(zip(ROLES, pool.map(step, ROLES)))
+
+
 def _stored_cleaned(spark: SparkSession, sf: str) -> tuple[dict, list[str], dict]:
     """The cleaned views, written and read back under the table names they stand for."""
-    paths, shapes = {}, {}
-    for table, (name, columns) in ROLES.items():
-        raw = view(spark, sf, name)
-        raw = stage(raw, name) if name in JOINED else raw
-        paths[table] = staging_path(spark, table)
-        write_parquet(cleaning.clean(raw, SPECS[name]), paths[table])
-        shapes[table] = (raw.count(), columns)
+    raw = stored_views(spark, sf, VIEWS)
+    paths = {table: staging_path(spark, table) for table in ROLES}
+
+    def write(table: str) -> tuple[int, int]:
+        name, columns = ROLES[table]
+        write_parquet(cleaning.clean(raw[name], SPECS[name]), paths[table])
+        return raw[name].count(), columns
+
+    shapes = _each_role(write)
     paths["absent"] = staging_path(spark, "absent")  # never written
     tables, missing = load_existing(spark, paths)
     return tables, missing, shapes
@@ -316,12 +325,11 @@ def verify_cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 def verify_on_write(spark: SparkSession, sf: str) -> DataFrame:
     """The same checks, taken by the tasks that write the cleaned tables."""
-    spark, tables, paths, shapes = spark.newSession(), {}, {}, {}
-    for table, (name, columns) in ROLES.items():
-        raw = view(spark, sf, name)
-        raw = stage(raw, name) if name in JOINED else raw
-        tables[table], paths[table] = cleaning.clean(raw, SPECS[name]), staging_path(spark, table)
-        shapes[table] = (raw.count(), columns)
+    spark = spark.newSession()
+    raw = stored_views(spark, sf, VIEWS)
+    paths = {table: staging_path(spark, table) for table in ROLES}
+    shapes = {table: (raw[name].count(), columns) for table, (name, columns) in ROLES.items()}
+    tables = _each_role(lambda table: cleaning.clean(raw[ROLES[table][0]], SPECS[ROLES[table][0]]))
     return prepare.write_checked(tables, paths, DROPPED, shapes, ACCEPTABLE, DAYS, "days_employed")
 
 

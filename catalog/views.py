@@ -6,11 +6,14 @@ ANSI SQL, but for the number of days between two dates.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanweave.sources.staging import stage
+
 Columns = tuple[str, ...]
 ORIGIN = "DATE '2002-01-01'"
 LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -120,12 +123,33 @@ _SPARK = _without_label(_views(lambda c: f"datediff({c}, {ORIGIN})"))
 _ANSI = _without_label(_views(lambda c: f"date_diff('day', {ORIGIN}, CAST({c} AS DATE))"))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    source, columns = _SPARK[name]
+def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     first, *rest = [spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in source.split(" ON ")[0].split(" JOIN ")]
     for other in rest:
         first = first.join(other, F.expr(source.split(" ON ")[1]))
-    return first.selectExpr(*columns)
+    return first
+
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    source, columns = _SPARK[name]
+    return _source(spark, sf_dir, source).selectExpr(*columns)
+
+
+def stored_views(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """The views by name, for callers that scan them several times. Those over one join share it:
+    the columns that they need of it are staged once."""
+    out, joins = {}, {}
+    for name in names:
+        source, columns = _SPARK[name]
+        if " JOIN " in source:
+            joins.setdefault(source, []).append(name)
+        out[name] = view(spark, sf_dir, name)
+    for source, own in joins.items():
+        joined = _source(spark, sf_dir, source)
+        words = set(re.findall(r"\w+", " ".join(c for name in own for c in _SPARK[name][1])))
+        rows = stage(joined.select([c for c in joined.columns if c in words]), "joined")
+        out |= {name: rows.selectExpr(*_SPARK[name][1]) for name in own}
+    return out
 
 
 def ansi(name: str) -> str:
