@@ -1,15 +1,23 @@
 """Hard-negative mining with cover trees.
 
 Rows are dealt by a hash of their id into parts of about ``TREE_ROWS``; each part becomes a
-cover tree, written once. Anchors are dealt into blocks of about ``BLOCK``, and every block
-meets every tree: first to find the anchors' positives, then, with the windows of scores that
-follow from these, for the negatives. A tree returns only the first rows of each window; the
-first of all trees are found by a window function over these few rows.
+cover tree, written once. Every anchor meets every tree: first to find the anchors' positives,
+then, with the windows of scores that follow from these, for the negatives.
+
+A task holds a group of trees, and the anchors come by in blocks of up to ``BLOCK``. So a tree
+moves once (or once for each lane, where there are more tasks to fill than groups), and an
+anchor once for each group. Both go to their tasks by number: nothing is joined or broadcast, and
+the tasks grow with the bytes of the trees, not with pairs of trees and blocks. A task returns
+only the first rows of each window; the first of all tasks are found by a window function over
+these. Where there are many groups, a look at some of the trees first tells how high a score
+must be at least, so that the tasks return few rows that others beat.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +28,17 @@ from loanweave.llm import cover_tree
 from loanweave.llm.common import ship, shuffle_partitions
 from loanweave.sources.staging import stage, staged
 
-#: Expected rows of a tree and anchors of a block, and pairs of a tree and a block in a task: the
-#: pairs of a task reach Python together, a tree being some megabytes.
-TREE_ROWS, BLOCK, PAIRS = 8192, 512, 12
+#: Expected rows of a tree, most anchors of a block, and about the bytes of the trees of a task.
+TREE_ROWS, BLOCK, HELD = 8192, 512, 32 << 20
+#: One of so many trees is looked at first, if there are more than twice as many groups.
+LOOK = 16
 #: Components become ``floor(SCALE * x)``; a row with a larger |x| takes no part, so that scores fit.
 SCALE, LARGEST = 256, float(1 << 17)
 
-_ANCHOR = "struct(vec_id, label, vector, windows)"
+#: Windows of an anchor: for each positive its id and score, and the least score asked for as far as
+#: it is known. The window for the positives themselves has neither id nor score.
+_WINDOWS = "array<struct<id: bigint, score: bigint, least: bigint>>"
+_FOUND = "anchor_id long, positive_id long, positive_score long, other_id long, score long"
 
 
 def whole_vectors(rows: DataFrame) -> DataFrame:
@@ -35,7 +47,7 @@ def whole_vectors(rows: DataFrame) -> DataFrame:
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull()).where(F.forall(x, lambda v: v.between(-LARGEST, LARGEST)))
     whole = usable.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.struct(F.col("label").cast("long").alias("label"), F.transform(x, lambda v: F.floor(v * SCALE)).alias("vector")).alias("row"),
+        F.struct(F.col("label").cast("long").alias("label"), F.transform(x, lambda v: F.floor(v * SCALE).cast("int")).alias("vector")).alias("row"),
     )
     return whole.groupBy("vec_id").agg(F.min("row").alias("row")).select("vec_id", "row.label", "row.vector")
 
@@ -49,64 +61,108 @@ def _matrix(vectors: pa.Array, width: int = 0) -> np.ndarray:
     return out
 
 
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return [(lo, hi) for lo, hi in zip(cuts[:-1], cuts[1:]) if hi > lo]
+
+
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trees of the parts whose rows follow each other."""
 
     def tree(part: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
         ids, labels = rows.column("vec_id").to_numpy(), rows.column("label").to_numpy()
-        made = cover_tree.build(_matrix(rows.column("vector").combine_chunks()).astype(np.int32), ids, labels)
-        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([made.to_bytes()], pa.binary())], ["part", "tree"])
+        vectors = _matrix(rows.column("vector").combine_chunks())
+        small = np.abs(vectors).max(initial=0) <= np.iinfo(np.int16).max
+        made = cover_tree.build(vectors.astype(np.int16 if small else np.int32), ids, labels).to_bytes()
+        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([len(made)]), pa.array([made], pa.binary())], ["part", "bytes", "tree"])
 
     now, held = None, []
     for batch in batches:
-        parts = batch.column("part").to_numpy()
-        cuts = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if hi > lo:
-                if now is not None and parts[lo] != now:
-                    yield tree(now, held)
-                    held = []
-                now = int(parts[lo])
-                held.append(batch.slice(lo, hi - lo))
+        for lo, hi in _runs(batch.column("part").to_numpy()):
+            part = batch.column("part")[lo].as_py()
+            if now is not None and part != now:
+                yield tree(now, held)
+                held = []
+            now = part
+            held.append(batch.slice(lo, hi - lo))
     if held:
         yield tree(now, held)
 
 
-def _search(same: bool, size: int, low: int, high: int):
-    """First rows of every window of every anchor in one tree. Without windows: of all scores."""
+def _block(rows: pa.RecordBatch, size: int, low: int, high: int) -> tuple[cover_tree.Block, np.ndarray, np.ndarray]:
+    """The anchors as a block, and the ids and scores of the positives of their windows, query by query."""
+    asked = rows.column("windows")
+    ends, flat = asked.offsets.to_numpy(), asked.values
+    ids, scores, least = (flat.field(k).slice(ends[0], ends[-1] - ends[0]).to_pylist() for k in ("id", "score", "least"))
+    # In Python's whole numbers, as a product with a large score may not fit.
+    lows = [cover_tree.LEAST if s is None else -(-low * s // 100) for s in scores]
+    highs = [cover_tree.MOST if s is None else high * s // 100 for s in scores]
+    lows = [lo if x is None else max(lo, x) for lo, x in zip(lows, least)]
+    size_of = np.diff(ends)
+    place = np.arange(size_of.max(initial=1)) < size_of[:, None]
+
+    def wide(values: list[int | None], none: int) -> np.ndarray:
+        out = np.full(place.shape, none, np.int64)
+        out[place] = [0 if v is None else v for v in values]
+        return out
+
+    block = cover_tree.Block(
+        _matrix(rows.column("vector")), rows.column("vec_id").to_numpy(), rows.column("label").to_numpy(), wide(lows, cover_tree.MOST), wide(highs, cover_tree.LEAST), size
+    )
+    return block, wide(ids, 0).ravel(), wide(scores, 0).ravel()
+
+
+def _search(same: bool, size: int, low: int, high: int, most: int):
+    """First rows of every window of every anchor in the trees of a task, which come before its anchors."""
+
+    def found(trees: list[cover_tree.Tree], rows: pa.RecordBatch) -> pa.RecordBatch:
+        block, positive, positive_score = _block(rows, size, low, high)
+        for tree in trees:
+            cover_tree.search_all(tree, block, same)
+        block.settle()
+        window, score, other = block.held
+        columns = [block.ids[window // block.least.shape[1]], *([None] * 2 if same else [positive[window], positive_score[window]]), other, score]
+        names = ["anchor_id", "positive_id", "positive_score", "other_id", "score"]
+        return pa.RecordBatch.from_arrays([pa.nulls(len(window), pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, trees = None, []
         for batch in batches:
-            for i in range(batch.num_rows):
-                tree = cover_tree.Tree.from_bytes(batch.column("tree")[i].as_py())
-                anchors = batch.column("anchors")[i].values
-                queries = _matrix(anchors.field("vector"), tree.vectors.shape[1])
-                members = np.pad(tree.vectors, ((0, 0), (0, queries.shape[1] - tree.vectors.shape[1])))
-                tree.vectors = members
-                ids, labels, asked = anchors.field("vec_id").to_pylist(), anchors.field("label").to_pylist(), anchors.field("windows").to_pylist()
-                out = []
-                for anchor, label, query, windows in zip(ids, labels, queries, asked):
-                    if same:
-                        best = [cover_tree.Best(-np.inf, np.inf, size)]
-                    else:
-                        best = [cover_tree.Best(-(-low * w["score"] // 100), high * w["score"] // 100, size) for w in windows]
-                    cover_tree.search(tree, query, label, same, anchor, best)
-                    for n, b in enumerate(best):
-                        out += [(anchor, None if same else windows[n]["id"], None if same else windows[n]["score"], o, s) for o, s in zip(b.ids.tolist(), b.scores.tolist())]
-                columns = list(zip(*out)) if out else [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["anchor_id", "positive_id", "positive_score", "other_id", "score"])
+            for lo, hi in _runs(batch.column("task").to_numpy()):
+                if batch.column("task")[lo].as_py() != now:
+                    now, trees = batch.column("task")[lo].as_py(), []
+                own = batch.slice(lo, hi - lo)
+                n = len(own) - own.column("tree").null_count
+                trees += [cover_tree.Tree.from_bytes(raw.as_py()) for raw in own.column("tree").slice(0, n)]
+                for begin in range(n, len(own), most):
+                    yield found(trees, own.slice(begin, min(most, len(own) - begin)))
 
     return run
 
 
-def _asked(anchors: DataFrame, trees: DataFrame, parts: int, blocks: int, same: bool, size: int, low: int = 0, high: int = 0) -> DataFrame:
-    """The anchors in blocks, each block searched in every tree."""
-    gathered = anchors.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.expr(_ANCHOR)).alias("anchors"))
-    everywhere = gathered.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    tasks = max(-(-parts * blocks // PAIRS), min(parts * blocks, shuffle_partitions(anchors.sparkSession)))
-    pairs = everywhere.join(trees, "part").repartition(tasks, "part", "block")
-    return pairs.select("anchors", "tree").mapInArrow(_search(same, size, low, high), "anchor_id long, positive_id long, positive_score long, other_id long, score long")
+def _tasks(n: int, a: int, parts: int, size: int, partitions: int) -> tuple[int, int]:
+    """Groups that ``size`` bytes of trees are dealt into, and lanes of anchors.
+
+    As many groups as memory asks for. Where that leaves partitions empty, more of both: a lane
+    moves all rows, a group all anchors with about three times their size in rows found.
+    """
+    least = min(parts, -(-size // HELD) or 1)
+    groups = max(least, min(parts, partitions, math.ceil(math.sqrt(partitions * n / (4 * max(a, 1))))))
+    return groups, max(min(-(-a // BLOCK), partitions // groups), 1)
+
+
+def _dealt(anchors: DataFrame, trees: DataFrame, groups: int, lanes: int) -> DataFrame:
+    """Trees and anchors of each task, in its partition, the trees first. Anchors of a label follow each other."""
+    each = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    task = (F.col("group") * lanes + F.col("lane")).cast("int").alias("task")
+    blank = lambda *names: [F.lit(None).cast(anchors.schema[c].dataType).alias(c) for c in names]
+    columns = ("vec_id", "label", "vector", "windows")
+    held = trees.withColumn("group", F.col("place") % groups).withColumn("lane", each(lanes)).select(task, "tree", *blank(*columns))
+    asking = anchors.withColumn("lane", F.pmod(F.xxhash64("vec_id"), F.lit(lanes))).withColumn("group", each(groups))
+    both = held.unionByName(asking.select(task, F.lit(None).cast("binary").alias("tree"), *columns))
+    return both.repartitionById(groups * lanes, "task").sortWithinPartitions("task", F.col("tree").isNull(), "label")
 
 
 def _first(found: DataFrame, size: int, *by: str) -> DataFrame:
@@ -132,17 +188,34 @@ def mine(rows: DataFrame, anchor: Column, positives: int = 5, negatives: int = 1
     """
     spark = rows.sparkSession
     ship(spark)
-    with staged(whole_vectors(rows).withColumn("windows", F.expr("CAST(array() AS array<struct<id: bigint, score: bigint>>)")), "negatives-rows") as whole:
-        anchors = whole.where(anchor)
-        n, a = whole.count(), anchors.count()
-        parts, blocks = -(-n // TREE_ROWS) or 1, -(-a // BLOCK) or 1
-        dealt = whole.select("vec_id", "label", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("part"))
-        grown = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_build, "part long, tree binary")
-        with staged(grown, "negatives-trees") as trees:
-            near = _first(_asked(anchors, trees, parts, blocks, True, positives), positives, "anchor_id")
-            windows = near.groupBy("anchor_id").agg(F.collect_list(F.struct(F.col("other_id").alias("id"), "score")).alias("windows"))
-            asking = anchors.drop("windows").join(windows.withColumnRenamed("anchor_id", "vec_id"), "vec_id")
-            with staged(asking, "negatives-anchors") as wide:
-                found = _asked(wide, trees, parts, blocks, False, negatives, low, high)
-                best = _first(found, negatives, "anchor_id", "positive_id").select("anchor_id", "positive_id", "rank", F.col("other_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
-                return stage(best, "negatives")
+    partitions = shuffle_partitions(spark)
+    with ExitStack() as copies:
+        with staged(whole_vectors(rows), "negatives-rows") as whole:
+            anchors = copies.enter_context(staged(whole.where(anchor), "negatives-marked"))
+            n, a = whole.count(), anchors.count()
+            parts = -(-n // TREE_ROWS) or 1
+            dealt = whole.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)))
+            builders = min(parts, max(partitions, -(-parts // LOOK)))
+            grown = dealt.repartition(builders, "part").sortWithinPartitions("part").mapInArrow(_build, "part long, bytes long, tree binary")
+            trees = copies.enter_context(staged(grown, "negatives-trees"))
+        size = trees.agg(F.sum("bytes")).first()[0] or 0
+
+        def best(asking: DataFrame, same: bool, most: int) -> DataFrame:
+            def found(among: DataFrame, share: int) -> DataFrame:
+                groups, lanes = _tasks(n // share, a, -(-parts // share), size // share, partitions)
+                tasks = _dealt(asking, among.withColumn("place", F.expr(f"part div {share}")), groups, lanes)
+                return _first(tasks.mapInArrow(_search(same, most, low, high, BLOCK), _FOUND), most, "anchor_id", "positive_id")
+
+            if _tasks(n, a, parts, size, partitions)[0] > 2 * LOOK:
+                last = found(trees.where(F.col("part") % LOOK == 0), LOOK).where(F.col("rank") == most)
+                known = last.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.collect_list(F.struct("positive_id", "score")).alias("known"))
+                least = F.expr("transform(windows, w -> struct(w.id, w.score, get(filter(known, k -> k.positive_id <=> w.id), 0).score AS least))")
+                joined = asking.join(known.hint("merge"), "vec_id", "left").withColumn("windows", least).drop("known")
+                asking = copies.enter_context(staged(joined, "negatives-known"))
+            return found(trees, 1)
+
+        near = best(anchors.withColumn("windows", F.expr(f"CAST(array((NULL, NULL, NULL)) AS {_WINDOWS})")), True, positives)
+        windows = near.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.expr(f"CAST(collect_list(struct(other_id, score, NULL)) AS {_WINDOWS})").alias("windows"))
+        asking = copies.enter_context(staged(anchors.join(windows.hint("merge"), "vec_id"), "negatives-anchors"))
+        columns = ["anchor_id", "positive_id", "rank", F.col("other_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")]
+        return stage(best(asking, False, negatives).select(columns), "negatives")

@@ -93,3 +93,57 @@ def test_radii_cover_and_bound():
     want = fits[np.lexsort((tree.ids[fits], -scores[fits]))][:5]
     assert best.ids.tolist() == tree.ids[want].tolist()
     assert sum(opened) < 0.5 * len(fits)  # most nodes are skipped on clustered vectors
+
+
+@pytest.mark.parametrize("scale", [1, 3000, 1 << 18])  # products exact as float32, float64, whole numbers
+def test_block_equals_single_searches(scale):
+    draw = np.random.default_rng(scale)
+    x = draw.integers(-128, 129, (900, 12)) * scale
+    x[draw.integers(0, 900, 200)] = x[5]  # ties
+    labels, ids = draw.integers(0, 4, 900), draw.permutation(900)
+    trees = [cover_tree.build(x[k::3].astype(np.int32), ids[k::3], labels[k::3]) for k in range(3)]
+    asked = np.arange(0, 900, 9)
+    top = np.abs(x[asked] @ x.T).max()
+    low = np.stack([draw.integers(-top, top, len(asked)), np.full(len(asked), cover_tree.LEAST), np.full(len(asked), top)], axis=1)
+    high = np.stack([low[:, 0] + top // 3, np.full(len(asked), cover_tree.MOST), np.full(len(asked), -top)], axis=1)  # the last window is empty
+    for same in (True, False):
+        block = cover_tree.Block(x[asked], ids[asked], labels[asked], low, high, 7)
+        singles = {(i, w): cover_tree.Best(float("-inf") if w == 1 else low[i, w], float("inf") if w == 1 else high[i, w], 7) for i in range(len(asked)) for w in (0, 1)}
+        for tree in trees:
+            cover_tree.search_all(cover_tree.Tree.from_bytes(tree.to_bytes()), block, same)
+            for i, a in enumerate(asked):
+                cover_tree.search(tree, x[a], labels[a], same, ids[a], [singles[i, 0], singles[i, 1]])
+        block.settle()
+        want = [(i * 3 + w, s, o) for (i, w), b in sorted(singles.items()) for s, o in zip(b.scores.tolist(), b.ids.tolist())]
+        assert list(zip(*(c.tolist() for c in block.held))) == want != []
+
+
+@pytest.mark.parametrize("look", [1, 2])
+def test_first_look_changes_nothing(spark, monkeypatch, look):
+    monkeypatch.setattr(hard_negatives, "TREE_ROWS", 40)
+    monkeypatch.setattr(hard_negatives, "HELD", 1)  # a group for each tree
+    monkeypatch.setattr(hard_negatives, "LOOK", look)
+    rows = vectors(300)
+    assert result(table(spark, rows)) == brute(rows) != []
+
+
+def test_what_a_search_moves(spark, monkeypatch):
+    """No broadcast, and neither trees nor tasks for each block of anchors."""
+    monkeypatch.setattr(hard_negatives, "TREE_ROWS", 60)
+    monkeypatch.setattr(hard_negatives, "BLOCK", 7)
+    df = table(spark, vectors(300))
+    searched, kind = [], type(df)
+    run = kind.mapInArrow
+
+    def seen(self, *args, **kwargs):
+        if "tree" in self.columns:
+            trees = [r["tree"] for r in self.collect() if r["tree"] is not None]
+            plan = self._jdf.queryExecution().executedPlan().toString()  # as it was run
+            searched.append((len(trees) - len({bytes(t) for t in trees}), "Broadcast" in plan, self.rdd.getNumPartitions()))
+        return run(self, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "mapInArrow", seen)
+    result(df)
+    assert len(searched) == 2
+    for again, broadcast, tasks in searched:
+        assert again == 0 and not broadcast and tasks <= 4
