@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import io
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field, fields
 
@@ -48,14 +49,21 @@ class Tree:
     cast: np.ndarray | None = field(default=None, init=False, repr=False)  # members as last scored
 
     def to_bytes(self) -> bytes:
-        out = io.BytesIO()
-        np.savez(out, **{f.name: getattr(self, f.name) for f in fields(self) if f.init})
-        return out.getvalue()
+        """Compressed. Components must fit 32 bits; their bytes lie apart, signs in the lowest bit, as few of the higher ones count."""
+        out, kept = io.BytesIO(), {f.name: getattr(self, f.name) for f in fields(self) if f.init}
+        signless = (self.vectors.astype(np.int64) << 1 ^ self.vectors.astype(np.int64) >> 63).astype("<u4")
+        kept["vectors"] = np.moveaxis(signless[..., None].view(np.uint8), -1, 0)
+        np.savez(out, **kept)
+        return zlib.compress(out.getvalue(), 1)
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> Tree:
-        with np.load(io.BytesIO(raw)) as arrays:
-            return cls(**{f.name: arrays[f.name] for f in fields(cls) if f.init})
+        with np.load(io.BytesIO(zlib.decompress(raw))) as arrays:
+            kept = {f.name: arrays[f.name] for f in fields(cls) if f.init}
+        signless = np.ascontiguousarray(np.moveaxis(kept["vectors"], 0, -1)).view("<u4")[..., 0].astype(np.int64)
+        vectors = signless >> 1 ^ -(signless & 1)
+        small = np.abs(vectors).max(initial=0) <= np.iinfo(np.int16).max
+        return cls(**kept | {"vectors": vectors.astype(np.int16 if small else np.int32)})
 
     def members(self, kind: np.dtype) -> np.ndarray:
         if self.cast is None or self.cast.dtype != kind:

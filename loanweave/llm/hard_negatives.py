@@ -28,8 +28,9 @@ from loanweave.llm import cover_tree
 from loanweave.llm.common import ship, shuffle_partitions
 from loanweave.sources.staging import stage, staged
 
-#: Expected rows of a tree, most anchors of a block, and about the bytes of the trees of a task.
-TREE_ROWS, BLOCK, HELD = 8192, 512, 32 << 20
+#: Expected rows of a tree, most anchors of a block, and about the bytes of the trees of a task at
+#: four bytes a component.
+TREE_ROWS, BLOCK, HELD = 8192, 512, 64 << 20
 #: One of so many trees is looked at first, if there are more than twice as many groups.
 LOOK = 16
 #: Components become ``floor(SCALE * x)``; a row with a larger |x| takes no part, so that scores fit.
@@ -74,9 +75,8 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held).combine_chunks()
         ids, labels = rows.column("vec_id").to_numpy(), rows.column("label").to_numpy()
         vectors = _matrix(rows.column("vector").combine_chunks())
-        small = np.abs(vectors).max(initial=0) <= np.iinfo(np.int16).max
-        made = cover_tree.build(vectors.astype(np.int16 if small else np.int32), ids, labels).to_bytes()
-        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([len(made)]), pa.array([made], pa.binary())], ["part", "bytes", "tree"])
+        made = cover_tree.build(vectors.astype(np.int32), ids, labels).to_bytes()
+        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([4 * vectors.size]), pa.array([made], pa.binary())], ["part", "bytes", "tree"])
 
     now, held = None, []
     for batch in batches:
@@ -142,15 +142,15 @@ def _search(same: bool, size: int, low: int, high: int, most: int):
     return run
 
 
-def _tasks(n: int, a: int, parts: int, size: int, partitions: int) -> tuple[int, int]:
+def _tasks(n: int, a: int, parts: int, size: int, wanted: int) -> tuple[int, int]:
     """Groups that ``size`` bytes of trees are dealt into, and lanes of anchors.
 
-    As many groups as memory asks for. Where that leaves partitions empty, more of both: a lane
+    As many groups as memory asks for. Where these are fewer than ``wanted``, more of both: a lane
     moves all rows, a group all anchors with about three times their size in rows found.
     """
     least = min(parts, -(-size // HELD) or 1)
-    groups = max(least, min(parts, partitions, math.ceil(math.sqrt(partitions * n / (4 * max(a, 1))))))
-    return groups, max(min(-(-a // BLOCK), partitions // groups), 1)
+    groups = max(least, min(parts, wanted, math.ceil(math.sqrt(wanted * n / (4 * max(a, 1))))))
+    return groups, max(min(-(-a // BLOCK), wanted // groups), 1)
 
 
 def _dealt(anchors: DataFrame, trees: DataFrame, groups: int, lanes: int) -> DataFrame:
@@ -189,12 +189,14 @@ def mine(rows: DataFrame, anchor: Column, positives: int = 5, negatives: int = 1
     spark = rows.sparkSession
     ship(spark)
     partitions = shuffle_partitions(spark)
+    wanted = min(partitions, 4 * spark.sparkContext.defaultParallelism)  # tasks, for cores to be busy
     with ExitStack() as copies:
         with staged(whole_vectors(rows), "negatives-rows") as whole:
-            anchors = copies.enter_context(staged(whole.where(anchor), "negatives-marked"))
-            n, a = whole.count(), anchors.count()
-            parts = -(-n // TREE_ROWS) or 1
-            dealt = whole.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)))
+            n, largest = whole.agg(F.count("*"), F.max(F.array_max(F.transform("vector", F.abs)))).first()
+            narrow = F.col("vector").cast("array<smallint>" if (largest or 0) < 1 << 15 else "array<int>")
+            anchors = copies.enter_context(staged(whole.where(anchor).withColumn("vector", narrow), "negatives-marked"))
+            a, parts = anchors.count(), -(-n // TREE_ROWS) or 1
+            dealt = whole.withColumn("vector", narrow).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)))
             builders = min(parts, max(partitions, -(-parts // LOOK)))
             grown = dealt.repartition(builders, "part").sortWithinPartitions("part").mapInArrow(_build, "part long, bytes long, tree binary")
             trees = copies.enter_context(staged(grown, "negatives-trees"))
@@ -202,11 +204,11 @@ def mine(rows: DataFrame, anchor: Column, positives: int = 5, negatives: int = 1
 
         def best(asking: DataFrame, same: bool, most: int) -> DataFrame:
             def found(among: DataFrame, share: int) -> DataFrame:
-                groups, lanes = _tasks(n // share, a, -(-parts // share), size // share, partitions)
+                groups, lanes = _tasks(n // share, a, -(-parts // share), size // share, wanted)
                 tasks = _dealt(asking, among.withColumn("place", F.expr(f"part div {share}")), groups, lanes)
                 return _first(tasks.mapInArrow(_search(same, most, low, high, BLOCK), _FOUND), most, "anchor_id", "positive_id")
 
-            if _tasks(n, a, parts, size, partitions)[0] > 2 * LOOK:
+            if _tasks(n, a, parts, size, wanted)[0] > 2 * LOOK:
                 last = found(trees.where(F.col("part") % LOOK == 0), LOOK).where(F.col("rank") == most)
                 known = last.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.collect_list(F.struct("positive_id", "score")).alias("known"))
                 least = F.expr("transform(windows, w -> struct(w.id, w.score, get(filter(known, k -> k.positive_id <=> w.id), 0).score AS least))")
